@@ -153,3 +153,23 @@ def norm_ppf(col) -> Column:
     tail = F.when(q < 0, -tail_mag).otherwise(tail_mag)
     return F.when((p <= 0) | (p >= 1), F.lit(None).cast("double")) \
         .when(F.abs(q) <= 0.425, central).otherwise(tail)
+
+
+def safe_corr(x, y) -> Column:
+    """Pearson correlation over rows where both are present; NULL when a variance is zero.
+
+    Built from the stable ``covar_pop``/``stddev_pop`` aggregates so a constant
+    column gives NULL instead of a division error under ANSI mode.
+    """
+    xc, yc = _c(x).cast("double"), _c(y).cast("double")
+    both = xc.isNotNull() & yc.isNotNull()
+    xs, ys = F.when(both, xc), F.when(both, yc)
+    return F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
+
+
+def safe_slope(y, x) -> Column:
+    """Least-squares slope of y on x (pairwise-complete rows); NULL when x is constant."""
+    xc, yc = _c(x).cast("double"), _c(y).cast("double")
+    both = xc.isNotNull() & yc.isNotNull()
+    xs, ys = F.when(both, xc), F.when(both, yc)
+    return F.try_divide(F.covar_pop(xs, ys), F.var_pop(xs))

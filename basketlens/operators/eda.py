@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import NPS_BANDS, nps_band, parse_timestamp, to_number
+from ..functions.columns import NPS_BANDS, nps_band, parse_timestamp, safe_corr, to_number
 from .binning import QUARTILE_LABELS, UNKNOWN, iqr_bounds
 from .quantiles import grouped_quantiles
 from .quality import drop_duplicates, drop_missing
@@ -188,7 +188,7 @@ def correlation_matrix(data: DataFrame, response: str = "response") -> DataFrame
     """
     enc = encode_for_correlation(data, response)
     names = enc.columns
-    aggs = [F.corr(a, b).alias(f"{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
+    aggs = [safe_corr(a, b).alias(f"{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
     wide = enc.agg(*aggs)
     structs = []
     for i, a in enumerate(names):
