@@ -182,22 +182,38 @@ def encode_for_correlation(data: DataFrame, response: str = "response") -> DataF
 
 
 def correlation_matrix(data: DataFrame, response: str = "response") -> DataFrame:
-    """Pearson correlation of every pair in ONE aggregation, long form (var_x, var_y, corr).
+    """Pearson correlation of every pair, long form (var_x, var_y, corr).
 
-    Pairs use rows where both values are present, like pandas.
+    Pass 1 (one aggregation): mean and NULL count per column. Pass 2 (one
+    aggregation): centred cross-products of every pair of NULL-free columns
+    (k(k+1)/2 sums, numerically stable); pairs touching a column with NULLs
+    use pairwise-complete rows, like pandas. A zero variance gives NULL.
     """
     enc = encode_for_correlation(data, response)
     names = enc.columns
-    aggs = [safe_corr(a, b).alias(f"{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i < j]
+    first = enc.agg(F.count(F.lit(1)).alias("__n"),
+                    *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
+                    *[F.count(c).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    full = {i for i, _ in enumerate(names) if first[f"c{i}"] == first["__n"]}
+    cen = {i: F.col(c) - F.lit(first[f"m{i}"] if first[f"m{i}"] is not None else 0.0) for i, c in enumerate(names)}
+    aggs = []
+    for i in range(len(names)):
+        for j in range(i, len(names)):
+            if i in full and j in full:
+                aggs.append(F.sum(cen[i] * cen[j]).alias(f"s_{i}_{j}"))
+            elif i < j:
+                aggs.append(safe_corr(names[i], names[j]).alias(f"r_{i}_{j}"))
     wide = enc.agg(*aggs)
-    structs = []
-    for i, a in enumerate(names):
-        for j, b in enumerate(names):
-            if i == j:
-                val = F.lit(1.0)
-            else:
-                val = F.col(f"{min(i, j)}_{max(i, j)}")
-            structs.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"), val.alias("corr")))
+
+    def pair(i, j):
+        i, j = min(i, j), max(i, j)
+        if i in full and j in full:
+            return F.try_divide(F.col(f"s_{i}_{j}"), F.sqrt(F.col(f"s_{i}_{i}") * F.col(f"s_{j}_{j}")))
+        return F.col(f"r_{i}_{j}")
+
+    structs = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
+                        (F.lit(1.0) if i == j else pair(i, j)).alias("corr"))
+               for i, a in enumerate(names) for j, b in enumerate(names)]
     return wide.select(F.inline(F.array(*structs)))
 
 
@@ -246,7 +262,9 @@ def stacked_histogram(data: DataFrame, variables: Sequence[str], response: str =
         x = F.col(v).cast("double")
         if lo is None:
             continue
-        b = F.lit(1) if lo == hi else F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins))
+        # floor((x - lo) / (hi - lo) * bins) + 1, the top edge folded into the last bucket
+        b = F.lit(1).cast("bigint") if lo == hi else F.least(
+            F.floor((x - F.lit(lo)) / (F.lit(hi) - F.lit(lo)) * bins).cast("bigint") + 1, F.lit(bins).cast("bigint"))
         structs.append(F.struct(F.lit(v).alias("variable"), F.when(x.isNotNull(), b).alias("bucket"),
                                 F.lit(lo).alias("lo"), F.lit(hi).alias("hi")))
     return (data.select(F.col(response).alias("response"), F.inline(F.array(*structs)))

@@ -61,7 +61,10 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def joined(spark: SparkSession, sf: str) -> DataFrame:
-    return camp.join_customer_campaign(features(spark, sf), typed_campaign(spark, sf))
+    """Features joined to the typed campaign; persisted because analyses make several passes over it."""
+    from pyspark import StorageLevel
+    return camp.join_customer_campaign(features(spark, sf), typed_campaign(spark, sf)) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
 
 
 CAMPAIGN_TYPED_SQL = """

@@ -102,3 +102,25 @@ def features_ctes(src: str = "lines", name: str = "feat") -> list[tuple[str, str
             cols.append(f"feat0.{c}")
     body = f"SELECT {', '.join(cols)} FROM feat0 {joins}"
     return customer_agg_ctes(src) + bctes + [(name, body)]
+
+
+def _poly_sql(coeffs, x: str) -> str:
+    acc = repr(coeffs[-1])
+    for a in reversed(coeffs[:-1]):
+        acc = f"(({acc}) * ({x}) + {a!r})"
+    return acc
+
+
+def norm_ppf_sql(p: str) -> str:
+    """SQL text of ``functions.columns.norm_ppf`` (same operations, same order)."""
+    from ..functions import columns as C
+    q = f"(({p}) - 0.5)"
+    rc = f"(0.180625 - {q} * {q})"
+    central = f"({q} * {_poly_sql(C._AS241_A, rc)} / {_poly_sql(C._AS241_B, rc)})"
+    rt = f"sqrt(-ln(least({p}, 1.0 - ({p}))))"
+    near, far = f"({rt} - 1.6)", f"({rt} - 5.0)"
+    mag = (f"(CASE WHEN {rt} <= 5.0 THEN {_poly_sql(C._AS241_C, near)} / {_poly_sql(C._AS241_D, near)} "
+           f"ELSE {_poly_sql(C._AS241_E, far)} / {_poly_sql(C._AS241_F, far)} END)")
+    tail = f"(CASE WHEN {q} < 0 THEN -{mag} ELSE {mag} END)"
+    return (f"(CASE WHEN ({p}) <= 0 OR ({p}) >= 1 THEN NULL WHEN abs({q}) <= 0.425 THEN {central} "
+            f"ELSE {tail} END)")
