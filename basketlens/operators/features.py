@@ -29,8 +29,13 @@ def line_value(df: DataFrame, name: str = "TotalValue") -> DataFrame:
     return df.withColumn(name, F.col("Quantity") * F.col("UnitPrice"))
 
 
-def customer_aggregates(lines: DataFrame) -> DataFrame:
-    """The 13 unbinned feature columns, one row per non-NULL customer."""
+def customer_aggregates(lines: DataFrame, persist: bool = True) -> DataFrame:
+    """The 13 unbinned feature columns, one row per non-NULL customer.
+
+    With ``persist`` the per-customer aggregate is cached (MEMORY_AND_DISK;
+    lost blocks are recomputed from lineage) so the line pipeline runs once:
+    the global last date, the features and the bin-fitting jobs all read it.
+    """
     value = F.col("Quantity") * F.col("UnitPrice")
     per_cust = lines.groupBy("CustomerID").agg(
         F.min("InvoiceDate").alias("first_purchase"),
@@ -41,6 +46,8 @@ def customer_aggregates(lines: DataFrame) -> DataFrame:
         F.count_distinct("StockCode").alias("product_diversity"),
         F.sum(F.when(F.col("Quantity") < 0, F.col("Quantity"))).alias("_returned"),
     )
+    if persist:
+        per_cust = per_cust.persist(StorageLevel.MEMORY_AND_DISK)
     # Global last date over *all* lines (NULL customers included), computed
     # from the per-customer maxima: a one-row broadcast, no second line scan.
     gmax = per_cust.agg(F.max("last_purchase").alias("_gmax"))
@@ -64,10 +71,8 @@ def customer_features(lines: DataFrame, persist: bool = True, **qkw) -> DataFram
     """All 19 columns: aggregates plus six outlier-aware quartile bins.
 
     The bin edges are fitted with a few small distributed jobs on the
-    (persisted) customer-level table; labelling is a projection.
+    persisted customer-level aggregate; labelling is a projection.
     """
-    agg = customer_aggregates(lines)
-    if persist:
-        agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+    agg = customer_aggregates(lines, persist=persist)
     edges = fit_quartile_edges(agg, list(dict.fromkeys(BIN_SOURCES.values())), **qkw)
     return apply_quartile_bins(agg, BIN_SOURCES, edges).select(*FEATURE_COLUMNS)
