@@ -130,3 +130,33 @@ def bin_numerical_variables(df: DataFrame, response: str = "response", columns:
                    if f.dataType.typeName() in ("double", "long", "integer") and f.name != response]
     edges = fit_model_edges(df, columns, **qkw)
     return df.withColumns({c: model_bin_code(c, e, encoding).cast("bigint") for c, e in edges.items() if e})
+
+
+# ---------------------------------------------------------------------------
+# Recode a numeric column to levels by quantile edges, or to a boolean.
+# ---------------------------------------------------------------------------
+
+# Default level names, lowest first.
+RECODE_LEVELS = ("low", "medium", "high")
+
+
+def fit_recode_edges(df: DataFrame, column: str, probs: Sequence[float] = (1 / 3, 2 / 3), **qkw) -> list[float]:
+    """Quantile edges for ``recode_levels`` (exact, distributed)."""
+    return column_quantiles(df, [column], list(probs), **qkw)[column]["q"]
+
+
+def recode_levels(col, edges: Sequence[float], labels: Sequence[str] = RECODE_LEVELS) -> Column:
+    """x <= e1 -> labels[0], e1 < x <= e2 -> labels[1], ..., above the last edge -> last label; NULL stays NULL."""
+    c = F.col(col) if isinstance(col, str) else col
+    if not edges or edges[0] is None:
+        return F.lit(None).cast("string")
+    expr = F.when(c <= edges[0], F.lit(labels[0]))
+    for i in range(1, len(edges)):
+        expr = expr.when(c <= edges[i], F.lit(labels[i]))
+    return expr.when(c.isNotNull(), F.lit(labels[len(edges)]))
+
+
+def recode_boolean(col, threshold: float) -> Column:
+    """x > threshold (NULL stays NULL)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c > F.lit(threshold)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import snake_case
 from ..operators import clustering, eda, evaluation, quality, stats
-from ..operators.binning import fit_model_edges, model_bin_code
+from ..operators.binning import (fit_model_edges, fit_recode_edges, model_bin_code, recode_boolean,
+                                 recode_levels)
 from ..operators.modeling import (MODEL_TYPES, feature_importances, numeric_model_columns, preprocess_for_model,
                                   run_model, tree_nodes)
 from ..sources import fixtures as fx
@@ -15,6 +16,7 @@ from ..sources.schemas import BIN_SOURCES
 from . import presets
 from . import sql as S
 from .catalog import FEATURE_ROUND, JOINED_COLUMNS, JOINED_CTES, R, joined, register, rounded
+from ..operators.features import customer_aggregates
 
 # ---------------------------------------------------------------------------
 # Encoded joined table
@@ -486,3 +488,24 @@ def q_schema(spark, sf):
     """A4, A5: (position, column, type) listing of the joined table."""
     from ..operators.typing import schema_report
     return schema_report(joined(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Numeric recodes (advertised by the reference's readme)
+# ---------------------------------------------------------------------------
+
+@register("recode_total_spending", S.statement(f"""
+SELECT CustomerID, {R('total_spending', 2)} AS total_spending,
+       CASE WHEN total_spending <= t1 THEN 'low' WHEN total_spending <= t2 THEN 'medium'
+            WHEN total_spending IS NOT NULL THEN 'high' END AS spend_level,
+       total_spending > med AS high_spender
+FROM feat0, (SELECT quantile_cont(total_spending, 0.3333333333333333) AS t1, quantile_cont(total_spending, 0.6666666666666666) AS t2,
+                    quantile_cont(total_spending, 0.5) AS med FROM feat0) q""", ["lines"], S.customer_agg_ctes("lines")))
+def q_recode(spark, sf):
+    """Total spending recoded to tertile levels and to a boolean above the median."""
+    feats = customer_aggregates(fx.lines(spark, sf))
+    edges = fit_recode_edges(feats, "total_spending", (1 / 3, 2 / 3, 0.5))
+    return rounded(feats.select("CustomerID", "total_spending",
+                                recode_levels("total_spending", edges[:2]).alias("spend_level"),
+                                recode_boolean("total_spending", edges[2]).alias("high_spender")),
+                   {"total_spending": 2})
