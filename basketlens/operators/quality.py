@@ -93,7 +93,9 @@ def fill_missing_ids(df: DataFrame, col: str, seed: str = "basketlens", length:
     partial aggregation, so a hot group of identical rows collapses map-side
     and no group is larger than one input partition — then re-expanded with
     an ordinal. ID = hex prefix of sha2(seed, row content, partition, ordinal):
-    stable under recomputation, distinct for identical rows, no ``rand()``.
+    always distinct (also for identical rows), no ``rand()``; the same IDs come
+    back on recomputation whenever the input partitioning is deterministic
+    (file scans, hash shuffles).
     """
     df = normalize_blanks(df, [col])
     others = [c for c in df.columns if c != col]
@@ -167,10 +169,14 @@ def perform_integrity_checks(lines: DataFrame, campaign: DataFrame):
 def integrity_report(lines: DataFrame, campaign: DataFrame) -> DataFrame:
     """Row counts per step: (dataset, step, rows) from one pass per input."""
     lines_clean, campaign_clean = perform_integrity_checks(lines, campaign)
+    # input and negative-price counts of the lines come from one aggregation
+    first = lines.agg(F.count(F.lit(1)).alias("i"), F.count_if(F.col("UnitPrice") < 0).alias("neg")).select(
+        F.inline(F.array(F.struct(F.lit("lines").alias("dataset"), F.lit("input").alias("step"),
+                                  F.col("i").alias("rows")),
+                         F.struct(F.lit("lines").alias("dataset"), F.lit("negative_price_removed").alias("step"),
+                                  F.col("neg").alias("rows")))))
     parts = [
-        lines.agg(F.lit("lines").alias("dataset"), F.lit("input").alias("step"), F.count(F.lit(1)).alias("rows")),
-        lines.agg(F.lit("lines").alias("dataset"), F.lit("negative_price_removed").alias("step"),
-                  F.count_if(F.col("UnitPrice") < 0).alias("rows")),
+        first,
         lines_clean.agg(F.lit("lines").alias("dataset"), F.lit("final").alias("step"), F.count(F.lit(1)).alias("rows")),
         campaign.agg(F.lit("campaign").alias("dataset"), F.lit("input").alias("step"), F.count(F.lit(1)).alias("rows")),
         campaign_clean.agg(F.lit("campaign").alias("dataset"), F.lit("final").alias("step"),

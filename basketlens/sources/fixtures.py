@@ -50,24 +50,29 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with injected defects (text dates, blanks, nulls, negative prices, duplicates)."""
+    """Lines with injected defects (text dates, blanks, nulls, negative prices, duplicates).
+
+    One pass over the line joins: every row is emitted once with its defects,
+    and rows picked for duplication are emitted a second time unchanged
+    (copy 1), the same multiset as a UNION ALL of the two without joining twice.
+    """
     base = lines(spark, sf_dir)
     inv = F.col("InvoiceNo").cast("bigint")
     sku = F.col("StockCode").cast("bigint")
-    dirty = base.select(
+    copies = F.when(inv % 50 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    d = base.withColumn("__copy", F.explode(copies))
+    dirty = F.col("__copy") == 0
+    return d.select(
         "InvoiceNo",
-        F.when(sku % 211 == 0, F.lit(" ")).otherwise(F.col("StockCode")).alias("StockCode"),
-        F.when(sku % 101 == 0, F.lit(None).cast("string")).otherwise(F.col("Description")).alias("Description"),
+        F.when(dirty & (sku % 211 == 0), F.lit(" ")).otherwise(F.col("StockCode")).alias("StockCode"),
+        F.when(dirty & (sku % 101 == 0), F.lit(None).cast("string")).otherwise(F.col("Description"))
+        .alias("Description"),
         "Quantity",
         F.col("InvoiceDate").cast("string").alias("InvoiceDate"),
-        F.when(inv % 503 == 0, -F.col("UnitPrice")).otherwise(F.col("UnitPrice")).alias("UnitPrice"),
-        F.when(inv % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("CustomerID")).alias("CustomerID"),
+        F.when(dirty & (inv % 503 == 0), -F.col("UnitPrice")).otherwise(F.col("UnitPrice")).alias("UnitPrice"),
+        F.when(dirty & (inv % 97 == 0), F.lit(None).cast("string")).otherwise(F.col("CustomerID")).alias("CustomerID"),
         "Country",
     )
-    dupes = base.filter(inv % 50 == 7).select(
-        "InvoiceNo", "StockCode", "Description", "Quantity",
-        F.col("InvoiceDate").cast("string").alias("InvoiceDate"), "UnitPrice", "CustomerID", "Country")
-    return dirty.unionByName(dupes)
 
 
 def campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
