@@ -112,16 +112,18 @@ def vif_from_gram(g: np.ndarray) -> np.ndarray:
         return out
 
 
-def vif_elimination(df: DataFrame, columns: Sequence[str], threshold: float = 5.0):
+def vif_elimination(df: DataFrame, columns: Sequence[str], threshold: float = 5.0, gram_result=None):
     """Drop the highest-VIF column while any VIF > threshold.
 
-    One distributed pass builds G; every iteration works on a submatrix of G
-    on the driver (k x k only). Returns (kept columns, final VIF DataFrame,
-    removal-log DataFrame).
+    One distributed pass builds G (or pass ``gram_result`` from ``gram(df,
+    columns, constant=True)`` to share it); every iteration works on a
+    submatrix of G on the driver (k x k only). Returns (kept columns, final VIF
+    DataFrame, removal-log DataFrame).
     """
     spark = df.sparkSession
-    names, g, _ = gram(df, columns, constant=False)
-    keep = list(range(len(names)))
+    names, g, _ = gram_result if gram_result is not None else gram(df, columns, constant=True)
+    base = 1 if names and names[0] == "const" else 0
+    keep = list(range(base, len(names)))
     log = []
     step = 1
     while keep:
@@ -138,13 +140,16 @@ def vif_elimination(df: DataFrame, columns: Sequence[str], threshold: float = 5.
     return [names[i] for i in keep], vif_df, log_df
 
 
-def dependent_columns(df: DataFrame, columns: Sequence[str], tol: float = 1e-9) -> list[str]:
+def dependent_columns(df: DataFrame, columns: Sequence[str], tol: float = 1e-9, gram_result=None) -> list[str]:
     """Columns that are (near) linear combinations of the constant and earlier columns.
 
     Greedy Gram-Schmidt on the scaled Gram of [1, X]: a column whose residual
     norm is tiny relative to its own norm is reported; earlier columns are kept.
+    A shared ``gram_result`` (with constant) is restricted to ``columns``.
     """
-    names, g, n = gram(df, columns, constant=True)
+    names, g, n = gram_result if gram_result is not None else gram(df, columns, constant=True)
+    idx = [0] + [names.index(c) for c in columns]
+    names, g = [names[i] for i in idx], g[np.ix_(idx, idx)]
     d = np.sqrt(np.where(np.diag(g) > 0, np.diag(g), 1.0))
     c = g / np.outer(d, d)
     kept = [0]

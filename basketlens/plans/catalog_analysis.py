@@ -15,7 +15,7 @@ from ..sources import fixtures as fx
 from ..sources.schemas import BIN_SOURCES
 from . import presets
 from . import sql as S
-from .catalog import FEATURE_ROUND, JOINED_COLUMNS, JOINED_CTES, R, joined, register, rounded
+from .catalog import CAMPAIGN_TYPED_SQL, FEATURE_ROUND, JOINED_COLUMNS, JOINED_CTES, R, joined, register, rounded
 from ..operators.features import customer_aggregates
 
 # ---------------------------------------------------------------------------
@@ -509,3 +509,25 @@ def q_recode(spark, sf):
                                 recode_levels("total_spending", edges[:2]).alias("spend_level"),
                                 recode_boolean("total_spending", edges[2]).alias("high_spender")),
                    {"total_spending": 2})
+
+
+# ---------------------------------------------------------------------------
+# Entry 1: the whole pipeline from the dirty lines and the raw campaign
+# ---------------------------------------------------------------------------
+
+_REPAIRED_LINES_CTE = ("lrep", "SELECT DISTINCT InvoiceNo, nullif(trim(StockCode), '') AS StockCode, Description, "
+                               "Quantity, CAST(InvoiceDate AS TIMESTAMP) AS InvoiceDate, UnitPrice, CustomerID, Country "
+                               "FROM lines_dirty WHERE (UnitPrice >= 0 OR UnitPrice IS NULL) "
+                               "AND CustomerID IS NOT NULL AND nullif(trim(StockCode), '') IS NOT NULL")
+_PIPE_CTES = ([_REPAIRED_LINES_CTE] + S.features_ctes("lrep") +
+              [("ctyped", f"SELECT DISTINCT * FROM ({CAMPAIGN_TYPED_SQL}) WHERE CustomerID IS NOT NULL"),
+               ("pj", "SELECT feat.*, ctyped.response, ctyped.loyalty, ctyped.nps, ctyped.n_comp, "
+                      "ctyped.n_communications FROM feat JOIN ctyped ON feat.CustomerID = ctyped.CustomerID")])
+
+
+@register("full_pipeline", S.statement(f"SELECT {S.select_list(JOINED_COLUMNS, FEATURE_ROUND)} FROM pj",
+                                       ["lines_dirty", "campaign"], _PIPE_CTES))
+def q_full_pipeline(spark, sf):
+    """Entry 1 (C9, C16, E1, F1, D-J1): type, repair, integrity checks, features, join — from raw inputs."""
+    out = presets.full_pipeline(fx.lines_dirty(spark, sf), fx.campaign(spark, sf))
+    return rounded(out, FEATURE_ROUND).select(*JOINED_COLUMNS)

@@ -21,7 +21,7 @@ from ..operators.campaign import join_customer_campaign
 from ..operators.features import customer_features
 from ..operators.modeling import (MODEL_TYPES, add_ratios, numeric_model_columns, preprocess_for_model,
                                   run_model)
-from ..operators.stats import dependent_columns, logit_significance, vif_elimination
+from ..operators.stats import dependent_columns, gram, logit_significance, vif_elimination
 from ..operators.typing import convert_campaign_data_types, convert_data_types
 
 CONFIGS = ("baseline", "recoded", "outlier_removed", "outlier_recoded_scaled")
@@ -41,8 +41,9 @@ class Prepared:
 
 def _select_variables(df: DataFrame, response: str, vif_threshold: float = 5.0):
     cands = numeric_model_columns(df, response, wide_only=False)
-    kept, vif_df, vif_log = vif_elimination(df, cands, vif_threshold)
-    dropped = dependent_columns(df, kept)
+    g = gram(df, cands, constant=True)  # one pass serves VIF and the dependence check
+    kept, vif_df, vif_log = vif_elimination(df, cands, vif_threshold, gram_result=g)
+    dropped = dependent_columns(df, kept, gram_result=g)
     kept = [c for c in kept if c not in dropped]
     significant, table = logit_significance(df, kept, response)
     return kept, significant, vif_df, vif_log, table, dropped

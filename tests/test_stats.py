@@ -1,0 +1,44 @@
+import numpy as np
+import pytest
+
+from basketlens.operators import clustering, stats
+
+
+def _frame(spark, x, names):
+    return spark.createDataFrame([tuple(float(v) for v in row) for row in x], ", ".join(f"{n} double" for n in names))
+
+
+def test_vif_matches_uncentred_regressions(spark):
+    rng = np.random.default_rng(0)
+    a = rng.normal(5, 1, 300)
+    b = a * 0.8 + rng.normal(0, 0.3, 300)
+    c = rng.normal(0, 1, 300)
+    x = np.column_stack([a, b, c])
+    df = _frame(spark, x, ["a", "b", "c"])
+    _, vif_df, _ = stats.vif_elimination(df, ["a", "b", "c"], threshold=1e9)
+    got = {r.feature: r.vif for r in vif_df.collect()}
+    for i, name in enumerate("abc"):
+        y, others = x[:, i], np.delete(x, i, axis=1)
+        coef, *_ = np.linalg.lstsq(others, y, rcond=None)
+        ssr = ((y - others @ coef) ** 2).sum()
+        assert got[name] == pytest.approx((y ** 2).sum() / ssr, rel=1e-8)
+
+
+def test_vif_elimination_drops_worst_and_dependent_copy(spark):
+    rng = np.random.default_rng(1)
+    a = rng.normal(0, 1, 200)
+    x = np.column_stack([a, 3 * a + 2, rng.normal(0, 1, 200)])
+    df = _frame(spark, x, ["a", "a_affine", "c"])
+    # uncentred VIF does not see the affine copy (no constant) ...
+    assert stats.dependent_columns(df, ["a", "a_affine", "c"]) == ["a_affine"]
+    kept, _, log = stats.vif_elimination(df, ["a", "a_affine", "c"])
+    assert len(kept) == 3 - log.count()
+
+
+def test_ward_dendrogram_orders_heights(spark):
+    rng = np.random.default_rng(2)
+    pts = np.vstack([rng.normal(0, 0.1, (40, 2)), rng.normal(5, 0.1, (40, 2))])
+    df = _frame(spark, pts, ["x", "y"])
+    d = clustering.ward_dendrogram(df, max_leaves=16, last=5).collect()
+    heights = [r.height for r in d]
+    assert heights == sorted(heights) and d[-1].size == 80
