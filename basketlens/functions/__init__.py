@@ -1,0 +1 @@
+"""Column-level scalar functions (JVM-side expressions, no Python UDFs)."""

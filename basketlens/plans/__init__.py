@@ -1,0 +1 @@
+"""Configuration presets, the full pipeline and the registered query catalog."""

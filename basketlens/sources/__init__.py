@@ -1,0 +1 @@
+"""Input schemas, fixture derivations from the driver tables, and file I/O."""

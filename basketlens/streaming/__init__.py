@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The analytics this library rebuilds read two batch inputs (invoice lines and
+campaign responses) and have no streaming sources, watermarks, windows, state
+or late-data handling, so no streaming operator is claimed. Every batch
+operator takes a DataFrame, so a ``foreachBatch`` sink can apply them to
+micro-batches when a caller needs that.
+"""
