@@ -49,12 +49,25 @@ def choose_k(features: DataFrame, k_values: Sequence[int] = range(2, 11), seed:
     Silhouette is MLlib's squared-Euclidean variant (linear-time), not the
     O(n²) Euclidean one.
     """
-    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    rows = []
-    for k in k_values:
-        model = KMeans(k=k, seed=seed, featuresCol="features").fit(features)
-        rows.append((int(k), float(model.summary.trainingCost), float(ev.evaluate(model.transform(features)))))
-    return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+    return _search_k(features, k_values, seed)[0]
+
+
+def _search_k(features: DataFrame, k_values: Sequence[int], seed: int, parallelism: int = 4):
+    """Fit every k concurrently (like CrossValidator's ``parallelism``): each fit is a
+    chain of small jobs, so running several keeps the executors busy. Seeded fits,
+    so the result does not depend on the interleaving."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit(k):
+        model = KMeans(k=int(k), seed=seed, featuresCol="features").fit(features)
+        ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+        return int(k), model, float(model.summary.trainingCost), float(ev.evaluate(model.transform(features)))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(fit, list(k_values)))
+    rows = [(k, cost, sil) for k, _, cost, sil in results]
+    models = {k: m for k, m, _, _ in results}
+    return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), rows, models
 
 
 def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | None = None,
@@ -67,9 +80,13 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
     search = None
     if k is None:
-        search = choose_k(feats, k_values, seed)
-        k = int(search.orderBy(F.desc("silhouette"), F.asc("k")).first()["k"])
-    km = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="kmeans_cluster").fit(feats)
+        # the search already fitted KMeans(k, seed) for every k: reuse the chosen model
+        search, rows, models = _search_k(feats, k_values, seed)
+        k = max(rows, key=lambda r: (r[2], -r[0]))[0]
+        km = models[k]
+    else:
+        km = KMeans(k=k, seed=seed, featuresCol="features").fit(feats)
+    km.setPredictionCol("kmeans_cluster")
     out = km.transform(feats)
     bk = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="hierarchical_cluster").fit(out)
     out = bk.transform(out)

@@ -81,19 +81,31 @@ def run_configuration(joined: DataFrame, config: str, model_type: str, train_rat
 
 
 def sweep(joined: DataFrame, models: Sequence[str] = MODEL_TYPES, configs: Sequence[str] = CONFIGS,
-          train_ratio: float = 0.7, response: str = "response") -> DataFrame:
-    """Every model type under every configuration (J19); one metrics row per run."""
-    out = None
-    for c in configs:
-        shared = {}
+          train_ratio: float = 0.7, response: str = "response", parallelism: int = 4) -> DataFrame:
+    """Every model type under every configuration (J19); one metrics row per run.
+
+    Configurations run concurrently (each is a chain of small jobs); within a
+    configuration the prepared frame is shared by all model types except the
+    two binned decision trees, which need their own preparation.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def run_config(c):
+        shared, rows = {}, []
         for m in models:
             key = m if m in ("decision_tree_binned", "decision_tree_binned_after") else "_"
             if key not in shared:
                 shared[key] = prepare(joined, c, response, m if key != "_" else None)
             p = shared[key]
-            if not p.variables:
-                continue
-            row, _ = run_model(p.data, p.variables, response, c, m, train_ratio)
+            if p.variables:
+                rows.append(run_model(p.data, p.variables, response, c, m, train_ratio)[0])
+        return rows
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        per_config = list(pool.map(run_config, list(configs)))
+    out = None
+    for rows in per_config:
+        for row in rows:
             out = row if out is None else out.unionByName(row)
     return out
 
