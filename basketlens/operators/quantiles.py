@@ -31,11 +31,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Distinct values per key below which the exact ``percentile`` aggregate is used.
-INLINE_DISTINCT_LIMIT = 200_000
+import os
+
+# Distinct values per key below which the exact ``percentile`` aggregate is used
+# (overridable, e.g. 0 to force the narrowing path everywhere in a test run).
+INLINE_DISTINCT_LIMIT = int(os.environ.get("BASKETLENS_INLINE_DISTINCT_LIMIT", 200_000))
 # Rows per interval below which narrowing stops and the value is read directly.
-FINISH_ROWS = 100_000
-BUCKETS = 1024
+FINISH_ROWS = int(os.environ.get("BASKETLENS_FINISH_ROWS", 100_000))
+BUCKETS = int(os.environ.get("BASKETLENS_BUCKETS", 1024))
 MAX_KEYS = 10_000
 
 _KEY = "__qk"
@@ -68,13 +71,17 @@ def _interp(lo_v: float, hi_v: float, frac: float) -> float:
 
 
 def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
-                   inline_limit: int = INLINE_DISTINCT_LIMIT, finish_rows: int = FINISH_ROWS,
-                   buckets: int = BUCKETS) -> dict[str, dict]:
+                   inline_limit: int | None = None, finish_rows: int | None = None,
+                   buckets: int | None = None) -> dict[str, dict]:
     """Quantiles of ``__qv`` per ``__qk`` for a long (key, value) frame.
 
     Returns ``{key: {"n", "min", "max", "q": [values per prob]}}``; ``q`` is
-    ``None`` entries when the key has no values.
+    ``None`` entries when the key has no values. Unset limits take the module
+    settings at call time.
     """
+    inline_limit = INLINE_DISTINCT_LIMIT if inline_limit is None else inline_limit
+    finish_rows = FINISH_ROWS if finish_rows is None else finish_rows
+    buckets = BUCKETS if buckets is None else buckets
     probs = list(probs)
     stats = (long_df.groupBy(_KEY)
              .agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"), F.max(_VAL).alias("mx"),
