@@ -48,7 +48,10 @@ def fit_quartile_edges(df: DataFrame, columns: Sequence[str], **qkw) -> dict[str
     if not bounds:
         return {c: [] for c in columns}
     inl = clean.select(*[F.when(F.col(c).between(lo, hi), F.col(c)).alias(c) for c, (lo, hi) in bounds.items()])
-    second = column_quantiles(inl, list(bounds), [0.25, 0.5, 0.75], **qkw)
+    # inliers are a subset: if every column was small enough for the exact
+    # aggregate before, they still are, and no statistics pass is needed
+    small = all(first[c]["inline"] for c in bounds)
+    second = column_quantiles(inl, list(bounds), [0.25, 0.5, 0.75], known_small=small, **qkw)
     edges = {}
     for c in columns:
         s = second.get(c)
@@ -93,7 +96,8 @@ def fit_model_edges(df: DataFrame, columns: Sequence[str], **qkw) -> dict[str, l
     if not bounds:
         return out
     inl = df.select(*[F.when(F.col(c).between(lo, hi), F.col(c)).alias(c) for c, (lo, hi) in bounds.items()])
-    second = column_quantiles(inl, list(bounds), [0.25, 0.5, 0.75], **qkw)
+    small = all(first[c]["inline"] for c in bounds)
+    second = column_quantiles(inl, list(bounds), [0.25, 0.5, 0.75], known_small=small, **qkw)
     for c in bounds:
         q = second[c]["q"]
         if None in q or not (q[0] < q[1] < q[2]):

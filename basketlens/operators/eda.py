@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.columns import NPS_BANDS, nps_band, parse_timestamp, safe_corr, to_number
 from .binning import QUARTILE_LABELS, UNKNOWN, iqr_bounds
 from .quantiles import grouped_quantiles
-from .quality import drop_duplicates, drop_missing
+from .quality import drop_duplicates, drop_missing, require_columns
 
 # Variables the response-rate table covers, in report order.
 RESPONSE_RATE_VARIABLES = ("loyalty", "nps", "recency_bin", "total_sales_bin")
@@ -73,6 +73,7 @@ def response_rate_table(data: DataFrame, response: str = "response",
 
 def group_response_counts(data: DataFrame, variable: str, response: str = "response") -> DataFrame:
     """(level, response, count) — loyalty bar plot (E5) or any categorical column."""
+    require_columns(data, [variable, response])
     return (data.groupBy(F.col(variable).alias("level"), F.col(response).alias("response"))
             .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
 
@@ -103,6 +104,7 @@ def monthly_sales(raw_lines: DataFrame, cutoff: str | None = None) -> DataFrame:
     months starting on/after ``cutoff`` are dropped.
     """
     req = ["InvoiceDate", "Quantity", "UnitPrice"]
+    require_columns(raw_lines, req)
     df = drop_missing(drop_duplicates(raw_lines), req)
     date = F.col("InvoiceDate")
     if not isinstance(df.schema["InvoiceDate"].dataType, (T.TimestampNTZType, T.TimestampType, T.DateType)):
@@ -121,6 +123,7 @@ def monthly_sales(raw_lines: DataFrame, cutoff: str | None = None) -> DataFrame:
 def product_sales(raw_lines: DataFrame) -> DataFrame:
     """(StockCode, Description, TotalSales) after dedup and dropping rows missing key fields."""
     req = ["StockCode", "Description", "Quantity", "UnitPrice"]
+    require_columns(raw_lines, req)
     df = drop_missing(drop_duplicates(raw_lines), req)
     return (df.groupBy("StockCode", "Description")
             .agg(F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("TotalSales")))

@@ -24,7 +24,7 @@ from ..functions.columns import day_diff, finite_or_null
 from .binning import UNKNOWN
 from .eda import BIN_LEVELS
 from .evaluation import evaluate
-from .quality import median_fill
+from .quality import median_fill, require_columns
 
 # Categorical fields of the prepared table and their fill value.
 CATEGORICAL_INT_FIELDS = ("loyalty", "nps")
@@ -176,7 +176,8 @@ def score_frame(model, df: DataFrame) -> DataFrame:
 def run_model(data: DataFrame, features: Sequence[str], response: str, config: str, model_type: str,
               train_ratio: float = 0.7, seed: int = 42, key: str = "CustomerID"):
     """Fit on the train split, score both splits, evaluate (J13, J14). Returns (metrics row DataFrame, model)."""
-    feats = [f for f in features if f in data.columns]
+    require_columns(data, [*features, response])  # the reference validates the variables first (A8)
+    feats = list(features)
     if not feats:
         raise ValueError("no variables to model")
     va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")

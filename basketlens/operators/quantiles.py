@@ -72,24 +72,35 @@ def _interp(lo_v: float, hi_v: float, frac: float) -> float:
 
 def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
                    inline_limit: int | None = None, finish_rows: int | None = None,
-                   buckets: int | None = None) -> dict[str, dict]:
+                   buckets: int | None = None, known_small: bool = False) -> dict[str, dict]:
     """Quantiles of ``__qv`` per ``__qk`` for a long (key, value) frame.
 
-    Returns ``{key: {"n", "min", "max", "q": [values per prob]}}``; ``q`` is
-    ``None`` entries when the key has no values. Unset limits take the module
-    settings at call time.
+    Returns ``{key: {"n", "min", "max", "q": [values per prob], "inline": bool}}``;
+    ``q`` holds ``None`` when the key has no values. Unset limits take the
+    module settings at call time. ``known_small`` (the caller has proven every
+    key's distinct count small, e.g. a subset of an earlier inline request)
+    folds the statistics into the single ``percentile`` pass.
     """
     inline_limit = INLINE_DISTINCT_LIMIT if inline_limit is None else inline_limit
     finish_rows = FINISH_ROWS if finish_rows is None else finish_rows
     buckets = BUCKETS if buckets is None else buckets
     probs = list(probs)
+    if known_small and probs:
+        rows = (long_df.groupBy(_KEY)
+                .agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"), F.max(_VAL).alias("mx"),
+                     F.percentile(_VAL, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+                .collect())
+        if len(rows) > MAX_KEYS:
+            raise ValueError(f"too many quantile keys ({len(rows)} > {MAX_KEYS})")
+        return {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "inline": True,
+                          "q": [float(v) for v in r["q"]]} for r in rows}
     stats = (long_df.groupBy(_KEY)
              .agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"), F.max(_VAL).alias("mx"),
                   F.approx_count_distinct(_VAL, 0.05).alias("nd"))
              .collect())
     if len(stats) > MAX_KEYS:
         raise ValueError(f"too many quantile keys ({len(stats)} > {MAX_KEYS})")
-    result = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "q": [None] * len(probs)}
+    result = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "q": [None] * len(probs), "inline": False}
               for r in stats}
     if not probs or not result:
         return result
@@ -103,6 +114,7 @@ def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
                 .collect())
         for r in rows:
             result[r[_KEY]]["q"] = [float(v) for v in r["q"]]
+            result[r[_KEY]]["inline"] = True
     if large:
         _narrow(long_df, result, large, probs, finish_rows, buckets)
     return result
@@ -180,7 +192,7 @@ def _finish(long_df, targets, finish):
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> dict[str, dict]:
     """Quantiles of several numeric columns of one frame (NULLs skipped), one pass per stage."""
     res = quantiles_long(long_values(df, columns), probs, **kw)
-    empty = {"n": 0, "min": None, "max": None, "q": [None] * len(probs)}
+    empty = {"n": 0, "min": None, "max": None, "q": [None] * len(probs), "inline": True}
     return {c: res.get(c, dict(empty)) for c in columns}
 
 

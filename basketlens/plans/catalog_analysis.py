@@ -537,3 +537,9 @@ def q_full_pipeline(spark, sf):
     """Entry 1 (C9, C16, E1, F1, D-J1): type, repair, integrity checks, features, join — from raw inputs."""
     out = presets.full_pipeline(fx.lines_dirty(spark, sf), fx.campaign(spark, sf))
     return rounded(out, FEATURE_ROUND).select(*JOINED_COLUMNS)
+
+
+@register("generate_missing_ids")
+def q_generate_ids(spark, sf):
+    """C7, D-J4: every dirty line whose CustomerID is missing gets its own deterministic generated ID."""
+    return quality.handle_missing_identifiers(fx.lines_dirty(spark, sf), "CustomerID", "generate")
