@@ -121,72 +121,114 @@ def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
 
 
 def _narrow(long_df, result, keys, probs, finish_rows, buckets):
-    spark = long_df.sparkSession
-    # target = (key, rank); interval state: lo value, hi value, rows below lo.
-    targets = {}
+    ranks = {k: sorted({r for lo, hi, _ in _positions(result[k]["n"], probs) for r in (lo, hi)}) for k in keys}
+    values = select_ranks(long_df, {k: result[k] for k in keys}, ranks, finish_rows, buckets)
     for k in keys:
         info = result[k]
-        for lo, hi, _ in _positions(info["n"], probs):
-            for rank in {lo, hi}:
-                targets[(k, rank)] = [info["min"], info["max"], 0, None]
-    pending = {t for t in targets}
+        info["q"] = [_interp(values[(k, lo)], values[(k, hi)], frac)
+                     for lo, hi, frac in _positions(info["n"], probs)]
+
+
+def _path_str(path) -> str:
+    return "".join(f"/{b}" for b in path)
+
+
+def _bucket(buckets: int):
+    v, lo, hi = F.col(_VAL), F.col("__lo"), F.col("__hi")
+    return F.least(F.width_bucket(v, lo, hi, F.lit(buckets)), F.lit(buckets))
+
+
+def _descend(long_df: DataFrame, bounds: dict, paths: set, buckets: int) -> DataFrame:
+    """Rows inside the intervals ``paths`` (same depth), with ``__p`` (path) and ``__lo``/``__hi``.
+
+    Level by level, each row's bucket index inside its parent interval is
+    appended to its path, and an equality join with that level's (tiny,
+    broadcast) interval table keeps only rows of pending intervals: no row is
+    ever multiplied, whatever the number of targets.
+    """
+    spark = long_df.sparkSession
+    depth = len(next(iter(paths))[1])
+    df = long_df.withColumn("__p", F.lit(""))
+    for level in range(depth + 1):
+        spec = sorted({(k, _path_str(p[:level])) + tuple(bounds[(k, p[:level])]) for k, p in paths})
+        spec_df = spark.createDataFrame([(k, ps, float(lo), float(hi)) for k, ps, lo, hi in spec],
+                                        f"{_KEY} string, __p string, __lo double, __hi double")
+        df = df.join(F.broadcast(spec_df), [_KEY, "__p"]).filter(F.col(_VAL).between(F.col("__lo"), F.col("__hi")))
+        if level < depth:
+            df = (df.withColumn("__p", F.concat(F.col("__p"), F.lit("/"), _bucket(buckets).cast("string")))
+                  .drop("__lo", "__hi"))
+    return df
+
+
+def select_ranks(long_df: DataFrame, stats: dict, ranks: dict, finish_rows: int | None = None,
+                 buckets: int | None = None) -> dict:
+    """Exact order statistics: ``{(key, rank0): value}`` for 0-based ranks per key, by histogram narrowing.
+
+    ``stats[key]`` needs ``min`` and ``max``. Each pass is one distributed
+    aggregation (counts per bucket of every pending interval); targets in the
+    same interval share it. Only bucket counts and final values reach the driver.
+    """
+    finish_rows = FINISH_ROWS if finish_rows is None else finish_rows
+    buckets = BUCKETS if buckets is None else buckets
+    state = {}
+    bounds = {}
+    for k, rs in ranks.items():
+        mn, mx = stats[k]["min"], stats[k]["max"]
+        bounds[(k, ())] = (mn, mx)
+        for r in rs:
+            state[(k, r)] = {"path": (), "below": 0, "value": mn if mn == mx else None}
+    pending = {t for t, st in state.items() if st["value"] is None}
     while pending:
-        tl = sorted(pending)
-        spec = spark.createDataFrame(
-            [(i, k, float(targets[(k, r)][0]), float(targets[(k, r)][1])) for i, (k, r) in enumerate(tl)],
-            f"tid int, {_KEY} string, lo double, hi double")
-        # One pass: counts per bucket of every pending target's interval.
-        j = long_df.join(F.broadcast(spec), _KEY).filter(F.col(_VAL).between(F.col("lo"), F.col("hi")))
-        b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-            F.least(F.width_bucket(F.col(_VAL), F.col("lo"), F.col("hi"), F.lit(buckets)), F.lit(buckets)))
-        hist = (j.groupBy("tid", b.alias("b"))
+        paths = {(k, state[(k, r)]["path"]) for k, r in pending}
+        frame = _descend(long_df, bounds, paths, buckets)
+        hist = (frame.groupBy(_KEY, "__p", _bucket(buckets).alias("__b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min(_VAL).alias("bmn"), F.max(_VAL).alias("bmx"))
                 .collect())
-        by_tid = {}
+        by_interval = {}
         for r in hist:
-            by_tid.setdefault(r["tid"], []).append(r)
+            by_interval.setdefault((r[_KEY], r["__p"]), []).append(r)
         finish = []
-        for tid, t in enumerate(tl):
+        for t in sorted(pending):
             k, rank = t
-            state = targets[t]
-            local = rank - state[2]
+            st = state[t]
+            local = rank - st["below"]
             acc = 0
-            for r in sorted(by_tid.get(tid, []), key=lambda x: x["b"]):
+            for r in sorted(by_interval.get((k, _path_str(st["path"])), []), key=lambda x: x["__b"]):
                 if acc + r["c"] > local:
-                    state[0], state[1], state[2] = r["bmn"], r["bmx"], state[2] + acc
+                    st["path"] = st["path"] + (r["__b"],)
+                    st["below"] += acc
+                    bounds[(k, st["path"])] = (r["bmn"], r["bmx"])
                     if r["bmn"] == r["bmx"]:
-                        state[3] = r["bmn"]
+                        st["value"] = r["bmn"]
                         pending.discard(t)
                     elif r["c"] <= finish_rows:
                         finish.append(t)
                     break
                 acc += r["c"]
+            else:
+                raise RuntimeError(f"rank {rank} of {k!r} not found while narrowing")
         if finish:
-            _finish(long_df, targets, finish)
-            for t in finish:
-                pending.discard(t)
-    for k in keys:
-        info = result[k]
-        info["q"] = [_interp(targets[(k, lo)][3], targets[(k, hi)][3], frac)
-                     for lo, hi, frac in _positions(info["n"], probs)]
+            _finish(long_df, bounds, state, finish, buckets)
+            pending.difference_update(finish)
+    return {t: st["value"] for t, st in state.items()}
 
 
-def _finish(long_df, targets, finish):
-    """Read order statistics from intervals small enough for one window task each."""
+def _finish(long_df, bounds, state, finish, buckets):
+    """Read order statistics inside intervals small enough (counted) for one window task each."""
     spark = long_df.sparkSession
-    spec = spark.createDataFrame(
-        [(i, k, float(targets[(k, r)][0]), float(targets[(k, r)][1]), int(r - targets[(k, r)][2]))
-         for i, (k, r) in enumerate(finish)],
-        f"tid int, {_KEY} string, lo double, hi double, local long")
-    vals = (long_df.join(F.broadcast(spec), _KEY)
-            .filter(F.col(_VAL).between(F.col("lo"), F.col("hi")))
-            .groupBy("tid", "local", _VAL).agg(F.count(F.lit(1)).alias("c")))
-    w = Window.partitionBy("tid").orderBy(_VAL).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    got = (vals.withColumn("cum", F.sum("c").over(w))
+    paths = {(k, state[(k, r)]["path"]) for k, r in finish}
+    frame = _descend(long_df, bounds, paths, buckets)
+    vals = frame.groupBy(_KEY, "__p", _VAL).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(_KEY, "__p").orderBy(_VAL).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = vals.withColumn("cum", F.sum("c").over(w))
+    want = spark.createDataFrame(
+        [(k, _path_str(state[(k, r)]["path"]), int(r), int(r - state[(k, r)]["below"])) for k, r in finish],
+        f"{_KEY} string, __p string, rank long, local long")
+    got = (cum.join(F.broadcast(want), [_KEY, "__p"])
            .filter((F.col("cum") - F.col("c") <= F.col("local")) & (F.col("local") < F.col("cum")))
-           .select("tid", _VAL).collect())
+           .select(_KEY, "rank", _VAL).collect())
     for r in got:
-        targets[finish[r["tid"]]][3] = r[_VAL]
+        state[(r[_KEY], r["rank"])]["value"] = r[_VAL]
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> dict[str, dict]:
@@ -206,3 +248,18 @@ def grouped_quantiles(df: DataFrame, columns: Sequence[str], group_cols: Sequenc
         parts = k.split("\u0001")
         out[(parts[0], *[None if p == "\u0000" else p for p in parts[1:]])] = v
     return out
+
+
+def rank_values(long_df: DataFrame, ranks_for_n, **kw) -> dict:
+    """Exact values at chosen 1-based ranks per key; ``ranks_for_n(n)`` gives the ranks for a key of n values.
+
+    Returns ``{key: (n, [(rank, value), ...])}`` (bounded by keys x ranks).
+    """
+    stats = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"]} for r in
+             long_df.groupBy(_KEY).agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"),
+                                       F.max(_VAL).alias("mx")).collect()}
+    if len(stats) > MAX_KEYS:
+        raise ValueError(f"too many keys ({len(stats)} > {MAX_KEYS})")
+    wanted = {k: sorted({r - 1 for r in ranks_for_n(s["n"])}) for k, s in stats.items() if s["n"]}
+    vals = select_ranks(long_df, stats, wanted, **kw)
+    return {k: (stats[k]["n"], [(r + 1, vals[(k, r)]) for r in rs]) for k, rs in wanted.items()}

@@ -543,3 +543,16 @@ def q_full_pipeline(spark, sf):
 def q_generate_ids(spark, sf):
     """C7, D-J4: every dirty line whose CustomerID is missing gets its own deterministic generated ID."""
     return quality.handle_missing_identifiers(fx.lines_dirty(spark, sf), "CustomerID", "generate")
+
+
+_QQ_GRID_POINTS = 64
+
+
+@register("qq_grid", S.statement(
+    f"SELECT DISTINCT variable, rank, n, {R('value', 4)} AS value, {R('theoretical', 9)} AS theoretical "
+    f"FROM qp, range({_QQ_GRID_POINTS}) g(j) "
+    f"WHERE n <= {_QQ_GRID_POINTS} OR rank = 1 + (j * (n - 1)) // {_QQ_GRID_POINTS - 1}",
+    ["lines", "campaign"], _qq_ctes()))
+def q_qq_grid(spark, sf):
+    """H1 at scale: QQ points at 64 evenly spaced exact ranks per variable (bounded output)."""
+    return rounded(stats.qq_grid(encoded(spark, sf), _QQ_VARS, _QQ_GRID_POINTS), {"value": 4, "theoretical": 9})
