@@ -83,7 +83,15 @@ def main():
     from basketlens.session import get_spark
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
-    spark = get_spark("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # the plainest session a caller could hand in: no time zone, AQE or checkpoint settings
+        from pyspark.sql import SparkSession
+        b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+        if os.environ.get("SESSION_TZ"):
+            b = b.config("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+        spark = b.getOrCreate()
+    else:
+        spark = get_spark("local[8]", 8)
     con = duck(sf_dir)
     qs, oracles = E.queries(), E.oracle_sql()
     bad = 0
