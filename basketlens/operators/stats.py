@@ -157,7 +157,8 @@ def vif_elimination(df: DataFrame, columns: Sequence[str], threshold: float = 5.
         del keep[worst]
         step += 1
     final = vif_from_gram(g[np.ix_(keep, keep)]) if keep else np.array([])
-    vif_df = spark.createDataFrame([(names[i], float(x)) for i, x in zip(keep, final)], "feature string, vif double")
+    vif_df = spark.createDataFrame(sorted([(names[i], float(x)) for i, x in zip(keep, final)], key=lambda r: -r[1]),
+                                   "feature string, vif double")  # G3: highest VIF first
     log_df = spark.createDataFrame(log, "step int, removed string, vif double")
     return [names[i] for i in keep], vif_df, log_df
 
@@ -221,7 +222,8 @@ def logit_significance(df: DataFrame, features: Sequence[str], response: str = "
         pv = float(p[i])
         rows.append((name, float(coefs[i]), float(se[i]), float(t[i]), pv,
                      float(-np.log10(pv)) if pv > 0 else float("inf")))
-    table = spark.createDataFrame(rows, "feature string, coef double, se double, z double, p_value double, "
-                                        "neg_log10_p double")
+    table = spark.createDataFrame(sorted(rows, key=lambda r: r[4]),  # G3: most significant first
+                                  "feature string, coef double, se double, z double, p_value double, "
+                                  "neg_log10_p double")
     significant = [r[0] for r in rows if r[0] != "const" and r[4] < alpha]
     return significant, table

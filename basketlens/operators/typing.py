@@ -85,3 +85,13 @@ def categorical_columns(df: DataFrame, exclude=()) -> list[str]:
     """Text and boolean columns (the reference's category/object selection, B19)."""
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, (T.StringType, T.BooleanType)) and f.name not in set(exclude)]
+
+
+def overview(df: DataFrame, n: int = 5, order_by=None):
+    """dtypes listing plus the first ``n`` rows in an explicit order.
+
+    Returns (schema DataFrame, first-rows DataFrame); the order defaults to all
+    columns so the rows shown are deterministic.
+    """
+    order = list(order_by) if order_by else df.columns
+    return schema_report(df), df.orderBy(*order).limit(n)

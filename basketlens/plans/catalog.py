@@ -370,3 +370,14 @@ def _bin_counts_sql():
 def q_bin_counts(spark, sf):
     """Label counts of the six bin columns."""
     return eda.bin_value_counts(features(spark, sf), list(BIN_SOURCES))
+
+
+_CAMPAIGN_COLS = [("CustomerID", True), ("response", False), ("loyalty", False), ("nps", False),
+                  ("n_comp", False), ("n_communications", False)]
+
+
+@register("campaign_missing_report", S.statement(_missing_sql("ctyped", _CAMPAIGN_COLS), ["campaign"],
+                                                 [("ctyped", CAMPAIGN_TYPED_SQL)]))
+def q_campaign_missing(spark, sf):
+    """Missing values of the typed campaign (blank NPS becomes NULL and is counted)."""
+    return quality.missing_report(typed_campaign(spark, sf))

@@ -78,3 +78,27 @@ def test_features_independent_of_partitioning(spark, parts):
                 assert math.isclose(a[c], b[c], rel_tol=1e-12), c
             else:
                 assert a[c] == b[c], c
+
+
+def test_hot_customer_features_match_brute_force(spark):
+    """One customer holding a third of all lines: same results, and the exact distinct counts hold."""
+    import random
+    import datetime as dt
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        cust = "hot" if i % 3 == 0 else f"c{rnd.randint(1, 200)}"
+        rows.append((str(rnd.randint(1, 400)), str(rnd.randint(1, 50)), "d", rnd.randint(-2, 9),
+                     dt.datetime(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 900)), float(rnd.randint(1, 99)),
+                     cust, "X"))
+    schema = ("InvoiceNo string, StockCode string, Description string, Quantity bigint, "
+              "InvoiceDate timestamp_ntz, UnitPrice double, CustomerID string, Country string")
+    lines = spark.createDataFrame(rows, schema).repartition(7)
+    got = {r.CustomerID: r for r in customer_features(lines).collect()}
+    pdf = pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")])
+    hot = pdf[pdf.CustomerID == "hot"]
+    assert got["hot"].num_orders == hot.InvoiceNo.nunique()
+    assert got["hot"].product_diversity == hot.StockCode.nunique()
+    assert got["hot"].total_quantity == hot.Quantity.sum()
+    assert math.isclose(got["hot"].total_spending, (hot.Quantity * hot.UnitPrice).sum(), rel_tol=1e-12)
+    assert len(got) == pdf.CustomerID.nunique()
