@@ -18,16 +18,17 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, small_limit: int | None = None) -> DataFrame:
     """(threshold, pos, neg, tp, fp, tpr, fpr) per distinct score, thresholds descending.
 
-    Ties collapse first; running sums come from range partitions (no
-    single-task window). Point i means "predict 1 when score >= threshold".
+    Ties collapse first; running sums come from ``ordering.prefix_sums`` (a
+    bounded window for a counted small table, range partitions otherwise).
+    Point i means "predict 1 when score >= threshold".
     """
     y = F.col(label).cast("double")
     d = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(y == 1).cast("bigint").alias("pos"), F.count_if(y != 1).cast("bigint").alias("neg"))
-    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions)
+    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions, small_limit=small_limit)
     tot = d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return (c.crossJoin(F.broadcast(tot))
             .select("threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
@@ -47,11 +48,11 @@ def roc_summary(points: DataFrame) -> DataFrame:
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, small_limit: int | None = None) -> DataFrame:
     """One row of metrics (J14, J15): accuracy, sensitivity, specificity, balanced accuracy,
     precision, recall, F1, AUC and the Youden threshold."""
     cm = confusion_matrix(df, label, prediction)
-    rs = roc_summary(roc_points(df, label, score, num_partitions))
+    rs = roc_summary(roc_points(df, label, score, num_partitions, small_limit))
     tp, tn, fp, fn = (F.col(c).cast("double") for c in ("tp", "tn", "fp", "fn"))
     sens = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
     spec = F.coalesce(F.try_divide(tn, tn + fp), F.lit(0.0))

@@ -83,8 +83,16 @@ def preprocess_for_model(data: DataFrame, response: str = "response") -> DataFra
     days = [c for c in ("customer_tenure_days", "recency_days") if c in df.columns]
     if days:
         df = df.withColumns({c: finite_or_null(c) for c in days})
-        df = median_fill(df, days)
-        df = standard_scale(df, days)
+        # one pass: missing counts and the scaling statistics; the median fill
+        # (two more jobs) only runs when a day column actually has NULLs
+        row = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"c{i}") for i, c in enumerate(days)],
+                     *[F.avg(c).alias(f"m{i}") for i, c in enumerate(days)],
+                     *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(days)]).first()
+        if any(row[f"c{i}"] != row["n"] for i in range(len(days))):
+            df = standard_scale(median_fill(df, days), days)
+        else:
+            df = df.withColumns({c: (F.col(c) - F.lit(row[f"m{i}"])) / F.lit(row[f"s{i}"] or 1.0)
+                                 for i, c in enumerate(days) if row[f"m{i}"] is not None})
     codes = {}
     for c in CATEGORICAL_INT_FIELDS:
         if c in df.columns:

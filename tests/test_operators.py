@@ -127,10 +127,10 @@ def test_prefix_sums_and_ranks_match_brute_force(spark):
     rnd = random.Random(5)
     vals = [rnd.randint(0, 50) for _ in range(2000)] + [7] * 1000  # a third of rows on one value
     df = spark.createDataFrame([("k", float(v)) for v in vals], "key string, value double")
-    ranked = ordering.value_ranks(df, "key", "value", num_partitions=5, chunk=100)
-    got = sorted((r["value"], r["rank"]) for r in ranked.collect())
     want = sorted(zip(sorted(float(v) for v in vals), range(1, len(vals) + 1)))
-    assert got == want
+    for limit in (0, None):  # range-partitioned path, then the bounded small-window path
+        ranked = ordering.value_ranks(df, "key", "value", num_partitions=5, chunk=100, small_limit=limit)
+        assert sorted((r["value"], r["rank"]) for r in ranked.collect()) == want
 
 
 def test_confusion_single_class_and_auc(spark):
@@ -140,7 +140,8 @@ def test_confusion_single_class_and_auc(spark):
     rnd = random.Random(7)
     rows = [(float(rnd.random() < 0.4), 0.0, float(round(rnd.random(), 2))) for _ in range(400)]
     df = spark.createDataFrame(rows, "label double, prediction double, score double")
-    m = evaluation.evaluate(df, num_partitions=4).first()
+    m = evaluation.evaluate(df, num_partitions=4, small_limit=0).first()
+    assert evaluation.evaluate(df).first() == m
     pos = [s for y, _, s in rows if y == 1]
     neg = [s for y, _, s in rows if y == 0]
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))

@@ -36,3 +36,11 @@ def test_narrowing_quantiles_match_oracle(spark, con, name, monkeypatch):
     monkeypatch.setattr(Q, "BUCKETS", 4)
     line, ok = compare(spark, con, name, E.queries()[name], ORACLES[name], SF_SMALL)
     assert ok, line
+
+
+@pytest.mark.parametrize("name", ["qq_points", "qq_fit", "roc_points", "score_evaluation"])
+def test_range_partitioned_prefix_sums_match_oracle(spark, con, name, monkeypatch):
+    from basketlens.operators import ordering
+    monkeypatch.setattr(ordering, "SMALL_LIMIT", 0)
+    line, ok = compare(spark, con, name, E.queries()[name], ORACLES[name], SF_SMALL)
+    assert ok, line
