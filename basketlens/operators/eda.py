@@ -184,6 +184,10 @@ def encode_for_correlation(data: DataFrame, response: str = "response") -> DataF
     return data.select(*cols)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def correlation_matrix(data: DataFrame, response: str = "response") -> DataFrame:
     """Pearson correlation of every pair, long form (var_x, var_y, corr).
 
@@ -191,6 +195,8 @@ def correlation_matrix(data: DataFrame, response: str = "response") -> DataFrame
     aggregation): centred cross-products of every pair of NULL-free columns
     (k(k+1)/2 sums, numerically stable); pairs touching a column with NULLs
     use pairwise-complete rows, like pandas. A zero variance gives NULL.
+    The k² expressions are written as SQL text (one JVM call each instead of
+    one per Column operator).
     """
     enc = encode_for_correlation(data, response)
     names = enc.columns
@@ -198,26 +204,31 @@ def correlation_matrix(data: DataFrame, response: str = "response") -> DataFrame
                     *[F.avg(c).alias(f"m{i}") for i, c in enumerate(names)],
                     *[F.count(c).alias(f"c{i}") for i, c in enumerate(names)]).first()
     full = {i for i, _ in enumerate(names) if first[f"c{i}"] == first["__n"]}
-    cen = {i: F.col(c) - F.lit(first[f"m{i}"] if first[f"m{i}"] is not None else 0.0) for i, c in enumerate(names)}
+    mean = {i: repr(float(first[f"m{i}"])) if first[f"m{i}"] is not None else "0.0" for i in range(len(names))}
     aggs = []
     for i in range(len(names)):
         for j in range(i, len(names)):
+            a, b = _q(names[i]), _q(names[j])
             if i in full and j in full:
-                aggs.append(F.sum(cen[i] * cen[j]).alias(f"s_{i}_{j}"))
+                aggs.append(f"sum(({a} - {mean[i]}) * ({b} - {mean[j]})) AS s_{i}_{j}")
             elif i < j:
-                aggs.append(safe_corr(names[i], names[j]).alias(f"r_{i}_{j}"))
-    wide = enc.agg(*aggs)
+                both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+                xa, xb = f"CASE WHEN {both} THEN {a} END", f"CASE WHEN {both} THEN {b} END"
+                aggs.append(f"try_divide(covar_pop({xa}, {xb}), stddev_pop({xa}) * stddev_pop({xb})) AS r_{i}_{j}")
+    wide = enc.agg(*[F.expr(x) for x in aggs])
 
     def pair(i, j):
         i, j = min(i, j), max(i, j)
         if i in full and j in full:
-            return F.try_divide(F.col(f"s_{i}_{j}"), F.sqrt(F.col(f"s_{i}_{i}") * F.col(f"s_{j}_{j}")))
-        return F.col(f"r_{i}_{j}")
+            return f"try_divide(s_{i}_{j}, sqrt(s_{i}_{i} * s_{j}_{j}))"
+        return f"r_{i}_{j}"
 
-    structs = [F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
-                        (F.lit(1.0) if i == j else pair(i, j)).alias("corr"))
-               for i, a in enumerate(names) for j, b in enumerate(names)]
-    return wide.select(F.inline(F.array(*structs)))
+    structs = []
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            val = "CAST(1.0 AS DOUBLE)" if i == j else f"CAST({pair(i, j)} AS DOUBLE)"
+            structs.append(f"named_struct('var_x', '{a}', 'var_y', '{b}', 'corr', {val})")
+    return wide.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 # ---------------------------------------------------------------------------

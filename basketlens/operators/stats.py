@@ -80,15 +80,13 @@ def gram(df: DataFrame, columns: Sequence[str], constant: bool = True):
     Returns (names, G as numpy array, n rows).
     """
     cols = list(columns)
-    xs = [F.coalesce(finite_or_null(c), F.lit(0.0)) for c in cols]
+    # inf/NaN/NULL -> 0 once, then k(k+1)/2 products written as SQL text (one JVM call each)
+    clean = df.select(*[F.coalesce(finite_or_null(c), F.lit(0.0)).alias(f"x{i}") for i, c in enumerate(cols)])
     names = (["const"] if constant else []) + cols
-    exprs = ([F.lit(1.0)] if constant else []) + xs
+    exprs = (["1.0"] if constant else []) + [f"x{i}" for i in range(len(cols))]
     k = len(exprs)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i in range(k):
-        for j in range(i, k):
-            aggs.append(F.sum(exprs[i] * exprs[j]).alias(f"g_{i}_{j}"))
-    row = df.agg(*aggs).first()
+    aggs = ["count(1) AS n"] + [f"sum({exprs[i]} * {exprs[j]}) AS g_{i}_{j}" for i in range(k) for j in range(i, k)]
+    row = clean.agg(*[F.expr(a) for a in aggs]).first()
     g = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
