@@ -211,18 +211,14 @@ def q_repair(spark, sf):
     return rounded(df, {})
 
 
-@register("mode_fill_quantity", S.statement("""
-SELECT CustomerID, coalesce(Quantity, m) AS Quantity FROM
- (SELECT CustomerID, CASE WHEN CAST(InvoiceNo AS BIGINT) % 7 = 0 THEN NULL ELSE Quantity END AS Quantity FROM lines) x
-CROSS JOIN (SELECT Quantity AS m FROM (SELECT CASE WHEN CAST(InvoiceNo AS BIGINT) % 7 = 0 THEN NULL ELSE Quantity END
-            AS Quantity FROM lines) WHERE Quantity IS NOT NULL GROUP BY Quantity ORDER BY count(*) DESC, Quantity
-            LIMIT 1) mm""", ["lines"]))
+@register("mode_fill_nps", S.statement("""
+SELECT CustomerID, coalesce(nps, m) AS nps FROM ctyped
+CROSS JOIN (SELECT nps AS m FROM ctyped WHERE nps IS NOT NULL GROUP BY nps ORDER BY count(*) DESC, nps LIMIT 1) mm""",
+    ["campaign"], [("ctyped", CAMPAIGN_TYPED_SQL)]))
 def q_mode_fill(spark, sf):
-    """Numeric NULLs filled with the mode (lowest value on ties)."""
-    df = fx.lines(spark, sf).select(
-        "CustomerID", F.when(F.col("InvoiceNo").cast("bigint") % 7 == 0, F.lit(None).cast("bigint"))
-        .otherwise(F.col("Quantity")).alias("Quantity"))
-    return quality.handle_missing_values(df, "Quantity", "default")
+    """Missing NPS scores (blank in the raw campaign) filled with the mode, lowest value on ties."""
+    df = typed_campaign(spark, sf).select("CustomerID", "nps")
+    return quality.handle_missing_values(df, "nps", "default")
 
 
 # ---------------------------------------------------------------------------
