@@ -183,7 +183,7 @@ def score_frame(model, df: DataFrame) -> DataFrame:
 
 
 def run_model(data: DataFrame, features: Sequence[str], response: str, config: str, model_type: str,
-              train_ratio: float = 0.7, seed: int = 42, key: str = "CustomerID"):
+              train_ratio: float = 0.7, seed: int = 42, key: str = "CustomerID", params: dict | None = None):
     """Fit on the train split, score both splits, evaluate (J13, J14). Returns (metrics row DataFrame, model)."""
     require_columns(data, [*features, response])  # the reference validates the variables first (A8)
     feats = list(features)
@@ -200,6 +200,9 @@ def run_model(data: DataFrame, features: Sequence[str], response: str, config: s
     train = train.cache()
     n_train = train.count()
     est = make_estimator(model_type, n_train)
+    if params:
+        target = est.svc if isinstance(est, _PlattSVM) else est
+        target.setParams(**params)
     model = est.fit(train)
     m_tr = evaluate(score_frame(model, train)).first()
     m_te = evaluate(score_frame(model, test)).first()

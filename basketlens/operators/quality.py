@@ -86,16 +86,18 @@ def handle_missing_values(df: DataFrame, col: str, policy: str = "keep") -> Data
     return df if m is None else df.withColumn(col, F.coalesce(F.col(col), F.lit(m)))
 
 
-def fill_missing_ids(df: DataFrame, col: str, seed: str = "basketlens", length: int = 16) -> DataFrame:
+def fill_missing_ids(df: DataFrame, col: str, seed: str = "basketlens", length: int = 32) -> DataFrame:
     """Give every row with a missing identifier its own deterministic ID.
 
     Rows needing an ID are counted per (row content, input partition) — a
     partial aggregation, so a hot group of identical rows collapses map-side
     and no group is larger than one input partition — then re-expanded with
     an ordinal. ID = hex prefix of sha2(seed, row content, partition, ordinal):
-    always distinct (also for identical rows), no ``rand()``; the same IDs come
-    back on recomputation whenever the input partitioning is deterministic
-    (file scans, hash shuffles).
+    always distinct inputs to the hash (also for identical rows), and 32 hex
+    characters (128 bits) make a collision, among themselves or with existing
+    IDs, negligible even for billions of rows; no ``rand()``. The same IDs
+    come back on recomputation whenever the input partitioning is
+    deterministic (file scans, hash shuffles).
     """
     df = normalize_blanks(df, [col])
     others = [c for c in df.columns if c != col]

@@ -38,6 +38,10 @@ class Prepared:
     outliers: DataFrame | None = None
     notes: list = field(default_factory=list)
 
+    def table(self, response: str = "response") -> DataFrame:
+        """The selected variables plus the response (J18's prepared table)."""
+        return self.data.select(*self.variables, response)
+
 
 def _select_variables(df: DataFrame, response: str, vif_threshold: float = 5.0):
     cands = numeric_model_columns(df, response, wide_only=False)
@@ -71,12 +75,15 @@ def prepare(joined: DataFrame, config: str = "baseline", response: str = "respon
 
 
 def run_configuration(joined: DataFrame, config: str, model_type: str, train_ratio: float = 0.7,
-                      response: str = "response"):
-    """Prepare + fit + evaluate one (configuration, model) pair; returns (metrics row, Prepared)."""
+                      response: str = "response", params: dict | None = None):
+    """Prepare + fit + evaluate one (configuration, model) pair; returns (metrics row, Prepared).
+
+    ``params`` overrides estimator settings (e.g. ``{"maxDepth": 12}`` for trees at scale).
+    """
     p = prepare(joined, config, response, model_type)
     if not p.variables:
         raise ValueError(f"{config}: no significant variables")
-    metrics, _ = run_model(p.data, p.variables, response, config, model_type, train_ratio)
+    metrics, _ = run_model(p.data, p.variables, response, config, model_type, train_ratio, params=params)
     return metrics, p
 
 

@@ -60,3 +60,15 @@ def test_model_bin_codes_lexical_and_ordinal(spark):
     ordn = [r[0] for r in df.select(model_bin_code(F.col("x"), [0.5, 1.5, 2.5], "ordinal")).collect()]
     assert lex == [1, 2, 0, 3, 4]   # low, medium, high, very_high sorted by name; NULL last
     assert ordn == [0, 1, 2, 3, 4]
+
+
+def test_estimator_params_override(spark):
+    from basketlens.operators.modeling import run_model, tree_nodes
+    from basketlens.plans import presets
+    from basketlens.plans.catalog import joined
+    from conftest import SF_SMALL
+    p = presets.prepare(joined(spark, SF_SMALL), "baseline")
+    _, model = run_model(p.data, p.variables, "response", "baseline", "decision_tree", params={"maxDepth": 2})
+    nodes = tree_nodes(model, p.variables, spark)
+    assert nodes.agg({"depth": "max"}).first()[0] <= 2
+    assert set(p.table().columns) == set(p.variables) | {"response"}
