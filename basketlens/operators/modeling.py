@@ -243,12 +243,13 @@ def tree_nodes(model, features: Sequence[str], spark) -> DataFrame:
     rows = []
     for i, line in enumerate(model.toDebugString.splitlines()[1:]):
         m = _NODE_RE.match(line)
+        # toDebugString indents the root's split lines by two spaces, one more per level
         if m:
-            depth = (len(m.group(1)) - 1) // 1
-            rows.append((i, depth, m.group(2).lower(), features[int(m.group(3))], m.group(4), m.group(5), None))
+            rows.append((i, len(m.group(1)) - 2, m.group(2).lower(), features[int(m.group(3))], m.group(4),
+                         m.group(5), None))
             continue
         m = _LEAF_RE.match(line)
         if m:
-            rows.append((i, len(m.group(1)) - 1, "leaf", None, None, None, float(m.group(2))))
+            rows.append((i, len(m.group(1)) - 2, "leaf", None, None, None, float(m.group(2))))
     return spark.createDataFrame(rows, "line int, depth int, kind string, feature string, op string, "
                                        "threshold string, prediction double")
