@@ -52,19 +52,38 @@ R = S.rnd
 # Shared building blocks
 # ---------------------------------------------------------------------------
 
+# Shared customer-level tables, one per (session, data folder): every query
+# over the same inputs reuses one persisted copy instead of caching its own.
+_SHARED: dict = {}
+
+
+def _shared(spark: SparkSession, sf: str, name: str, build):
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
+
+def reset_cache() -> None:
+    """Drop the shared tables (and their cached blocks); the next query rebuilds them."""
+    for df in _SHARED.values():
+        df.unpersist()
+    _SHARED.clear()
+
+
 def typed_campaign(spark: SparkSession, sf: str) -> DataFrame:
     return convert_campaign_data_types(fx.campaign(spark, sf))
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return customer_features(fx.lines(spark, sf))
+    return _shared(spark, sf, "features", lambda: customer_features(fx.lines(spark, sf)))
 
 
 def joined(spark: SparkSession, sf: str) -> DataFrame:
     """Features joined to the typed campaign; persisted because analyses make several passes over it."""
     from pyspark import StorageLevel
-    return camp.join_customer_campaign(features(spark, sf), typed_campaign(spark, sf)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    return _shared(spark, sf, "joined", lambda: camp.join_customer_campaign(
+        features(spark, sf), typed_campaign(spark, sf)).persist(StorageLevel.MEMORY_AND_DISK))
 
 
 CAMPAIGN_TYPED_SQL = """
