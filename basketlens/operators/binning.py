@@ -73,9 +73,25 @@ def quartile_label(col, edges: Sequence[float], labels=QUARTILE_LABELS) -> Colum
     return expr.otherwise(F.lit(UNKNOWN))
 
 
+def bin_levels(edges: Sequence[float]) -> list[str]:
+    """Levels a bin column can take, in order: one label per interval, then Unknown."""
+    return list(QUARTILE_LABELS[:max(len(edges) - 1, 0)]) + [UNKNOWN]
+
+
+def levels_of(df: DataFrame, col: str):
+    """Level list carried in a column's metadata (set by ``apply_quartile_bins``), or None."""
+    return df.schema[col].metadata.get("levels") if col in df.columns else None
+
+
 def apply_quartile_bins(df: DataFrame, mapping: Mapping[str, str], edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Add ``out_col`` labels for every ``out_col -> source`` pair using fitted edges."""
-    return df.withColumns({out: quartile_label(src, edges.get(src, [])) for out, src in mapping.items()})
+    """Add ``out_col`` labels for every ``out_col -> source`` pair using fitted edges.
+
+    Each label column carries its ordered level list in the column metadata
+    (like a categorical dtype): empty levels and level codes stay exact when
+    duplicate edges drop labels.
+    """
+    return df.withColumns({out: quartile_label(src, edges.get(src, [])).alias(
+        out, metadata={"levels": bin_levels(edges.get(src, []))}) for out, src in mapping.items()})
 
 
 def quartile_bins(df: DataFrame, mapping: Mapping[str, str], **qkw) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import NPS_BANDS, nps_band, parse_timestamp, safe_corr, to_number
-from .binning import QUARTILE_LABELS, UNKNOWN, iqr_bounds
+from .binning import QUARTILE_LABELS, UNKNOWN, iqr_bounds, levels_of
 from .quantiles import grouped_quantiles
 from .quality import drop_duplicates, drop_missing, require_columns
 
@@ -60,7 +60,7 @@ def response_rate_table(data: DataFrame, response: str = "response",
         if v == "nps":
             fixed += [(v, label) for label, _ in NPS_BANDS]
         elif v.endswith("_bin"):
-            fixed.append((v, UNKNOWN))
+            fixed += [(v, lv) for lv in (levels_of(data, v) or [UNKNOWN])]
     if fixed:
         zero = spark.createDataFrame(fixed, "variable string, level string") \
             .withColumn("n", F.lit(0).cast("bigint")).withColumn("n_plus", F.lit(0).cast("bigint"))
@@ -136,11 +136,18 @@ def top_products(raw_lines: DataFrame, n: int = 5) -> DataFrame:
 
 
 def bin_value_counts(features: DataFrame, bin_columns: Sequence[str]) -> DataFrame:
-    """(bin_column, label, count) including NULL labels."""
+    """(bin_column, label, count) including NULL labels and empty levels with count 0."""
     pairs = F.array(*[F.struct(F.lit(c).alias("bin_column"), F.col(c).cast("string").alias("label"))
                       for c in bin_columns])
-    return (features.select(F.inline(pairs)).groupBy("bin_column", "label")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
+    counts = (features.select(F.inline(pairs)).groupBy("bin_column", "label")
+              .agg(F.count(F.lit(1)).cast("bigint").alias("count")))
+    fixed = [(c, lv) for c in bin_columns for lv in (levels_of(features, c) or [])]
+    if not fixed:
+        return counts
+    zero = features.sparkSession.createDataFrame(fixed, "bin_column string, label string") \
+        .withColumn("count", F.lit(0).cast("bigint"))
+    return (counts.unionByName(zero).groupBy("bin_column", "label")
+            .agg(F.sum("count").cast("bigint").alias("count")))
 
 
 # ---------------------------------------------------------------------------
@@ -172,7 +179,8 @@ def encode_for_correlation(data: DataFrame, response: str = "response") -> DataF
         if f.name in NON_INFORMATIVE:
             continue
         if f.name.endswith("_bin"):
-            cols.append(category_codes(data, f.name, BIN_LEVELS).cast("double").alias(f.name))
+            levels = levels_of(data, f.name) or BIN_LEVELS
+            cols.append(category_codes(data, f.name, levels).cast("double").alias(f.name))
         elif f.name == "nps":
             cols.append(F.coalesce(F.col("nps"), F.lit(-1)).cast("double").alias("nps"))
         elif isinstance(f.dataType, T.BooleanType):

@@ -99,10 +99,11 @@ def preprocess_for_model(data: DataFrame, response: str = "response") -> DataFra
             codes[c] = F.coalesce(F.col(c).cast("int"), F.lit(0))
     for c in BIN_FIELDS:
         if c in df.columns and isinstance(df.schema[c].dataType, T.StringType):
+            levels = df.schema[c].metadata.get("levels") or list(BIN_LEVELS)  # the column's own level order
             filled = F.coalesce(F.col(c), F.lit(UNKNOWN))
-            codes[c] = F.coalesce(F.element_at(F.create_map(*[x for i, lv in enumerate(BIN_LEVELS)
+            codes[c] = F.coalesce(F.element_at(F.create_map(*[x for i, lv in enumerate(levels)
                                                               for x in (F.lit(lv), F.lit(i))]), filled),
-                                  F.lit(BIN_LEVELS.index(UNKNOWN))).cast("tinyint")
+                                  F.lit(levels.index(UNKNOWN) if UNKNOWN in levels else len(levels))).cast("tinyint")
     df = df.withColumns(codes) if codes else df
     fills = {f.name: F.coalesce(finite_or_null(f.name).cast(f.dataType), F.lit(0).cast(f.dataType))
              for f in df.schema.fields

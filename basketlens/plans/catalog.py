@@ -312,7 +312,9 @@ FROM (
   UNION ALL SELECT 'recency_bin', recency_bin, count(*), sum(CAST(response AS INTEGER)) FROM joined GROUP BY 2
   UNION ALL SELECT 'total_sales_bin', total_sales_bin, count(*), sum(CAST(response AS INTEGER)) FROM joined GROUP BY 2
   UNION ALL SELECT * FROM (VALUES ('nps', 'Detractor (0-6)', 0, 0), ('nps', 'Passive (7-8)', 0, 0),
-     ('nps', 'Promoter (9-10)', 0, 0), ('recency_bin', 'Unknown', 0, 0), ('total_sales_bin', 'Unknown', 0, 0))
+     ('nps', 'Promoter (9-10)', 0, 0))
+  UNION ALL SELECT 'recency_bin', lv, 0, 0 FROM ({S.bin_levels_sql('recency_bin')})
+  UNION ALL SELECT 'total_sales_bin', lv, 0, 0 FROM ({S.bin_levels_sql('total_sales_bin')})
 ) t GROUP BY variable, level""", ["lines", "campaign"], JOINED_CTES))
 def q_rr_table(spark, sf):
     """Response rate by loyalty, NPS band, recency bin, sales bin (one pass)."""
@@ -376,9 +378,10 @@ def q_top_products(spark, sf):
 
 
 def _bin_counts_sql():
-    parts = [f"SELECT '{b}' AS bin_column, {b} AS label, CAST(count(*) AS BIGINT) AS count FROM feat GROUP BY 2"
-             for b in BIN_SOURCES]
-    return " UNION ALL ".join(parts)
+    parts = [f"SELECT '{b}' AS bin_column, {b} AS label, count(*) AS c FROM feat GROUP BY 2" for b in BIN_SOURCES]
+    parts += [f"SELECT '{b}', lv, 0 FROM ({S.bin_levels_sql(b)})" for b in BIN_SOURCES]
+    return (f"SELECT bin_column, label, CAST(sum(c) AS BIGINT) AS count FROM ({' UNION ALL '.join(parts)}) t "
+            f"GROUP BY bin_column, label")
 
 
 @register("bin_value_counts", S.statement(_bin_counts_sql(), ["lines"], S.features_ctes("lines")))

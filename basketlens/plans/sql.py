@@ -124,3 +124,15 @@ def norm_ppf_sql(p: str) -> str:
     tail = f"(CASE WHEN {q} < 0 THEN -{mag} ELSE {mag} END)"
     return (f"(CASE WHEN ({p}) <= 0 OR ({p}) >= 1 THEN NULL WHEN abs({q}) <= 0.425 THEN {central} "
             f"ELSE {tail} END)")
+
+
+def bin_levels_sql(bin_col: str) -> str:
+    """SELECT of the level list of a bin column (labels its fitted edges produce, then 'Unknown').
+
+    Needs the ``be{i}`` CTEs of ``features_ctes`` in scope.
+    """
+    sources = list(dict.fromkeys(BIN_SOURCES.values()))
+    i = sources.index(BIN_SOURCES[bin_col])
+    values = ", ".join(f"('{lv}', {k + 1})" for k, lv in enumerate(QUARTILE_LABELS))
+    return (f"SELECT lv FROM (VALUES {values}) v(lv, k), be{i} WHERE k <= len(be{i}.ed) - 1 "
+            f"UNION ALL SELECT '{UNKNOWN}'")

@@ -147,3 +147,14 @@ def test_confusion_single_class_and_auc(spark):
     brute = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert m.auc == pytest.approx(brute, abs=1e-12)
     assert 0.0 <= m.auc <= 1.0
+
+
+def test_bin_levels_metadata_follow_dropped_labels(spark):
+    from basketlens.operators.eda import bin_value_counts, encode_for_correlation
+    df = _col(spark, [0.0] * 8 + [1.0, 2.0, 3.0, 1000.0])
+    out = binning.quartile_bins(df, {"x_bin": "x"})
+    assert binning.levels_of(out, "x_bin") == ["Very Low", "Low", "Unknown"]
+    counts = {r["label"]: r["count"] for r in bin_value_counts(out, ["x_bin"]).collect()}
+    assert counts == {"Very Low": 8, "Low": 3, "Unknown": 1}
+    codes = [r["x_bin"] for r in encode_for_correlation(out.drop("x")).collect()]
+    assert codes == [0.0] * 8 + [1.0] * 3 + [2.0]   # Unknown is the third level here, as in a categorical
