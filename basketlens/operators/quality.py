@@ -244,9 +244,14 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
 
     if mode != "sequential":
         raise ValueError(f"unknown mode {mode!r}")
+    # one statistics pass over the input: each later step filters a subset, whose
+    # distinct count can only be smaller, so small columns skip their own pass
+    from .quantiles import is_small, long_values, quantiles_long
+    first = quantiles_long(long_values(df, cols), [], **qkw)
     cur = df
     for i, c in enumerate(cols):
-        q = column_quantiles(cur, [c], [0.25, 0.75], **qkw)[c]
+        small = c in first and is_small(first[c]["nd"], qkw.get("inline_limit"))
+        q = column_quantiles(cur, [c], [0.25, 0.75], known_small=small, **qkw)[c]
         if q["n"] == 0:
             continue
         lo, hi = iqr_bounds(*q["q"], k=k)

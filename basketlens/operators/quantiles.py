@@ -100,12 +100,12 @@ def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
              .collect())
     if len(stats) > MAX_KEYS:
         raise ValueError(f"too many quantile keys ({len(stats)} > {MAX_KEYS})")
-    result = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "q": [None] * len(probs), "inline": False}
-              for r in stats}
+    result = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "q": [None] * len(probs), "inline": False,
+                        "nd": r["nd"]} for r in stats}
     if not probs or not result:
         return result
 
-    small = [k for k, r in zip(result, stats) if r["nd"] * 1.1 + 16 <= inline_limit]
+    small = [k for k, r in zip(result, stats) if is_small(r["nd"], inline_limit)]
     large = [k for k in result if k not in set(small)]
 
     if small:
@@ -120,6 +120,12 @@ def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
     return result
 
 
+def is_small(approx_distinct: int, inline_limit: int | None = None) -> bool:
+    """Whether the exact ``percentile`` buffer (one entry per distinct value) is safely bounded."""
+    inline_limit = INLINE_DISTINCT_LIMIT if inline_limit is None else inline_limit
+    return approx_distinct * 1.1 + 16 <= inline_limit
+
+
 def _narrow(long_df, result, keys, probs, finish_rows, buckets):
     ranks = {k: sorted({r for lo, hi, _ in _positions(result[k]["n"], probs) for r in (lo, hi)}) for k in keys}
     values = select_ranks(long_df, {k: result[k] for k in keys}, ranks, finish_rows, buckets)
