@@ -17,6 +17,28 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
                   F.count_if((y == 1) & (p == 1)).cast("bigint").alias("tp"))
 
 
+def _threshold_counts(df: DataFrame, label: str, score: str, prediction: str | None = None) -> DataFrame:
+    """Positives/negatives per distinct score (ties collapse here), optionally with confusion counts."""
+    y = F.col(label).cast("double")
+    aggs = [F.count_if(y == 1).cast("bigint").alias("pos"), F.count_if(y != 1).cast("bigint").alias("neg")]
+    if prediction:
+        p = F.col(prediction).cast("double")
+        aggs += [F.count_if((y == 0) & (p == 0)).alias("c_tn"), F.count_if((y == 0) & (p == 1)).alias("c_fp"),
+                 F.count_if((y == 1) & (p == 0)).alias("c_fn"), F.count_if((y == 1) & (p == 1)).alias("c_tp")]
+    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(*aggs)
+
+
+def _with_rates(d: DataFrame, num_partitions, small_limit) -> DataFrame:
+    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions, small_limit=small_limit)
+    P = d.agg(F.sum("pos")).scalar()  # scalar subqueries, no join
+    N = d.agg(F.sum("neg")).scalar()
+    return c.withColumns({
+        "tp": F.col("cum_pos"), "fp": F.col("cum_neg"),
+        "tpr": F.try_divide(F.col("cum_pos").cast("double"), P.cast("double")),
+        "fpr": F.try_divide(F.col("cum_neg").cast("double"), N.cast("double")),
+        "P": P, "N": N})
+
+
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
                num_partitions: int | None = None, small_limit: int | None = None) -> DataFrame:
     """(threshold, pos, neg, tp, fp, tpr, fpr) per distinct score, thresholds descending.
@@ -25,40 +47,39 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score",
     bounded window for a counted small table, range partitions otherwise).
     Point i means "predict 1 when score >= threshold".
     """
-    y = F.col(label).cast("double")
-    d = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.count_if(y == 1).cast("bigint").alias("pos"), F.count_if(y != 1).cast("bigint").alias("neg"))
-    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions, small_limit=small_limit)
-    tot = d.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return (c.crossJoin(F.broadcast(tot))
-            .select("threshold", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                    F.try_divide(F.col("cum_pos").cast("double"), F.col("P").cast("double")).alias("tpr"),
-                    F.try_divide(F.col("cum_neg").cast("double"), F.col("N").cast("double")).alias("fpr"),
-                    "P", "N"))
+    pts = _with_rates(_threshold_counts(df, label, score), num_partitions, small_limit)
+    return pts.select("threshold", "pos", "neg", "tp", "fp", "tpr", "fpr", "P", "N")
 
 
-def roc_summary(points: DataFrame) -> DataFrame:
-    """AUC (trapezoid = Mann-Whitney with half ties) and Youden-optimal threshold."""
+def _summary_aggs():
     auc_term = F.col("neg").cast("double") * (F.col("tp").cast("double") - F.col("pos") / 2.0)
     youden = F.col("tpr") - F.col("fpr")
-    return points.agg(
-        F.try_divide(F.sum(auc_term), (F.first("P") * F.first("N")).cast("double")).alias("auc"),
-        F.max_by("threshold", F.struct(youden, F.col("threshold"))).alias("best_threshold"),
-        F.max(youden).alias("youden"))
+    return [F.try_divide(F.sum(auc_term), (F.first("P") * F.first("N")).cast("double")).alias("auc"),
+            F.max_by("threshold", F.struct(youden, F.col("threshold"))).alias("best_threshold"),
+            F.max(youden).alias("youden")]
+
+
+def roc_summary(points: DataFrame) -> DataFrame:
+    """AUC (trapezoid = Mann-Whitney with half ties) and Youden-optimal threshold."""
+    return points.agg(*_summary_aggs())
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
              num_partitions: int | None = None, small_limit: int | None = None) -> DataFrame:
     """One row of metrics (J14, J15): accuracy, sensitivity, specificity, balanced accuracy,
-    precision, recall, F1, AUC and the Youden threshold."""
-    cm = confusion_matrix(df, label, prediction)
-    rs = roc_summary(roc_points(df, label, score, num_partitions, small_limit))
-    tp, tn, fp, fn = (F.col(c).cast("double") for c in ("tp", "tn", "fp", "fn"))
+    precision, recall, F1, AUC and the Youden threshold.
+
+    The confusion counts ride along in the per-threshold aggregation, so one
+    final aggregation gives every metric (no join of separate results).
+    """
+    pts = _with_rates(_threshold_counts(df, label, score, prediction), num_partitions, small_limit)
+    row = pts.agg(*_summary_aggs(), *[F.sum(f"c_{k}").cast("bigint").alias(k) for k in ("tn", "fp", "fn", "tp")])
+    tp, tn, fp, fn = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("tp", "tn", "fp", "fn"))
     sens = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
     spec = F.coalesce(F.try_divide(tn, tn + fp), F.lit(0.0))
     prec = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
-    return cm.crossJoin(rs).select(
-        "tn", "fp", "fn", "tp",
+    return row.select(
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("tn", "fp", "fn", "tp")],
         F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         sens.alias("sensitivity"), spec.alias("specificity"), ((sens + spec) / 2).alias("balanced_accuracy"),
         prec.alias("precision"), sens.alias("recall"),

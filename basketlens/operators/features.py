@@ -6,7 +6,7 @@ rows by (customer, invoice) and (customer, product) so a customer holding a
 third of all lines is spread over many tasks before the final per-customer
 merge). The global last invoice date is taken from the per-customer maxima
 (including the NULL-customer group) instead of a second scan of the lines,
-and joined back as a one-row broadcast.
+as a scalar subquery.
 """
 
 from __future__ import annotations
@@ -48,10 +48,10 @@ def customer_aggregates(lines: DataFrame, persist: bool = True) -> DataFrame:
     )
     if persist:
         per_cust = per_cust.persist(StorageLevel.MEMORY_AND_DISK)
-    # Global last date over *all* lines (NULL customers included), computed
-    # from the per-customer maxima: a one-row broadcast, no second line scan.
-    gmax = per_cust.agg(F.max("last_purchase").alias("_gmax"))
-    f = per_cust.filter(F.col("CustomerID").isNotNull()).crossJoin(F.broadcast(gmax))
+    # Global last date over *all* lines (NULL customers included), taken from the
+    # per-customer maxima as a scalar subquery: no second line scan, no join.
+    gmax = per_cust.agg(F.max("last_purchase")).scalar()
+    f = per_cust.filter(F.col("CustomerID").isNotNull()).withColumn("_gmax", gmax)
     tenure = day_diff("first_purchase", "last_purchase")
     return f.select(
         "CustomerID", "first_purchase", "last_purchase", "total_spending",

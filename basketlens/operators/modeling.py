@@ -69,17 +69,16 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def preprocess_for_model(data: DataFrame, response: str = "response") -> DataFrame:
     """Model preparation (J1), idempotent.
 
-    Day columns from the purchase dates (global last purchase as a one-row
-    broadcast), median fill and scaling of those, categorical fill and codes
+    Day columns from the purchase dates (global last purchase as a scalar
+    subquery), median fill and scaling of those, categorical fill and codes
     (bins by label order, as tinyint), every remaining NULL/inf numeric cell -> 0.
     """
     df = data
     if "first_purchase" in df.columns and "last_purchase" in df.columns:
-        gmax = df.agg(F.max("last_purchase").alias("__gmax"))
-        df = (df.crossJoin(F.broadcast(gmax))
-              .withColumn("customer_tenure_days", day_diff("first_purchase", "last_purchase").cast("double"))
-              .withColumn("recency_days", day_diff("last_purchase", "__gmax").cast("double"))
-              .drop("first_purchase", "last_purchase", "__gmax"))
+        gmax = df.agg(F.max("last_purchase")).scalar()  # scalar subquery
+        df = (df.withColumn("customer_tenure_days", day_diff("first_purchase", "last_purchase").cast("double"))
+              .withColumn("recency_days", day_diff("last_purchase", gmax).cast("double"))
+              .drop("first_purchase", "last_purchase"))
     days = [c for c in ("customer_tenure_days", "recency_days") if c in df.columns]
     if days:
         df = df.withColumns({c: finite_or_null(c) for c in days})
