@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import finite_or_null, norm_ppf, safe_corr, safe_slope
+from ..functions.columns import finite_or_null, neg_log10, norm_ppf, safe_corr, safe_slope
 from .ordering import value_ranks
 from .quantiles import long_values
 
@@ -215,13 +215,9 @@ def logit_significance(df: DataFrame, features: Sequence[str], response: str = "
     coefs = list(model.coefficients) + [model.intercept]
     se, t, p = s.coefficientStandardErrors, s.tValues, s.pValues
     names = feats + ["const"]
-    rows = []
-    for i, name in enumerate(names):
-        pv = float(p[i])
-        rows.append((name, float(coefs[i]), float(se[i]), float(t[i]), pv,
-                     float(-np.log10(pv)) if pv > 0 else float("inf")))
-    table = spark.createDataFrame(sorted(rows, key=lambda r: r[4]),  # G3: most significant first
-                                  "feature string, coef double, se double, z double, p_value double, "
-                                  "neg_log10_p double")
+    rows = [(name, float(coefs[i]), float(se[i]), float(t[i]), float(p[i])) for i, name in enumerate(names)]
+    table = (spark.createDataFrame(sorted(rows, key=lambda r: r[4]),  # G3: most significant first
+                                   "feature string, coef double, se double, z double, p_value double")
+             .withColumn("neg_log10_p", neg_log10("p_value")))  # B24
     significant = [r[0] for r in rows if r[0] != "const" and r[4] < alpha]
     return significant, table

@@ -6,7 +6,6 @@ operator; these helpers are for scripts, the bench and the tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,6 +66,3 @@ def cut_lineage(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def default_parallelism_hint() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))

@@ -63,3 +63,21 @@ def test_norm_ppf_matches_reference_quantiles(spark):
 def test_safe_corr_constant_column_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "a double, b double")
     assert df.agg(C.safe_corr("a", "b")).first()[0] is None
+
+
+def test_public_helpers(spark):
+    import os
+    import tempfile
+    from basketlens.operators import clustering, quality, typing as ty
+    from basketlens.operators.features import line_value
+    df = spark.createDataFrame([(2, 1.5, "a", None), (3, None, None, True)], "Quantity long, UnitPrice double, s string, b boolean")
+    assert [r.TotalValue for r in line_value(df).collect()] == [3.0, None]
+    assert ty.numeric_columns(df) == ["Quantity", "UnitPrice"] and ty.categorical_columns(df) == ["s", "b"]
+    filled = quality.constant_fill(df, {"UnitPrice": 0.0, "s": "Unknown"}).collect()
+    assert filled[1].UnitPrice == 0.0 and filled[1].s == "Unknown"
+    schema, head = ty.overview(df, n=1, order_by=["Quantity"])
+    assert schema.count() == 4 and head.first().Quantity == 2
+    assert df.select(C.neg_log10(F.lit(0.01))).first()[0] == 2.0
+    out = os.path.join(tempfile.mkdtemp(prefix="bl-sink-"), "a")
+    clustering.write_assignments(df, out)
+    assert spark.read.parquet(out).count() == 2
