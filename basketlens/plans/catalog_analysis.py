@@ -448,11 +448,23 @@ def q_tree(spark, sf):
     return tree_nodes(model, p.variables, spark)
 
 
+def _sweep_runs(spark, sf):
+    """Logistic-regression and naive-Bayes runs under all four configurations, shared by J17 queries."""
+    from .catalog import _shared
+    return _shared(spark, sf, "sweep_lr_nb",
+                   lambda: presets.sweep(joined(spark, sf), models=("logistic_regression", "naive_bayes")).cache())
+
+
 @register("model_comparison_grid")
 def q_grid(spark, sf):
     """J17, D-J5, G6: test-AUC grid configuration x model over a logistic/naive-Bayes sweep."""
-    runs = presets.sweep(joined(spark, sf), models=("logistic_regression", "naive_bayes"))
-    return presets.metric_grid(runs, "test_auc")
+    return presets.metric_grid(_sweep_runs(spark, sf), "test_auc")
+
+
+@register("model_comparison_metrics")
+def q_comparison(spark, sf):
+    """train/test AUC, test accuracy and accuracy gap per configuration x model (long form)."""
+    return presets.comparison_table(_sweep_runs(spark, sf))
 
 
 @register("cluster_k_search")

@@ -128,6 +128,16 @@ def metric_grid(runs: DataFrame, metric: str) -> DataFrame:
     return (latest_runs(runs).groupBy("configuration").pivot("model").agg(F.first(metric)).fillna(0))
 
 
+# The four metrics the reference charts per configuration x model.
+COMPARISON_METRICS = ("train_auc", "test_auc", "test_accuracy", "overfitting_accuracy_gap")
+
+
+def comparison_table(runs: DataFrame, metrics=COMPARISON_METRICS) -> DataFrame:
+    """(configuration, model, metric, value) of the latest run per pair, for the charted metrics."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return latest_runs(runs).select("configuration", "model", F.inline(pairs))
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
     """Append metric rows to the runs table."""
     runs.write.mode("append").parquet(path)
