@@ -89,6 +89,8 @@ def main():
         b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
         if os.environ.get("SESSION_TZ"):
             b = b.config("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+        if os.environ.get("ANSI_OFF"):
+            b = b.config("spark.sql.ansi.enabled", "false")
         spark = b.getOrCreate()
     else:
         spark = get_spark("local[8]", 8)
