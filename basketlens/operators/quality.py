@@ -210,6 +210,31 @@ def constant_fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 # IQR outlier filter
 # ---------------------------------------------------------------------------
 
+def _step_report(df: DataFrame, steps) -> DataFrame:
+    """(step, column, lower, upper, removed, remaining) from ONE aggregation over the input.
+
+    ``steps`` holds (step, column, lower, upper, keep-condition); the rows kept
+    after step i are those meeting conditions 0..i, so cumulative ``count_if``
+    gives every count in one pass (C20).
+    """
+    schema = "step int, column string, lower double, upper double, removed bigint, remaining bigint"
+    if not steps:
+        return df.sparkSession.createDataFrame([], schema)
+    acc = F.lit(True)
+    aggs = [F.count(F.lit(1)).alias("n0")]
+    for i, (_, _, _, _, cond) in enumerate(steps):
+        acc = acc & cond
+        aggs.append(F.count_if(acc).alias(f"r{i}"))
+    structs = []
+    for i, (step, col, lo, hi, _) in enumerate(steps):
+        prev = F.col("n0") if i == 0 else F.col(f"r{i - 1}")
+        structs.append(F.struct(F.lit(step).cast("int").alias("step"), F.lit(col).alias("column"),
+                                F.lit(lo).cast("double").alias("lower"), F.lit(hi).cast("double").alias("upper"),
+                                (prev - F.col(f"r{i}")).cast("bigint").alias("removed"),
+                                F.col(f"r{i}").cast("bigint").alias("remaining")))
+    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+
+
 def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential", nulls: str = "drop",
                k: float = 1.5, checkpoint_every: int = 4, **qkw):
     """Keep rows inside [Q1 - k IQR, Q3 + k IQR] for each column.
@@ -219,9 +244,9 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
     takes every column's bounds from the input in one pass. ``nulls='drop'``
     drops NULL cells (the reference's keep-inside filter), ``'keep'`` keeps
     them. Returns (filtered frame, report frame (step, column, lower, upper,
-    removed, remaining)). Sequential lineage is cut with reliable checkpoints.
+    removed, remaining), the counts from one aggregation over the input).
+    Sequential lineage is cut with reliable checkpoints.
     """
-    spark = df.sparkSession
     cols = [c for c in columns if c in df.columns]
     report = []
 
@@ -237,10 +262,8 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
                 continue
             lo, hi = iqr_bounds(*q[c]["q"], k=k)
             cond = cond & keep(c, lo, hi)
-            report.append((i, c, lo, hi))
-        out = df.filter(cond)
-        rep = spark.createDataFrame(report, "step int, column string, lower double, upper double")
-        return out, rep
+            report.append((i, c, lo, hi, keep(c, lo, hi)))
+        return df.filter(cond), _step_report(df, report)
 
     if mode != "sequential":
         raise ValueError(f"unknown mode {mode!r}")
@@ -256,9 +279,8 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
             continue
         lo, hi = iqr_bounds(*q["q"], k=k)
         cur = cur.filter(keep(c, lo, hi))
-        report.append((i, c, lo, hi))
+        report.append((i, c, lo, hi, keep(c, lo, hi)))
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < len(cols):
             from ..session import cut_lineage
             cur = cut_lineage(cur)
-    rep = spark.createDataFrame(report, "step int, column string, lower double, upper double")
-    return cur, rep
+    return cur, _step_report(df, report)

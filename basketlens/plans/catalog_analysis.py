@@ -169,12 +169,14 @@ for _mode in ("sequential", "simultaneous"):
 _seq_body, _seq_ctes = _iqr_sql("sequential")
 _report_sql = " UNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS step, '{c}' AS \"column\", {R('q1 - 1.5 * (q3 - q1)', 4)} AS lower, "
-    f"{R('q3 + 1.5 * (q3 - q1)', 4)} AS upper FROM iq{i}" for i, c in enumerate(_IQR_VARS))
+    f"{R('q3 + 1.5 * (q3 - q1)', 4)} AS upper, "
+    f"CAST((SELECT count(*) FROM f{i}) - (SELECT count(*) FROM f{i + 1}) AS BIGINT) AS removed, "
+    f"CAST((SELECT count(*) FROM f{i + 1}) AS BIGINT) AS remaining FROM iq{i}" for i, c in enumerate(_IQR_VARS))
 
 
 @register("iqr_filter_report", S.statement(_report_sql, ["lines", "campaign"], JOINED_CTES + _seq_ctes))
 def q_iqr_report(spark, sf):
-    """C20: per-step bounds of the sequential IQR filter."""
+    """C20: per-step bounds, removed and remaining rows of the sequential IQR filter."""
     df = joined(spark, sf).select("CustomerID", *_IQR_VARS)
     return rounded(quality.iqr_filter(df, _IQR_VARS, mode="sequential")[1], {"lower": 4, "upper": 4})
 

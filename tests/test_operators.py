@@ -158,3 +158,12 @@ def test_bin_levels_metadata_follow_dropped_labels(spark):
     assert counts == {"Very Low": 8, "Low": 3, "Unknown": 1}
     codes = [r["x_bin"] for r in encode_for_correlation(out.drop("x")).collect()]
     assert codes == [0.0] * 8 + [1.0] * 3 + [2.0]   # Unknown is the third level here, as in a categorical
+
+
+def test_iqr_report_counts(spark):
+    rows = [(float(v), float(v % 7)) for v in range(100)] + [(1000.0, 1.0), (5.0, 500.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    out, rep = quality.iqr_filter(df, ["a", "b"], mode="sequential")
+    r = sorted(rep.collect(), key=lambda x: x.step)
+    assert r[0].removed == 1 and r[0].remaining == 101       # 1000 in a
+    assert r[1].removed == 1 and r[1].remaining == out.count() == 100  # 500 in b
