@@ -168,6 +168,25 @@ def perform_integrity_checks(lines: DataFrame, campaign: DataFrame):
     return drop_duplicates(remove_negative_unit_price(lines)), drop_duplicates(campaign)
 
 
+def observed_integrity_checks(lines: DataFrame, campaign: DataFrame):
+    """Integrity checks with before/after counts collected as a side effect.
+
+    Returns (lines_clean, campaign_clean, observations). The ``Observation``
+    metrics are filled when the caller's own action over the cleaned frames
+    runs, so the report costs no extra pass; ``obs[name].get`` then holds
+    ``{"rows": ...}`` (and ``negative_price`` for the lines input).
+    """
+    from pyspark.sql import Observation
+    obs = {n: Observation(n) for n in ("lines_input", "lines_final", "campaign_input", "campaign_final")}
+    lines_in = lines.observe(obs["lines_input"], F.count(F.lit(1)).alias("rows"),
+                             F.count_if(F.col("UnitPrice") < 0).alias("negative_price"))
+    lines_clean = drop_duplicates(remove_negative_unit_price(lines_in)).observe(
+        obs["lines_final"], F.count(F.lit(1)).alias("rows"))
+    campaign_in = campaign.observe(obs["campaign_input"], F.count(F.lit(1)).alias("rows"))
+    campaign_clean = drop_duplicates(campaign_in).observe(obs["campaign_final"], F.count(F.lit(1)).alias("rows"))
+    return lines_clean, campaign_clean, obs
+
+
 def integrity_report(lines: DataFrame, campaign: DataFrame) -> DataFrame:
     """Row counts per step: (dataset, step, rows) from one pass per input."""
     lines_clean, campaign_clean = perform_integrity_checks(lines, campaign)

@@ -167,3 +167,16 @@ def test_iqr_report_counts(spark):
     r = sorted(rep.collect(), key=lambda x: x.step)
     assert r[0].removed == 1 and r[0].remaining == 101       # 1000 in a
     assert r[1].removed == 1 and r[1].remaining == out.count() == 100  # 500 in b
+
+
+def test_observed_integrity_counts_match_report(spark):
+    from basketlens.sources import fixtures as fx
+    from conftest import SF_SMALL
+    lines, camp = fx.lines_dirty(spark, SF_SMALL), fx.campaign(spark, SF_SMALL)
+    lc, cc, obs = quality.observed_integrity_checks(lines, camp)
+    n_lines, n_camp = lc.count(), cc.count()   # the caller's own actions fill the observations
+    rep = {(r.dataset, r.step): r.rows for r in quality.integrity_report(lines, camp).collect()}
+    assert obs["lines_input"].get["rows"] == rep[("lines", "input")]
+    assert obs["lines_input"].get["negative_price"] == rep[("lines", "negative_price_removed")]
+    assert obs["lines_final"].get["rows"] == rep[("lines", "final")] == n_lines
+    assert obs["campaign_final"].get["rows"] == rep[("campaign", "final")] == n_camp
