@@ -37,7 +37,9 @@ def normalize_id(col, dtype: T.DataType | None = None) -> Column:
         return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return c.cast("string")
-    return F.regexp_replace(blank_to_null(F.trim(c.cast("string"))), r"\.0+$", "")
+    t = blank_to_null(F.trim(c.cast("string")))
+    # the regex only runs on texts with a dot (most IDs have none)
+    return F.when(t.contains("."), F.regexp_replace(t, r"\.0+$", "")).otherwise(t)
 
 
 def parse_timestamp(col, formats=INVOICE_DATE_FORMATS) -> Column:
