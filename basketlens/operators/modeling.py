@@ -33,9 +33,11 @@ BIN_FIELDS = ("recency_bin", "total_sales_bin", "total_quantity_bin", "avg_order
 # Model types of the reference's menu.
 MODEL_TYPES = ("logistic_regression", "random_forest", "naive_bayes", "decision_tree", "svm",
                "decision_tree_binned", "decision_tree_binned_after")
+# "svm" approximates the reference's RBF-kernel SVC with random Fourier features;
+# "svm_linear" is the plain linear SVM (both Platt-calibrated).
 MODEL_NAMES = {
     "logistic_regression": "Logistic Regression", "random_forest": "Random Forest",
-    "naive_bayes": "Naive Bayes", "decision_tree": "Decision Tree", "svm": "SVM",
+    "naive_bayes": "Naive Bayes", "decision_tree": "Decision Tree", "svm": "SVM", "svm_linear": "SVM (linear)",
     "decision_tree_binned": "Decision Tree (Binned First)",
     "decision_tree_binned_after": "Decision Tree (Binned After)",
 }
@@ -155,6 +157,39 @@ class _PlattSVM:
         return self.platt.transform(self._margin(self.svm_model.transform(df)))
 
 
+RFF_COMPONENTS = 100
+
+
+def rbf_features(train: DataFrame, features: Sequence[str], n_components: int = RFF_COMPONENTS,
+                 gamma: float | None = None, seed: int = 42):
+    """Random Fourier features approximating an RBF kernel (J7), as SQL-text Column math.
+
+    ``gamma`` defaults to sklearn's 'scale': 1 / (k * Var(X)) over all cells of
+    the training matrix, from one aggregation. z_j(x) = sqrt(2/D) cos(w_j.x + b_j)
+    with w_j ~ N(0, 2 gamma I), b_j ~ U(0, 2 pi), seeded. Returns a function that
+    adds the D columns to a frame, and their names.
+    """
+    import numpy as np
+    k = len(features)
+    if gamma is None:
+        cells = " + ".join(f"`{f}`" for f in features)
+        squares = " + ".join(f"`{f}` * `{f}`" for f in features)
+        row = train.agg(F.expr(f"sum({cells})").alias("s1"), F.expr(f"sum({squares})").alias("s2"),
+                        F.count(F.lit(1)).alias("n")).first()
+        cnt = (row["n"] or 0) * k
+        var = (row["s2"] / cnt - (row["s1"] / cnt) ** 2) if cnt else 0.0
+        gamma = 1.0 / (k * var) if var and var > 0 else 1.0
+    rng = np.random.default_rng(seed)
+    w = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(n_components, k))
+    b = rng.uniform(0.0, 2.0 * np.pi, size=n_components)
+    scale = float(np.sqrt(2.0 / n_components))
+    names = [f"__rff{j}" for j in range(n_components)]
+    exprs = [F.expr(f"{scale!r} * cos({float(b[j])!r} + "
+                    + " + ".join(f"{float(w[j, i])!r} * `{f}`" for i, f in enumerate(features)) + ")").alias(names[j])
+             for j in range(n_components)]
+    return (lambda df: df.select("*", *exprs)), names
+
+
 def make_estimator(model_type: str, n_train: int, features_col: str = "features", label_col: str = "label"):
     """MLlib estimator matching the reference's model choice."""
     if model_type == "logistic_regression":
@@ -170,7 +205,7 @@ def make_estimator(model_type: str, n_train: int, features_col: str = "features"
     if model_type in ("decision_tree", "decision_tree_binned", "decision_tree_binned_after"):
         return DecisionTreeClassifier(featuresCol=features_col, labelCol=label_col, seed=42,
                                       maxDepth=TREE_MAX_DEPTH, maxBins=64)
-    if model_type == "svm":
+    if model_type in ("svm", "svm_linear"):
         return _PlattSVM(features_col, label_col)
     raise ValueError(f"unknown model type {model_type!r}")
 
@@ -189,14 +224,19 @@ def run_model(data: DataFrame, features: Sequence[str], response: str, config: s
     feats = list(features)
     if not feats:
         raise ValueError("no variables to model")
-    va = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
     cols = [F.col(key)] if key in data.columns else []
-    base = va.transform(data.select(*cols, *[F.col(f).cast("double").alias(f) for f in feats],
-                                    F.col(response).cast("double").alias("label")))
+    base = data.select(*cols, *[F.col(f).cast("double").alias(f) for f in feats],
+                       F.col(response).cast("double").alias("label"))
     if key in data.columns:
         train, test = train_test_split(base, train_ratio, seed, key)
     else:
         train, test = base.randomSplit([train_ratio, 1 - train_ratio], seed)
+    inputs = feats
+    if model_type == "svm":  # the reference's SVC uses an RBF kernel: approximate it (J7)
+        add, inputs = rbf_features(train, feats, seed=seed)
+        train, test = add(train), add(test)
+    va = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
+    train, test = va.transform(train), va.transform(test)
     train = train.cache()
     n_train = train.count()
     est = make_estimator(model_type, n_train)

@@ -42,3 +42,15 @@ def test_ward_dendrogram_orders_heights(spark):
     d = clustering.ward_dendrogram(df, max_leaves=16, last=5).collect()
     heights = [r.height for r in d]
     assert heights == sorted(heights) and d[-1].size == 80
+
+
+def test_random_fourier_features_approximate_rbf_kernel(spark):
+    from basketlens.operators.modeling import rbf_features
+    pts = [(0.0, 0.0), (0.5, -0.2), (1.0, 1.0)]
+    df = spark.createDataFrame(pts, "a double, b double")
+    add, names = rbf_features(df, ["a", "b"], n_components=4000, gamma=0.7, seed=3)
+    z = np.array([[r[n] for n in names] for r in add(df).collect()])
+    for i in range(3):
+        for j in range(3):
+            want = np.exp(-0.7 * ((np.array(pts[i]) - np.array(pts[j])) ** 2).sum())
+            assert abs(z[i] @ z[j] - want) < 0.05
