@@ -1,10 +1,10 @@
 """Customer clustering on MLlib.
 
-Scaling is one aggregation; K-means / bisecting K-means / PCA are MLlib
-(distributed). Ward linkage on every customer is O(n²) and is re-aimed: the
-dendrogram is built from at most ``max_leaves`` K-means centroids (computed
-by Spark; only the centroids reach the driver), merged with size-weighted
-Ward distances.
+Scaling is one aggregation; K-means and PCA are MLlib (distributed). Ward
+linkage on every customer is O(n²) and is re-aimed: the Ward tree is built
+over at most ``max_leaves`` K-means centroids (computed by Spark; only the
+centroids reach the driver) with size-weighted Ward distances. It gives the
+dendrogram (I6) and, cut at k, the hierarchical cluster labels (I5).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -70,11 +70,76 @@ def _search_k(features: DataFrame, k_values: Sequence[int], seed: int, paralleli
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), rows, models
 
 
-def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | None = None,
-                     k_values: Sequence[int] = range(2, 11), seed: int = 42, key: str = "CustomerID"):
-    """K-means with k by best silhouette, bisecting K-means at the same k, 2-D PCA.
+def ward_tree(feats: DataFrame, max_leaves: int = 256, seed: int = 42):
+    """Ward linkage over at most ``max_leaves`` K-means leaves of the assembled ``features``.
+
+    Spark computes the leaves (centroids and sizes); only they reach the
+    driver, where size-weighted Ward merges run on <= max_leaves points.
+    Returns (leaf model, leaf ids, merges [(step, left, right, height, size)],
+    id of the first internal node).
+    """
+    n = feats.count()
+    m = int(min(max_leaves, max(2, n)))
+    km = KMeans(k=m, seed=seed, featuresCol="features", predictionCol="__leaf").fit(feats)
+    sizes = {r["__leaf"]: r["count"] for r in km.transform(feats).groupBy("__leaf").count().collect()}
+    cents = km.clusterCenters()
+    ids = [i for i in range(len(cents)) if sizes.get(i, 0) > 0]
+    cen = np.array([np.asarray(cents[i], dtype=float) for i in ids])
+    size = np.array([float(sizes[i]) for i in ids])
+    label = list(ids)
+    alive = np.ones(len(ids), dtype=bool)
+    merges = []
+    next_id = len(cents)
+    while alive.sum() > 1:
+        idx = np.flatnonzero(alive)
+        c, w = cen[idx], size[idx]
+        d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)
+        ward = np.sqrt(2.0 * np.outer(w, w) / (w[:, None] + w[None, :]) * d2)
+        np.fill_diagonal(ward, np.inf)
+        a, b = np.unravel_index(np.argmin(ward), ward.shape)
+        ia, ib = idx[min(a, b)], idx[max(a, b)]
+        merges.append((len(merges) + 1, int(label[ia]), int(label[ib]), float(ward[a, b]), int(size[ia] + size[ib])))
+        cen[ia] = (cen[ia] * size[ia] + cen[ib] * size[ib]) / (size[ia] + size[ib])
+        size[ia] += size[ib]
+        alive[ib] = False
+        label[ia] = next_id
+        next_id += 1
+    return km, ids, merges, len(cents)
+
 
-    Returns (assignments DataFrame (key, kmeans_cluster, hierarchical_cluster, pc1, pc2), k-search table, k).
+def cut_tree(leaf_ids, merges, k: int, first_internal_id: int) -> dict:
+    """Leaf -> cluster label 1..k after undoing the last k-1 merges (fcluster 'maxclust').
+
+    Merge ``step`` creates node ``first_internal_id + step - 1`` (the numbering
+    of ``ward_tree``); replaying the first n-k merges with a union-find gives
+    each leaf its cluster root. Labels follow the smallest leaf id in a cluster.
+    """
+    parent = {}
+
+    def find(x):
+        while x in parent:
+            x = parent[x]
+        return x
+
+    for step, left, right, _, _ in merges[:max(len(merges) - (k - 1), 0)]:
+        node = first_internal_id + step - 1
+        parent[find(left)] = node
+        parent[find(right)] = node
+    roots = {}
+    for leaf in sorted(leaf_ids):
+        roots.setdefault(find(leaf), len(roots) + 1)
+    return {leaf: roots[find(leaf)] for leaf in leaf_ids}
+
+
+def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | None = None,
+                     k_values: Sequence[int] = range(2, 11), seed: int = 42, key: str = "CustomerID",
+                     max_leaves: int = 256):
+    """K-means with k by best silhouette, Ward clusters cut at the same k, 2-D PCA.
+
+    The hierarchical labels cut the Ward tree over K-means leaves (see
+    ``ward_tree``) into k clusters; every point takes its leaf's cluster.
+    Returns (assignments DataFrame (key, features..., kmeans_cluster,
+    hierarchical_cluster, pc1, pc2), k-search table, k).
     """
     feats, cols = clustering_matrix(data, key=key, remove_outliers=remove_outliers)
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
@@ -88,8 +153,11 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
         km = KMeans(k=k, seed=seed, featuresCol="features").fit(feats)
     km.setPredictionCol("kmeans_cluster")
     out = km.transform(feats)
-    bk = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="hierarchical_cluster").fit(out)
-    out = bk.transform(out)
+    leaves, leaf_ids, merges, first_internal = ward_tree(feats, max_leaves, seed)
+    cut = cut_tree(leaf_ids, merges, k, first_internal)
+    out = leaves.transform(out)
+    mapping = F.create_map(*[x for leaf, c in cut.items() for x in (F.lit(leaf), F.lit(c))])
+    out = out.withColumn("hierarchical_cluster", F.element_at(mapping, F.col("__leaf")))
     pca = PCA(k=2, inputCol="features", outputCol="__pc").fit(out)
     out = pca.transform(out)
     arr = vector_to_array("__pc")
@@ -101,42 +169,10 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
 
 def ward_dendrogram(data: DataFrame, max_leaves: int = 256, last: int = 10, seed: int = 42,
                     remove_outliers: bool = False) -> DataFrame:
-    """Last ``last`` merges (step, left, right, height, size) of Ward linkage over K-means leaves.
-
-    Leaves are ``min(max_leaves, distinct rows)`` K-means centroids with their
-    sizes (Spark); Ward's update on centroids weighted by size reproduces the
-    merge heights of those groups. Only the centroids reach the driver.
-    """
+    """Last ``last`` merges (step, left, right, height, size) of Ward linkage over K-means leaves."""
     feats, _ = clustering_matrix(data, key=None, remove_outliers=remove_outliers)
-    n = feats.count()
-    m = int(min(max_leaves, max(2, n)))
-    km = KMeans(k=m, seed=seed, featuresCol="features").fit(feats)
-    sizes = {r["prediction"]: r["count"] for r in km.transform(feats).groupBy("prediction").count().collect()}
-    cents = km.clusterCenters()
-    ids = [i for i in range(len(cents)) if sizes.get(i, 0) > 0]
-    cen = np.array([np.asarray(cents[i], dtype=float) for i in ids])
-    size = np.array([float(sizes[i]) for i in ids])
-    label = list(ids)
-    alive = np.ones(len(ids), dtype=bool)
-    merges = []
-    next_id = len(cents)
-    while alive.sum() > 1:
-        idx = np.flatnonzero(alive)
-        c, w = cen[idx], size[idx]
-        d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-        ward = np.sqrt(2.0 * np.outer(w, w) / (w[:, None] + w[None, :]) * d2)
-        np.fill_diagonal(ward, np.inf)
-        a, b = np.unravel_index(np.argmin(ward), ward.shape)
-        ia, ib = idx[min(a, b)], idx[max(a, b)]
-        h = float(ward[a, b])
-        merges.append((len(merges) + 1, int(label[ia]), int(label[ib]), h, int(size[ia] + size[ib])))
-        cen[ia] = (cen[ia] * size[ia] + cen[ib] * size[ib]) / (size[ia] + size[ib])
-        size[ia] += size[ib]
-        alive[ib] = False
-        label[ia] = next_id
-        next_id += 1
-    rows = merges[-last:]
-    return data.sparkSession.createDataFrame(rows, "step int, left int, right int, height double, size long")
+    _, _, merges, _ = ward_tree(feats, max_leaves, seed)
+    return data.sparkSession.createDataFrame(merges[-last:], "step int, left int, right int, height double, size long")
 
 
 def write_assignments(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -54,3 +54,18 @@ def test_random_fourier_features_approximate_rbf_kernel(spark):
         for j in range(3):
             want = np.exp(-0.7 * ((np.array(pts[i]) - np.array(pts[j])) ** 2).sum())
             assert abs(z[i] @ z[j] - want) < 0.05
+
+
+def test_ward_cut_matches_bruteforce_groups(spark):
+    rng = np.random.default_rng(4)
+    pts = np.vstack([rng.normal(c, 0.05, (30, 2)) for c in (0.0, 3.0, 9.0)])
+    df = spark.createDataFrame([(str(i), float(a), float(b)) for i, (a, b) in enumerate(pts)],
+                               "CustomerID string, x double, y double")
+    res, _, k = clustering.cluster_analysis(df, k=3)
+    rows = res.collect()
+    labels = {}
+    for r in rows:
+        labels.setdefault(round(r.x), set()).add(r.hierarchical_cluster)
+    # each well-separated blob gets exactly one Ward label, and the three labels differ
+    assert all(len(v) == 1 for v in labels.values()) and len({next(iter(v)) for v in labels.values()}) == 3
+    assert {r.hierarchical_cluster for r in rows} == {1, 2, 3}
