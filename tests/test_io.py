@@ -33,3 +33,15 @@ def test_full_pipeline_and_run_log(spark):
     presets.append_runs(runs, os.path.join(out, "runs"))
     log = spark.read.parquet(os.path.join(out, "runs"))
     assert log.count() == 2 and presets.latest_runs(log).count() == 1
+
+
+def test_command_line_runner_on_csv(spark):
+    from basketlens.plans import run
+    root = tempfile.mkdtemp(prefix="bl-cli-")
+    io.write_table(fx.lines_dirty(spark, SF_SMALL), os.path.join(root, "lines"), fmt="csv")
+    io.write_table(fx.campaign(spark, SF_SMALL), os.path.join(root, "campaign"), fmt="csv")
+    written = run.run(spark, os.path.join(root, "out"), io.read_lines_csv(spark, os.path.join(root, "lines")),
+                      io.read_campaign_csv(spark, os.path.join(root, "campaign")), steps=["features", "eda"])
+    names = {os.path.basename(p) for p in written}
+    assert {"customer_campaign", "integrity_report", "correlation", "top_products", "qq_fit"} <= names
+    assert spark.read.parquet(os.path.join(root, "out", "customer_campaign")).count() > 0
