@@ -9,14 +9,15 @@ from ..functions.columns import snake_case
 from ..operators import clustering, eda, evaluation, quality, stats
 from ..operators.binning import (fit_model_edges, fit_recode_edges, model_bin_code, recode_boolean,
                                  recode_levels)
+from ..operators.features import customer_aggregates
 from ..operators.modeling import (MODEL_TYPES, feature_importances, numeric_model_columns, preprocess_for_model,
                                   run_model, tree_nodes)
 from ..sources import fixtures as fx
 from ..sources.schemas import BIN_SOURCES
 from . import presets
 from . import sql as S
-from .catalog import CAMPAIGN_TYPED_SQL, FEATURE_ROUND, JOINED_COLUMNS, JOINED_CTES, R, joined, register, rounded
-from ..operators.features import customer_aggregates
+from .catalog import (CAMPAIGN_TYPED_SQL, FEATURE_ROUND, JOINED_COLUMNS, JOINED_CTES, R, _shared, joined, register,
+                      rounded)
 
 # ---------------------------------------------------------------------------
 # Encoded joined table
@@ -452,7 +453,6 @@ def q_tree(spark, sf):
 
 def _sweep_runs(spark, sf):
     """Logistic-regression and naive-Bayes runs under all four configurations, shared by J17 queries."""
-    from .catalog import _shared
     return _shared(spark, sf, "sweep_lr_nb",
                    lambda: presets.sweep(joined(spark, sf), models=("logistic_regression", "naive_bayes")).cache())
 
