@@ -49,3 +49,19 @@ def test_quartile_bins_match_pandas_qcut(spark, vals):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
     got = [r["b"] for r in quartile_bins(df, {"b": "x"}).orderBy("i").collect()]
     assert got == _pandas_bins(vals)
+
+
+keyed = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(-5, 5).map(float)), min_size=1, max_size=200)
+
+
+@settings(max_examples=8, deadline=None)
+@given(rows=keyed)
+def test_value_ranks_match_brute_force(spark, rows):
+    from basketlens.operators.ordering import value_ranks
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = sorted((k, v, r + 1) for k in {k for k, _ in rows}
+                  for r, v in enumerate(sorted(v for kk, v in rows if kk == k)))
+    for limit in (0, None):  # range-partitioned path, then the bounded window path
+        got = sorted((r["k"], r["v"], r["rank"]) for r in
+                     value_ranks(df, "k", "v", num_partitions=3, chunk=7, small_limit=limit).collect())
+        assert got == want
