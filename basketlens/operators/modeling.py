@@ -137,8 +137,10 @@ def train_test_split(df: DataFrame, train_ratio: float = 0.7, seed: int = 42, ke
 class _PlattSVM:
     """Linear SVM with Platt scaling: a 1-feature logistic model on the SVM margin gives probabilities."""
 
-    def __init__(self, features_col="features", label_col="label"):
-        self.svc = LinearSVC(featuresCol=features_col, labelCol=label_col, maxIter=100, regParam=0.0,
+    def __init__(self, features_col="features", label_col="label", reg_param: float = 0.0):
+        # sklearn's SVC(C=1) minimises 1/2|w|^2 + C sum(hinge) = Spark's mean hinge + regParam/2 |w|^2
+        # with regParam = 1 / (C n)
+        self.svc = LinearSVC(featuresCol=features_col, labelCol=label_col, maxIter=100, regParam=reg_param,
                              rawPredictionCol="__raw", predictionCol="__svm_pred")
         self.label_col = label_col
 
@@ -206,7 +208,7 @@ def make_estimator(model_type: str, n_train: int, features_col: str = "features"
         return DecisionTreeClassifier(featuresCol=features_col, labelCol=label_col, seed=42,
                                       maxDepth=TREE_MAX_DEPTH, maxBins=64)
     if model_type in ("svm", "svm_linear"):
-        return _PlattSVM(features_col, label_col)
+        return _PlattSVM(features_col, label_col, reg_param=1.0 / max(n_train, 1))
     raise ValueError(f"unknown model type {model_type!r}")
 
 
