@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import packing, token_counts, token_files, toxicity, url_filter
+from basketlens.llm import minhash, packing, secrets_scan, token_counts, token_files, toxicity, url_filter
 from basketlens.llm.common import table
 
 #: Folder of the public tokenizer files on every machine.
@@ -24,6 +24,14 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -36,9 +44,31 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _secret_sql() -> str:
+    """Spans of each kind from the matches and the text between them."""
+    def spans(rank: int, rule: secrets_scan.Rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        return f"""
+  (SELECT list_filter(list_transform(range(len(h)), lambda i: {{
+      's': CAST(list_sum(list_transform(g[1:i + 1], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i], lambda x: length(x))), 0) AS BIGINT),
+      'r': {rank}, 'n': length(h[i + 1]), 'z': length(z[i + 1])}}), lambda m: m.z >= {rule.shortest})
+   FROM (SELECT regexp_extract_all(t, {pattern}) AS h, string_split_regex(t, {pattern}) AS g, regexp_extract_all(t, {pattern}, {rule.group}) AS z))"""
+
+    kinds = ", ".join(f"'{r.kind}'" for r in secrets_scan.RULES)
+    joined = "coalesce(array_to_string(list_transform({0}, lambda m: [{1}][m.r + 1] || ':' || m.s || ':' || (m.s + m.n)), ','), '')"
+    base = f"list_filter(spans, lambda m: m.r < {len(secrets_scan.BASE_RULES)})"
+    counts = ", ".join(f"CAST(len(list_filter(spans, lambda m: m.r = {i})) AS BIGINT) AS n_{r.kind}" for i, r in enumerate(secrets_scan.BASE_RULES))
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS (SELECT doc_id, list_sort(list_concat({", ".join(spans(i, r) for i, r in enumerate(secrets_scan.RULES))})) AS spans FROM d)
+SELECT doc_id, {counts}, sha256({joined.format(base, kinds)}) AS base_sha256, {joined.format("spans", kinds)} AS spans FROM found"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_secret_scans": op5_secret_scans,
     "op7_token_files": op7_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
@@ -62,4 +92,5 @@ fitting AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM parts p LEFT JOIN fitting f ON p.page_id = f.page_id AND f.place = 1
 """,
+    "op5_secret_scans": _secret_sql(),
 }
