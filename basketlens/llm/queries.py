@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import minhash, packing, secrets_scan, token_counts, token_files, toxicity, url_filter
+from basketlens.llm import cover_tree, minhash, packing, secrets_scan, token_counts, token_files, topk, toxicity, url_filter
 from basketlens.llm.common import table
 
 #: Folder of the public tokenizer files on every machine.
@@ -24,6 +24,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,10 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -67,8 +75,10 @@ SELECT doc_id, {counts}, sha256({joined.format(base, kinds)}) AS base_sha256, {j
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_token_counts": op2_token_counts,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_secret_scans": op5_secret_scans,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_token_files": op7_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
@@ -91,6 +101,14 @@ fitting AS (
   FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM parts p LEFT JOIN fitting f ON p.page_id = f.page_id AND f.place = 1
+""",
+    "op3_exact_top_k": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """,
     "op5_secret_scans": _secret_sql(),
 }
