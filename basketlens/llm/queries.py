@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import cover_tree, minhash, packing, secrets_scan, token_counts, token_files, topk, toxicity, url_filter
+from basketlens.llm import cover_tree, minhash, mixing, packing, secrets_scan, token_counts, token_files, topk, toxicity, url_filter
 from basketlens.llm.common import table
 
 #: Folder of the public tokenizer files on every machine.
@@ -44,6 +44,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), columns=["doc_id", "source"])
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_secret_scans": op5_secret_scans,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_token_files": op7_token_files,
+    "op8_mix_sources": op8_mix_sources,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
 }
@@ -111,4 +116,20 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """,
     "op5_secret_scans": _secret_sql(),
+    "op8_mix_sources": """
+WITH RECURSIVE sizes AS (SELECT source, CAST(sum(coalesce(length(text), 0)) AS DOUBLE) AS chars FROM documents GROUP BY source),
+rates AS (SELECT source, CASE WHEN chars > 0 THEN sqrt(chars) / (SELECT sum(sqrt(chars) ORDER BY source) FROM sizes) * (SELECT sum(chars) FROM sizes) / chars ELSE 1.0 END AS rate FROM sizes),
+each AS (SELECT source, CAST(greatest(1, ceil(rate / 256.0)) AS INTEGER) AS draws, rate / greatest(1, ceil(rate / 256.0)) AS mean FROM rates),
+cdf(source, mean, k, p, c) AS (
+  SELECT source, mean, 0, exp(-mean), exp(-mean) FROM each
+  UNION ALL SELECT source, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM cdf WHERE k < ceil(mean + 12 * sqrt(mean)) + 40),
+tables AS (SELECT e.source, e.draws, (SELECT list(c) FROM cdf WHERE cdf.source IS NOT DISTINCT FROM e.source) AS cdf FROM each e),
+keyed AS (SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'text' || md5(coalesce(text, ''))) AS key FROM documents),
+counted AS (
+  SELECT d.doc_id, d.source, d.key, list_sum(list_transform(range(t.draws), lambda j: len(list_filter(t.cdf,
+         lambda c: c <= CAST(('0x' || substr(md5('17:' || d.key || ':' || j), 1, 13)) AS BIGINT) / 4503599627370496.0)))) AS copies
+  FROM keyed d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source),
+copied AS (SELECT doc_id, source, key, unnest(range(CAST(copies AS BIGINT))) AS copy FROM counted)
+SELECT doc_id, source, CAST(copy AS INTEGER) AS copy, md5('17:order:' || key || ':' || copy) AS shuffle_key FROM copied
+""",
 }
