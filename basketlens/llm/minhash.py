@@ -13,9 +13,11 @@ bucket emits all its pairs:
 1. every class is compared with the member it shares most buckets with among the
    smallest members of its buckets;
 2. confirmed links are joined into components;
-3. buckets whose members lie in one component are done. In the others, pairs from
-   different components whose signatures agree in enough coordinates are proposed:
-   first one spanning forest per bucket, then ever more, until none is left.
+3. buckets whose members lie in one component are done. In the others, tasks look
+   for pairs from different components whose signatures agree in enough coordinates,
+   each pair only in the first band that it shares, confirm them on the full sets and
+   return the links that join components. Large buckets are split into blocks, and
+   tasks hold two blocks.
 
 A pair inside one component needs no comparison: it cannot change the result.
 Every link is confirmed on the full sets.
@@ -42,12 +44,13 @@ BANDS, ROWS = 36, 4
 COORDINATES = BANDS * ROWS
 UNIVERSE = 1 << 20
 SEED = 20_240_117
-#: Coordinates that must agree for a proposal; a pair with similarity 0.75 falls
-#: below with probability under 1e-9 (binomial, 144 trials).
-AGREE = 74
-#: Shingles whose signature slices are held at once; bytes of a signature comparison.
+#: Coordinates that must agree before sets are compared in step 3; a pair with
+#: similarity 0.75 falls below with probability 3e-7 (binomial, 144 trials).
+AGREE = 82
+#: Members of a block of a large bucket.
+BLOCK_ROWS = 1024
+#: Shingles whose signature slices are held at once.
 SHINGLES_AT_ONCE = 4096
-COMPARE_BYTES = 1 << 25
 #: Sets of hubs that a worker remembers while confirming.
 SETS_KEPT = 64
 
@@ -83,6 +86,17 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(total ^ (total >> np.uint64(31)))
 
 
+def similar(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two full sets reach the threshold."""
+    if len(one) > len(two):
+        one, two = two, one
+    if 100 * len(one) < PERCENT * len(two) or not len(one):
+        return False
+    at = np.minimum(np.searchsorted(two, one), len(two) - 1)
+    both = int(np.count_nonzero(two[at] == one))
+    return 100 * both >= PERCENT * (len(one) + len(two) - both)
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
     """All coordinates from sigma and the shifts of pi."""
     sigma, shifted = _permutations()
@@ -143,85 +157,101 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     known[hub] = shingle_set(hub)
                     if len(known) > SETS_KEPT:
                         known.popitem(last=False)
-                right = known[hub]
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                linked.append(100 * both >= PERCENT * (len(left) + len(right) - both))
+                linked.append(similar(left, known[hub]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint").distinct()
 
 
-def propose(rep: np.ndarray, comp: np.ndarray, n: np.ndarray, signatures: list[bytes], extra: int) -> list[tuple[int, int, int]]:
-    """Pairs of one bucket from different components whose signatures agree: a
-    spanning forest of the likeliest, and up to ``extra`` more for each member.
-    Rows (a, b, pairs left out)."""
+def candidates(group: pa.Table) -> Iterator[tuple[int, int]]:
+    """Rows of one task of a bucket that step 3 compares, likeliest first."""
+    rep, comp, n, side = (group.column(c).to_numpy() for c in ("rep", "component", "n", "side"))
     order = np.lexsort((rep, n))
-    rep, comp, n = rep[order], comp[order], n[order]
-    sig = np.frombuffer(b"".join(signatures), np.uint8).reshape(len(rep), COORDINATES)[order]
+    rep, comp, n, side = rep[order], comp[order], n[order], side[order]
+    sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(rep), COORDINATES)[order]
+    bands = np.array(group.column("bands").to_pylist(), np.int64)[order]
+    band, across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
     found = []
-    for i in range(len(rep) - 1):
+    for x in range(len(rep) - 1):
         # sorted by size: partners end where the sizes differ too much
-        end = int(np.searchsorted(n, n[i] * 100 // PERCENT, side="right"))
-        for at in range(i + 1, end, COMPARE_BYTES // COORDINATES):
-            part = slice(at, min(end, at + COMPARE_BYTES // COORDINATES))
-            agree = np.count_nonzero(sig[part] == sig[i], axis=1)
-            hit = np.flatnonzero((agree >= AGREE) & (comp[part] != comp[i]) & (rep[part] != rep[i]))
-            found += [(-int(agree[j]), int(min(rep[i], rep[at + j])), int(max(rep[i], rep[at + j])), int(comp[i]), int(comp[at + j])) for j in hit.tolist()]
+        part = slice(x + 1, int(np.searchsorted(n, n[x] * 100 // PERCENT, side="right")))
+        may = (comp[part] != comp[x]) & (rep[part] != rep[x])
+        if across:
+            may &= side[part] != side[x]
+        at = np.flatnonzero(may) + x + 1
+        agree = np.count_nonzero(sig[at] == sig[x], axis=1)
+        at, agree = at[agree >= AGREE], agree[agree >= AGREE]
+        first = (bands[at] == bands[x]).argmax(axis=1) == band if len(at) else np.zeros(0, bool)
+        found += zip((-agree[first]).tolist(), [x] * int(first.sum()), at[first].tolist(), strict=True)
     found.sort()
-    root: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while root.get(x, x) != x:
-            x = root[x]
-        return x
-
-    chosen, others = [], []
-    for _, a, b, ca, cb in found:
-        ra, rb = top(ca), top(cb)
-        if ra != rb:
-            root[max(ra, rb)] = min(ra, rb)
-            chosen.append((a, b))
-        else:
-            others.append((a, b))
-    more = min(len(others), extra * len(rep))
-    return [(a, b, len(others) - more) for a, b in chosen + others[:more]]
-
-
-def _proposals(members: DataFrame, classes: DataFrame, labels: DataFrame | None, extra: int) -> DataFrame:
-    own = members.select("bucket", "rep")
-    if labels is not None:
-        own = own.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-        own = own.select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    else:
-        own = own.withColumn("component", F.col("rep"))
-    undecided = own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
-    rows = own.join(undecided, "bucket").join(classes.select("rep", "n", "signature"), "rep")
-
-    def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by bucket; one bucket is held at a time."""
-        held: list[pa.RecordBatch] = []
-        now = None
-        for batch in batches:
-            bucket = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist(), len(bucket)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                if b > a:
-                    if held and bucket[a] != now:
-                        yield proposed(held)
-                        held = []
-                    now = bucket[a]
-                    held.append(batch.slice(a, b - a))
-        if held:
-            yield proposed(held)
-
-    def proposed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held)
-        pairs = propose(*(whole.column(c).to_numpy() for c in ("rep", "component", "n")), whole.column("signature").to_pylist(), extra)
-        return pa.RecordBatch.from_pylist([dict(zip(("a", "b", "left_out"), p, strict=True)) for p in pairs],
-                                          schema=pa.schema([(c, pa.int64()) for c in ("a", "b", "left_out")]))
-
-    ordered = rows.select("bucket", "rep", "component", "n", "signature").repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(by_bucket, "a bigint, b bigint, left_out bigint").groupBy("a", "b").agg(F.max("left_out").alias("left_out"))
+    for _, x, y in found:
+        yield int(order[x]), int(order[y])
+
+
+def _by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows come sorted by (bucket, i, j); one task's rows are held at a time."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "i", "j")], axis=1)
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b > a:
+                if held and tuple(keys[a]) != now:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                now = tuple(keys[a])
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _in_tasks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+
+def _links_across(members: DataFrame, classes: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Step 3: confirmed links (a, b) between components, enough to join them."""
+    own = members.select("bucket", "band", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    own = own.withColumn("component", F.coalesce("component", "rep"))
+    parts = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
+    undecided = (own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), parts.alias("parts"))
+                 .where("lo < hi").select("bucket", "parts"))
+    rows = own.join(undecided, "bucket").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("side", o).alias("i"), F.greatest("side", o).alias("j")))
+    rows = rows.withColumn("meets", F.explode(meets)).select("bucket", "meets.i", "meets.j", "band", "side", "rep", "component")
+    sketched = rows.join(classes.select("rep", "n", "signature", "bands"), "rep")
+    columns = ["bucket", "i", "j", "band", "side", "rep", "component", "n", "signature", "bands"]
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _by_task(batches):
+            needed = sorted({x for pair in candidates(group) for x in pair})
+            yield from group.take(pa.array(needed, pa.int64())).combine_chunks().to_batches()
+
+    schema = sketched.select(*columns).schema
+    needed = written(_in_tasks(sketched.select(*columns)).mapInArrow(wanted, schema), "needed")
+    with_text = needed.join(texts.select(F.col("doc_id").alias("rep"), "text"), "rep").select(*columns, "text")
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _by_task(batches):
+            rep, comp = group.column("rep").to_pylist(), group.column("component").to_pylist()
+            sets = [shingle_set(t) for t in group.column("text").to_pylist()]
+            root: dict[int, int] = {}
+
+            def top(x: int, root: dict[int, int] = root) -> int:
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+
+            out = []
+            for x, y in candidates(group):
+                cx, cy = top(comp[x]), top(comp[y])
+                if cx != cy and similar(sets[x], sets[y]):
+                    root[max(cx, cy)] = min(cx, cy)
+                    out.append((rep[x], rep[y]))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return _in_tasks(with_text).mapInArrow(linked, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -235,13 +265,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     document with several texts. Only doc_id and text are read.
 
     Memory: a class takes one sketch of fixed size; a pair under confirmation two
-    texts; an undecided bucket the signatures of its members.
+    texts; a task of step 3 two blocks of sketches and, for members with a candidate,
+    their sets.
     """
     sketches = written(_sketches(docs), "sketches")
     classes = written(
         sketches.where("set_hash is not null and doc_id is not null").groupBy("set_hash")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "classes")
-    placed = classes.select("rep", F.explode("bands").alias("bucket"))
+    placed = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("hi")).where("hub < hi").select("bucket", "hub")
     members = written(placed.join(shared, "bucket"), "members")
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
@@ -249,22 +280,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     pairs = (members.where("rep <> hub").groupBy("rep", "hub").agg(F.count("*").alias("n"))
              .groupBy("rep").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub")).select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-    tested = written(pairs, "tested")
-    links = written(_confirmed(tested, texts), "links")
-    labels, extra = components(links), 4
-    while True:
-        labels = written(labels, "labels")
-        proposed = written(_proposals(members, classes, labels, extra), "proposed")
-        fresh = written(proposed.join(tested, ["a", "b"], "left_anti").select("a", "b"), "fresh")
-        if fresh.isEmpty():
-            if proposed.where("left_out > 0").isEmpty():
-                break
-        else:
-            found = written(_confirmed(fresh, texts), "links")
-            tested, links = tested.unionByName(fresh), links.unionByName(found)
-            if not found.isEmpty():
-                labels = components(links)
-        extra *= 8
+    links = written(_confirmed(pairs, texts), "links")
+    labels = written(components(links), "labels")
+    more = written(_links_across(members, classes, labels, texts), "more_links")
+    if not more.isEmpty():
+        labels = written(components(links.unionByName(more)), "labels")
 
     own = classes.select("set_hash", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     own = own.select("set_hash", F.coalesce("component", "rep").alias("component_id"))
