@@ -87,12 +87,14 @@ def _same_width(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Indices of the k best distinct ids of each query: by score, then smaller id."""
-    order = np.lexsort((-scores, ids, query))
+    """Indices of the k best distinct ids of each query: by score, then smaller id.
+
+    ``~scores`` falls as scores rise and, unlike ``-scores``, cannot overflow."""
+    order = np.lexsort((~scores, ids, query))
     first = np.ones(len(order), bool)
     first[1:] = (query[order][1:] != query[order][:-1]) | (ids[order][1:] != ids[order][:-1])
     order = order[first]
-    order = order[np.lexsort((ids[order], -scores[order], query[order]))]
+    order = order[np.lexsort((ids[order], ~scores[order], query[order]))]
     begin = np.searchsorted(query[order], query[order], side="left")
     return order[np.arange(len(order)) - begin < k]
 
