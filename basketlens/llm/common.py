@@ -40,3 +40,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def ascii_lower(col):
     """A-Z lower-cased; every other character is left alone."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+_kept: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps between the tasks of a Python worker. Workers serve
+    one operator after another, so taking up one cache drops the others."""
+    for other in [k for k in _kept if k != owner]:
+        del _kept[other]
+    return _kept.setdefault(owner, {})

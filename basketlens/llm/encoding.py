@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+from basketlens.llm.common import worker_cache
+
 #: Runs of which a worker remembers the ids; beyond, it starts afresh.
 MEMO_RUNS = 600_000
 #: Longer runs are encoded each time.
@@ -86,11 +88,9 @@ class Encoder:
         return [self.whole(text) if runs is None else b"".join(map(known, runs)) for text, runs in zip(texts, cut, strict=True)]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this worker for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    kept = worker_cache("encoding")
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]

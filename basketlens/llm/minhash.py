@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import written
+from basketlens.llm.common import worker_cache, written
 from basketlens.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -54,16 +54,14 @@ SHINGLES_AT_ONCE = 4096
 #: Sets of hubs that a worker remembers while confirming.
 SETS_KEPT = 64
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
     """sigma, and pi as a view whose row p holds coordinates 0.. of place p."""
-    if SEED not in _tables:
+    tables = worker_cache("minhash")
+    if SEED not in tables:
         rng = np.random.default_rng(SEED)
         sigma, pi = rng.permutation(UNIVERSE).astype(np.uint32), rng.permutation(UNIVERSE).astype(np.uint32)
-        _tables[SEED] = sigma, np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[:COORDINATES]]), COORDINATES)
-    return _tables[SEED]
+        tables[SEED] = sigma, np.lib.stride_tricks.sliding_window_view(np.concatenate([pi, pi[:COORDINATES]]), COORDINATES)
+    return tables[SEED]
 
 
 def shingle_set(text: str | None) -> np.ndarray:

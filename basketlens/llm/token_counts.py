@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.llm.common import worker_cache
+
 #: Words of which a worker remembers the count; beyond, it starts afresh.
 MEMO_WORDS = 300_000
 #: Longer words are counted but not remembered.
@@ -114,13 +116,11 @@ def byte_level_pieces(path: str) -> list[bytes]:
     return [bytes(byte_of[ch] for ch in piece) for piece in model["model"]["vocab"] if piece not in special]
 
 
-_counters: dict[str, PieceCounter] = {}
-
-
 def _counter(path: str) -> PieceCounter:
-    if path not in _counters:
-        _counters[path] = PieceCounter(byte_level_pieces(path))
-    return _counters[path]
+    kept = worker_cache("token_counts")
+    if path not in kept:
+        kept[path] = PieceCounter(byte_level_pieces(path))
+    return kept[path]
 
 
 def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_id") -> DataFrame:

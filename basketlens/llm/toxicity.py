@@ -26,7 +26,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import written
+from basketlens.llm.common import worker_cache, written
 
 SIZES = (4, 5, 6)
 FEATURE_BITS = 20
@@ -37,8 +37,8 @@ MIN_ROWS = 4
 #: Share of rows that a score must reach to count as toxic.
 THRESHOLD = 0.3
 #: Texts, and characters, handled together within a task.
-TEXTS_AT_ONCE = 256
-CHARS_AT_ONCE = 1 << 20
+TEXTS_AT_ONCE = 64
+CHARS_AT_ONCE = 1 << 18
 #: Odd multipliers of the n-gram hash.
 FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1, 0xD3A2646D, 0xFD7046C5, 0xB55A4F09], np.uint32)
 _SPACES = re.compile(r"\s+")
@@ -77,6 +77,7 @@ def _owners(texts: list[str]) -> np.ndarray:
 
 def features(texts: list[str], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, bucket) pairs of the buckets marked in ``wanted``."""
+    worker_cache("toxicity")  # nothing is kept; another operator's memory is released
     rows, buckets, base = [], [], 0
     for some in _groups(texts):
         owner = _owners(some)
