@@ -55,8 +55,10 @@ def _summary_aggs():
     auc_term = F.col("neg").cast("double") * (F.col("tp").cast("double") - F.col("pos") / 2.0)
     youden = F.col("tpr") - F.col("fpr")
     return [F.try_divide(F.sum(auc_term), (F.first("P") * F.first("N")).cast("double")).alias("auc"),
-            F.max_by("threshold", F.struct(youden, F.col("threshold"))).alias("best_threshold"),
-            F.max(youden).alias("youden")]
+            # the curve starts at "predict nothing" (threshold inf, Youden 0), which wins ties
+            F.when(F.max(youden) > 0, F.max_by("threshold", F.struct(youden, F.col("threshold"))))
+            .when(F.max(youden).isNotNull(), F.lit(float("inf"))).alias("best_threshold"),
+            F.greatest(F.max(youden), F.when(F.max(youden).isNotNull(), F.lit(0.0))).alias("youden")]
 
 
 def roc_summary(points: DataFrame) -> DataFrame:

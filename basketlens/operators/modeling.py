@@ -219,6 +219,11 @@ def score_frame(model, df: DataFrame) -> DataFrame:
                       vector_to_array("probability")[1].alias("score"))
 
 
+def _number(value) -> float | None:
+    """A metric as a number; an undefined one (one class only) stays NULL."""
+    return None if value is None else float(value)
+
+
 def run_model(data: DataFrame, features: Sequence[str], response: str, config: str, model_type: str,
               train_ratio: float = 0.7, seed: int = 42, key: str = "CustomerID", params: dict | None = None):
     """Fit on the train split, score both splits, evaluate (J13, J14). Returns (metrics row DataFrame, model)."""
@@ -250,11 +255,11 @@ def run_model(data: DataFrame, features: Sequence[str], response: str, config: s
     m_te = evaluate(score_frame(model, test)).first()
     train.unpersist()
     name = MODEL_NAMES.get(model_type, model_type)
-    row = (config, name, model_type, float(m_tr["accuracy"] or 0), float(m_te["accuracy"] or 0),
-           float(m_tr["auc"] or 0), float(m_te["auc"] or 0),
-           float(m_tr["balanced_accuracy"] or 0), float(m_te["balanced_accuracy"] or 0),
-           float(m_te["sensitivity"] or 0), float(m_te["specificity"] or 0), float(m_te["precision"] or 0),
-           float(m_te["f1"] or 0), None if m_te["best_threshold"] is None else float(m_te["best_threshold"]),
+    row = (config, name, model_type, _number(m_tr["accuracy"]), _number(m_te["accuracy"]),
+           _number(m_tr["auc"]), _number(m_te["auc"]),
+           _number(m_tr["balanced_accuracy"]), _number(m_te["balanced_accuracy"]),
+           _number(m_te["sensitivity"]), _number(m_te["specificity"]), _number(m_te["precision"]),
+           _number(m_te["f1"]), None if m_te["best_threshold"] is None else float(m_te["best_threshold"]),
            ",".join(feats), int(n_train), time.time())
     metrics = data.sparkSession.createDataFrame([row], RUN_SCHEMA).withColumns({
         "overfitting_accuracy_gap": F.col("train_accuracy") - F.col("test_accuracy"),

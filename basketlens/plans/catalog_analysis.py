@@ -494,22 +494,6 @@ def q_dendro(spark, sf):
     return clustering.ward_dendrogram(joined(spark, sf))
 
 
-@register("conversion_report")
-def q_conversion(spark, sf):
-    """Columns whose type changed while typing the dirty lines and the campaign."""
-    from ..operators.typing import conversion_report, convert_campaign_data_types, convert_data_types
-    raw_l, raw_c = fx.lines_dirty(spark, sf), fx.campaign(spark, sf)
-    return conversion_report(raw_l, convert_data_types(raw_l)).unionByName(
-        conversion_report(raw_c, convert_campaign_data_types(raw_c)))
-
-
-@register("joined_schema")
-def q_schema(spark, sf):
-    """A4, A5: (position, column, type) listing of the joined table."""
-    from ..operators.typing import schema_report
-    return schema_report(joined(spark, sf))
-
-
 # ---------------------------------------------------------------------------
 # Numeric recodes (advertised by the reference's readme)
 # ---------------------------------------------------------------------------

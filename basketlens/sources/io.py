@@ -1,19 +1,28 @@
 """File sources and sinks.
 
-CSV inputs are read with an explicit all-text schema (no inference pass, no
-type guessing); typing is the separate, reported step in ``operators.typing``.
+CSV inputs are read as text and bound by header (no inference pass, no type
+guessing); typing is the separate, reported step in ``operators.typing``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.quality import require_columns
 from .schemas import CAMPAIGN_RAW, LINES_RAW
 
 
-def read_csv(spark: SparkSession, path: str, schema, header: bool = True) -> DataFrame:
-    return (spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
-            .option("emptyValue", "").csv(path))
+def read_csv(spark: SparkSession, path: str, schema, optional: tuple[str, ...] = ()) -> DataFrame:
+    """Text columns of a CSV file, bound by the header's names in any order.
+
+    Columns of ``schema`` that the file lacks raise, unless they are ``optional``:
+    those are NULL. Other columns of the file are left out.
+    """
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").option("emptyValue", "").csv(path)
+    names = [f.name for f in schema.fields]
+    require_columns(raw, [c for c in names if c not in optional])
+    return raw.select(*[(F.col(f"`{c}`") if c in raw.columns else F.lit(None)).cast("string").alias(c) for c in names])
 
 
 def read_lines_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -22,8 +31,8 @@ def read_lines_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_campaign_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Campaign responses as text columns (A1)."""
-    return read_csv(spark, path, CAMPAIGN_RAW)
+    """Campaign responses as text columns (A1); the two communication counts may be absent."""
+    return read_csv(spark, path, CAMPAIGN_RAW, optional=("n_comp", "n_communications"))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

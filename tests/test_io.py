@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from basketlens.operators.typing import convert_campaign_data_types, convert_data_types
 from basketlens.sources import fixtures as fx
 from basketlens.sources import io
@@ -45,3 +47,13 @@ def test_command_line_runner_on_csv(spark):
     names = {os.path.basename(p) for p in written}
     assert {"customer_campaign", "integrity_report", "correlation", "top_products", "qq_fit"} <= names
     assert spark.read.parquet(os.path.join(root, "out", "customer_campaign")).count() > 0
+
+
+def test_csv_columns_bind_by_header(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="bl-hdr-"), "c")
+    spark.createDataFrame([("7", "extra", "1", "c1", "9")], "loyalty string, note string, response string, CustomerID string, nps string") \
+        .write.option("header", True).csv(out)
+    row = io.read_campaign_csv(spark, out).first()
+    assert (row["CustomerID"], row["response"], row["loyalty"], row["nps"], row["n_comp"]) == ("c1", "1", "7", "9", None)
+    with pytest.raises(ValueError):
+        io.read_lines_csv(spark, out)

@@ -180,3 +180,22 @@ def test_observed_integrity_counts_match_report(spark):
     assert obs["lines_input"].get["negative_price"] == rep[("lines", "negative_price_removed")]
     assert obs["lines_final"].get["rows"] == rep[("lines", "final")] == n_lines
     assert obs["campaign_final"].get["rows"] == rep[("campaign", "final")] == n_camp
+
+
+def test_quantiles_ignore_non_finite_on_both_paths(spark):
+    import numpy as np
+    from basketlens.operators.quantiles import column_quantiles
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=30_000).round(3).tolist()
+    df = spark.createDataFrame([(v,) for v in values + [float("inf"), float("-inf"), float("nan"), None]], "x double")
+    small = column_quantiles(df, ["x"], [0.1, 0.37, 0.5, 0.99])["x"]
+    narrowed = column_quantiles(df, ["x"], [0.1, 0.37, 0.5, 0.99], inline_limit=0, finish_rows=50, buckets=8)["x"]
+    assert small["q"] == narrowed["q"] and small["n"] == narrowed["n"] == 30_000
+    assert np.allclose(small["q"], np.quantile(values, [0.1, 0.37, 0.5, 0.99]))
+
+
+def test_roc_origin_wins_for_anti_predictive_scores(spark):
+    from basketlens.operators.evaluation import roc_points, roc_summary
+    df = spark.createDataFrame([(0.0, 0.9), (0.0, 0.8), (1.0, 0.2), (1.0, 0.1)], "label double, score double")
+    row = roc_summary(roc_points(df)).first()
+    assert (row["auc"], row["best_threshold"], row["youden"]) == (0.0, float("inf"), 0.0)

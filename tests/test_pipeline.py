@@ -10,6 +10,7 @@ from basketlens.sources import fixtures as fx
 from basketlens.sources.schemas import FEATURE_COLUMNS
 
 from conftest import SF_SMALL
+from plain_checks import customer_rows
 
 
 def test_entry_contract(spark):
@@ -20,46 +21,15 @@ def test_entry_contract(spark):
     assert set(orc) <= set(qs) and "customer_features" in orc
 
 
-def _bins_pandas(col: pd.Series) -> pd.Series:
-    """Reference semantics written out with pandas for a small brute-force check."""
-    labels = ["Very Low", "Low", "High", "Very High"]
-    clean = col.dropna()
-    if clean.nunique() < 2:
-        return pd.Series(["Unknown"] * len(col), index=col.index)
-    q1, q3 = clean.quantile(0.25), clean.quantile(0.75)
-    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-    inl = clean[(clean >= lo) & (clean <= hi)]
-    edges = sorted(set([inl.min(), inl.quantile(0.25), inl.quantile(0.5), inl.quantile(0.75), inl.max()]))
-    if len(edges) < 2:
-        return pd.Series(["Unknown"] * len(col), index=col.index)
-    out = pd.cut(col, bins=edges, labels=labels[:len(edges) - 1], include_lowest=True)
-    return out.astype(object).where(out.notna(), "Unknown")
-
-
-def test_features_match_pandas_brute_force(spark):
+def test_features_match_plain_python(spark):
     lines = fx.lines(spark, SF_SMALL)
-    pdf = lines.toPandas()
-    pdf["TotalValue"] = pdf["Quantity"] * pdf["UnitPrice"]
-    g = pdf.groupby("CustomerID").agg(first_purchase=("InvoiceDate", "min"), last_purchase=("InvoiceDate", "max"),
-                                      num_orders=("InvoiceNo", "nunique"), total_quantity=("Quantity", "sum"),
-                                      total_spending=("TotalValue", "sum"), product_diversity=("StockCode", "nunique"))
-    g["recency"] = (pdf["InvoiceDate"].max() - g["last_purchase"]).dt.days
-    g["customer_tenure"] = (g["last_purchase"] - g["first_purchase"]).dt.days
-    g["avg_order_value"] = g["total_spending"] / g["num_orders"]
-    g["order_frequency"] = g["customer_tenure"] / g["num_orders"]
-    ret = pdf[pdf["Quantity"] < 0].groupby("CustomerID")["Quantity"].sum().abs()
-    g["return_rate"] = (g.index.map(ret) / g["total_quantity"]).fillna(0)
-    for b, src in [("total_sales_bin", "total_spending"), ("recency_bin", "recency"),
-                   ("customer_tenure_bin", "customer_tenure"), ("order_frequency_bin", "order_frequency")]:
-        g[b] = _bins_pandas(g[src].astype(float))
-    got = customer_features(lines).toPandas().set_index("CustomerID")
-    assert len(got) == len(g)
-    for c in ["num_orders", "total_quantity", "product_diversity", "recency", "customer_tenure",
-              "total_sales_bin", "recency_bin", "customer_tenure_bin", "order_frequency_bin"]:
-        assert (got[c] == g.loc[got.index, c]).all(), c
-    for c in ["total_spending", "avg_order_value", "order_frequency", "return_rate"]:
-        a, b = got[c].to_numpy(float), g.loc[got.index, c].to_numpy(float)
-        assert all(math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-9) for x, y in zip(a, b)), c
+    expected = customer_rows([r.asDict() for r in lines.collect()])
+    got = {r["CustomerID"]: r for r in customer_features(lines).collect()}
+    assert got.keys() == expected.keys()
+    for who, want in expected.items():
+        for c, value in want.items():
+            same = math.isclose(got[who][c], value, rel_tol=1e-9, abs_tol=1e-9) if isinstance(value, float) else got[who][c] == value
+            assert same, (who, c)
 
 
 @pytest.mark.parametrize("parts", [1, 5])

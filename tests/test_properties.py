@@ -5,6 +5,8 @@ from hypothesis import given, settings, strategies as st
 
 from basketlens.operators import quantiles as Q
 
+from plain_checks import quartile_labels
+
 values = st.lists(st.one_of(st.integers(-50, 50).map(float), st.floats(-1e6, 1e6, allow_nan=False, width=32)),
                   min_size=1, max_size=300)
 probs = st.lists(st.floats(0.0, 1.0), min_size=1, max_size=4)
@@ -22,22 +24,6 @@ def test_exact_quantiles_match_numpy(spark, vals, ps):
         assert abs(a - w) <= tol and abs(b - w) <= tol
 
 
-def _pandas_bins(vals):
-    import pandas as pd
-    col = pd.Series(vals, dtype=float)
-    clean = col.dropna()
-    labels = ["Very Low", "Low", "High", "Very High"]
-    if clean.nunique() < 2:
-        return ["Unknown"] * len(col)
-    q1, q3 = clean.quantile(0.25), clean.quantile(0.75)
-    inl = clean[(clean >= q1 - 1.5 * (q3 - q1)) & (clean <= q3 + 1.5 * (q3 - q1))]
-    edges = pd.qcut(inl, q=4, retbins=True, duplicates="drop")[1]
-    if len(edges) < 2:
-        return ["Unknown"] * len(col)
-    cut = pd.cut(col, bins=edges, labels=labels[:len(edges) - 1], include_lowest=True)
-    return [("Unknown" if pd.isna(v) else str(v)) for v in cut]
-
-
 tied = st.lists(st.one_of(st.sampled_from([0.0, 0.0, 0.0, 1.0, 2.0, 1000.0]), st.integers(-20, 20).map(float),
                           st.none()), min_size=1, max_size=120)
 
@@ -48,7 +34,7 @@ def test_quartile_bins_match_pandas_qcut(spark, vals):
     from basketlens.operators.binning import quartile_bins
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
     got = [r["b"] for r in quartile_bins(df, {"b": "x"}).orderBy("i").collect()]
-    assert got == _pandas_bins(vals)
+    assert got == quartile_labels(vals)
 
 
 keyed = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(-5, 5).map(float)), min_size=1, max_size=200)
