@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import NPS_BANDS, nps_band, parse_timestamp, to_number
 from .binning import QUARTILE_LABELS, UNKNOWN, iqr_bounds, levels_of
+from .ordering import prefix_sums
 from .quantiles import grouped_quantiles
 from .quality import drop_duplicates, drop_missing, require_columns
 
@@ -154,33 +155,40 @@ def bin_value_counts(features: DataFrame, bin_columns: Sequence[str]) -> DataFra
 # Encoding and correlation
 # ---------------------------------------------------------------------------
 
-def category_codes(data: DataFrame, col: str, levels: Sequence | None = None):
-    """Integer code of a categorical column: position in ``levels`` (sorted distinct values by default), NULL -> -1.
+def level_position(col: str, levels: Sequence[str]):
+    """Position of a text column in a fixed short level list; NULL and other values -> -1."""
+    position = F.array_position(F.array(*[F.lit(lv) for lv in levels]), F.col(col)) - 1
+    return F.coalesce(position, F.lit(-1))
 
-    The level list is a small distinct set read once; it is embedded as a
-    literal map, so encoding is a projection.
+
+def category_codes(data: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """``data`` with ``out``: the position of ``col`` among its sorted distinct values, NULL -> -1.
+
+    Levels are numbered by distributed running sums and joined back, so their
+    number is not limited; Spark broadcasts the level table when it is small
+    and splits a hot level of a larger one.
     """
-    if levels is None:
-        levels = [r[0] for r in data.select(col).distinct().filter(F.col(col).isNotNull()).orderBy(col)
-                  .limit(100_001).collect()]
-        if len(levels) > 100_000:
-            raise ValueError(f"{col}: too many levels for a category code")
-    m = F.create_map(*[x for i, lv in enumerate(levels) for x in (F.lit(lv), F.lit(i))]) if levels else None
-    if m is None:
-        return F.lit(-1)
-    return F.coalesce(F.element_at(m, F.col(col)), F.lit(-1))
+    levels = data.select(F.col(col).alias("__level")).filter(F.col("__level").isNotNull()).distinct()
+    ranked = prefix_sums(levels.withColumn("__one", F.lit(1).cast("bigint")), [], [F.col("__level")], ["__one"])
+    codes = ranked.select("__level", (F.col("cum___one") - 1).alias("__code"))
+    coded = data.join(codes, data[col] == codes["__level"], "left")
+    return coded.withColumn(out, F.coalesce(F.col("__code"), F.lit(-1))).drop("__level", "__code")
 
 
 def encode_for_correlation(data: DataFrame, response: str = "response") -> DataFrame:
     """Numeric view of the joined table: bins by label order, nps by score (NULL -> -1),
     booleans 0/1, other text by sorted level; identifiers and dates dropped."""
     cols = []
-    for f in data.schema.fields:
+    fields = data.schema.fields
+    bins = {f.name: levels_of(data, f.name) or BIN_LEVELS for f in fields if f.name.endswith("_bin")}
+    for f in fields:
+        if isinstance(f.dataType, T.StringType) and f.name not in (*NON_INFORMATIVE, *bins, "nps"):
+            data = category_codes(data, f.name, f"__code_{f.name}")
+    for f in fields:
         if f.name in NON_INFORMATIVE:
             continue
-        if f.name.endswith("_bin"):
-            levels = levels_of(data, f.name) or BIN_LEVELS
-            cols.append(category_codes(data, f.name, levels).cast("double").alias(f.name))
+        if f.name in bins:
+            cols.append(level_position(f.name, bins[f.name]).cast("double").alias(f.name))
         elif f.name == "nps":
             cols.append(F.coalesce(F.col("nps"), F.lit(-1)).cast("double").alias("nps"))
         elif isinstance(f.dataType, T.BooleanType):
@@ -188,7 +196,7 @@ def encode_for_correlation(data: DataFrame, response: str = "response") -> DataF
         elif isinstance(f.dataType, T.NumericType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
         elif isinstance(f.dataType, T.StringType):
-            cols.append(category_codes(data, f.name).cast("double").alias(f.name))
+            cols.append(F.col(f"__code_{f.name}").cast("double").alias(f.name))
     return data.select(*cols)
 
 

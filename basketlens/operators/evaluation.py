@@ -28,8 +28,8 @@ def _threshold_counts(df: DataFrame, label: str, score: str, prediction: str | N
     return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(*aggs)
 
 
-def _with_rates(d: DataFrame, num_partitions, small_limit) -> DataFrame:
-    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions, small_limit=small_limit)
+def _with_rates(d: DataFrame, num_partitions) -> DataFrame:
+    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions)
     P = d.agg(F.sum("pos")).scalar()  # scalar subqueries, no join
     N = d.agg(F.sum("neg")).scalar()
     return c.withColumns({
@@ -40,14 +40,13 @@ def _with_rates(d: DataFrame, num_partitions, small_limit) -> DataFrame:
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
-               num_partitions: int | None = None, small_limit: int | None = None) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """(threshold, pos, neg, tp, fp, tpr, fpr) per distinct score, thresholds descending.
 
-    Ties collapse first; running sums come from ``ordering.prefix_sums`` (a
-    bounded window for a counted small table, range partitions otherwise).
+    Ties collapse first; running sums come from ``ordering.prefix_sums``.
     Point i means "predict 1 when score >= threshold".
     """
-    pts = _with_rates(_threshold_counts(df, label, score), num_partitions, small_limit)
+    pts = _with_rates(_threshold_counts(df, label, score), num_partitions)
     return pts.select("threshold", "pos", "neg", "tp", "fp", "tpr", "fpr", "P", "N")
 
 
@@ -67,14 +66,14 @@ def roc_summary(points: DataFrame) -> DataFrame:
 
 
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
-             num_partitions: int | None = None, small_limit: int | None = None) -> DataFrame:
+             num_partitions: int | None = None) -> DataFrame:
     """One row of metrics (J14, J15): accuracy, sensitivity, specificity, balanced accuracy,
     precision, recall, F1, AUC and the Youden threshold.
 
     The confusion counts ride along in the per-threshold aggregation, so one
     final aggregation gives every metric (no join of separate results).
     """
-    pts = _with_rates(_threshold_counts(df, label, score, prediction), num_partitions, small_limit)
+    pts = _with_rates(_threshold_counts(df, label, score, prediction), num_partitions)
     row = pts.agg(*_summary_aggs(), *[F.sum(f"c_{k}").cast("bigint").alias(k) for k in ("tn", "fp", "fn", "tp")])
     tp, tn, fp, fn = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("tp", "tn", "fp", "fn"))
     sens = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))

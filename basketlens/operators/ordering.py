@@ -32,31 +32,15 @@ def _parts(df: DataFrame, n: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-import os
-
-# Distinct rows up to which a plain (bounded) window computes running sums;
-# 0 forces the range-partitioned path (tests do this to exercise it).
-SMALL_LIMIT = int(os.environ.get("BASKETLENS_SMALL_WINDOW_LIMIT", 200_000))
-
-
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum_cols: Sequence[str],
-                num_partitions: int | None = None, prefix: str = "cum_",
-                small_limit: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add inclusive running sums of ``sum_cols`` in ``order`` within each key.
 
     ``df`` should already have one row per distinct ordering value (collapse
-    ties first). When its counted size is at most ``small_limit`` rows a plain
-    window does it (a bounded task); otherwise rows of one range partition are
-    handled by one task and partition offsets are added.
+    ties first). One task handles the rows of one range partition; the
+    partitions' offsets are added. Tables of every size go the same way.
     """
     keys = list(keys)
-    small_limit = SMALL_LIMIT if small_limit is None else small_limit
-    if small_limit:
-        n = df.count()
-        if n <= small_limit:
-            # counted and bounded: one ordered window per key is a bounded task
-            w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sum_cols])
     p = _parts(df, num_partitions)
     # The partition id is materialised once with a reliable checkpoint: the
     # window branch and the totals branch (and any recomputation after an
@@ -76,14 +60,14 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum
 
 
 def value_ranks(long_df: DataFrame, key: str, value: str, num_partitions: int | None = None,
-                chunk: int = CHUNK, small_limit: int | None = None) -> DataFrame:
+                chunk: int = CHUNK) -> DataFrame:
     """One row per input row: (key, value, rank 1..n within key by value, n).
 
     Tied values receive consecutive ranks (their order is immaterial since
     the rows are identical in (key, value)).
     """
     d = long_df.groupBy(key, value).agg(F.count(F.lit(1)).alias("__c"))
-    d = prefix_sums(d, [key], [F.col(value)], ["__c"], num_partitions, small_limit=small_limit)
+    d = prefix_sums(d, [key], [F.col(value)], ["__c"], num_partitions)
     n = d.groupBy(key).agg(F.sum("__c").alias("n"))
     runs = d.select(key, value, (F.col("cum___c") - F.col("__c") + 1).alias("__s"), F.col("__c"))
     # Split long runs into chunks of at most ``chunk`` ranks, spread them, then expand.

@@ -86,29 +86,48 @@ def handle_missing_values(df: DataFrame, col: str, policy: str = "keep") -> Data
     return df if m is None else df.withColumn(col, F.coalesce(F.col(col), F.lit(m)))
 
 
+ID_CHUNK = 50_000  # ordinals of identical rows that one output row of the first expansion stands for
+
+
+def _content_text(columns: Sequence[str]):
+    """Row content as one text: '<length>:<value>' per column, '-' for NULL, so no two contents agree."""
+    parts = []
+    for c in columns:
+        text = F.col(f"`{c}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def fill_missing_ids(df: DataFrame, col: str, seed: str = "basketlens", length: int = 32) -> DataFrame:
-    """Give every row with a missing identifier its own deterministic ID.
-
-    Rows needing an ID are counted per (row content, input partition) — a
-    partial aggregation, so a hot group of identical rows collapses map-side
-    and no group is larger than one input partition — then re-expanded with
-    an ordinal. ID = hex prefix of sha2(seed, row content, partition, ordinal):
-    always distinct inputs to the hash (also for identical rows), and 32 hex
-    characters (128 bits) make a collision, among themselves or with existing
-    IDs, negligible even for billions of rows; no ``rand()``. The same IDs
-    come back on recomputation whenever the input partitioning is
-    deterministic (file scans, hash shuffles).
+    """Give every row with a missing identifier its own deterministic ID (C7, D-J4, D15).
+
+    ID = upper-case hex prefix of sha2('seed|ordinal|content'), where identical
+    rows are numbered 1, 2, ... So the IDs depend on the rows alone, never on
+    their partitions. Identical rows are counted map-side, and a hot group is
+    expanded again in chunks that are spread over tasks. An ID that a row
+    already has is given up for a second hash; 32 hex characters (128 bits)
+    make any other collision negligible.
     """
     df = normalize_blanks(df, [col])
     others = [c for c in df.columns if c != col]
     have = df.filter(F.col(col).isNotNull())
-    need = (df.filter(F.col(col).isNull()).drop(col)
-            .withColumn("__pid", F.spark_partition_id())
-            .groupBy(*others, "__pid").agg(F.count(F.lit(1)).alias("__n"))
-            .withColumn("__ord", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))))
-    content = F.concat_ws("\u0001", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in others],
-                          F.col("__pid").cast("string"), F.col("__ord").cast("string"))
-    filled = need.withColumn(col, F.upper(F.substring(F.sha2(content, 256), 1, length))).select(*df.columns)
+    need = (df.filter(F.col(col).isNull()).groupBy(*[F.col(f"`{c}`") for c in others])
+            .agg(F.count(F.lit(1)).alias("__n"))
+            .withColumn("__k", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                    F.floor((F.col("__n") - 1) / ID_CHUNK).cast("long"))))
+            .withColumn("__content", _content_text(others)))
+    need = (need.repartition("__content", "__k")
+            .withColumn("__ord", F.explode(F.sequence(F.col("__k") * ID_CHUNK + 1,
+                                                      F.least(F.col("__n"), (F.col("__k") + 1) * ID_CHUNK)))))
+
+    def hashed(label: str):
+        text = F.concat(F.lit(f"{label}|"), F.col("__ord").cast("string"), F.lit("|"), F.col("__content"))
+        return F.upper(F.substring(F.sha2(text, 256), 1, length))
+
+    taken = have.select(F.col(col).alias("__id")).distinct().withColumn("__taken", F.lit(True))
+    filled = (need.withColumn("__id", hashed(seed)).join(taken, "__id", "left")
+              .withColumn(col, F.when(F.col("__taken"), hashed(f"{seed}/2")).otherwise(F.col("__id")))
+              .select(*[F.col(f"`{c}`") for c in df.columns]))
     return have.unionByName(filled)
 
 
@@ -286,14 +305,9 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
 
     if mode != "sequential":
         raise ValueError(f"unknown mode {mode!r}")
-    # one statistics pass over the input: each later step filters a subset, whose
-    # distinct count can only be smaller, so small columns skip their own pass
-    from .quantiles import is_small, long_values, quantiles_long
-    first = quantiles_long(long_values(df, cols), [], **qkw)
     cur = df
     for i, c in enumerate(cols):
-        small = c in first and is_small(first[c]["nd"], qkw.get("inline_limit"))
-        q = column_quantiles(cur, [c], [0.25, 0.75], known_small=small, **qkw)[c]
+        q = column_quantiles(cur, [c], [0.25, 0.75], **qkw)[c]
         if q["n"] == 0:
             continue
         lo, hi = iqr_bounds(*q["q"], k=k)

@@ -6,13 +6,10 @@ result ``x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h)``.
 
 Strategy (per key; a key is one column, or one group of a grouped request):
 
-1. One aggregation pass gives ``count``, ``min``, ``max`` and an approximate
-   distinct count per key (bounded sketches, partial aggregation).
-2. Keys whose distinct count is small enough use Spark's exact ``percentile``
-   aggregate: its buffer is a value->count map, so its memory is bounded by the
-   distinct count just measured, not by the row count.
-3. Other keys are resolved by *histogram narrowing*: each pass buckets the
-   values inside the current interval of every target order statistic into
+1. One aggregation pass gives ``count``, ``min`` and ``max`` per key.
+2. Every target order statistic has an interval, at first the whole key. While
+   an interval holds many rows, *histogram narrowing* shrinks it: a pass buckets
+   the values inside the current interval of every target order statistic into
    ``buckets`` equal-width buckets (``width_bucket``, JVM-side), counts them in
    a distributed aggregation, and narrows the interval to the bucket holding
    the target rank. When the interval holds few rows (or one distinct value)
@@ -31,14 +28,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-import os
-
-# Distinct values per key below which the exact ``percentile`` aggregate is used
-# (overridable, e.g. 0 to force the narrowing path everywhere in a test run).
-INLINE_DISTINCT_LIMIT = int(os.environ.get("BASKETLENS_INLINE_DISTINCT_LIMIT", 200_000))
-# Rows per interval below which narrowing stops and the value is read directly.
-FINISH_ROWS = int(os.environ.get("BASKETLENS_FINISH_ROWS", 100_000))
-BUCKETS = int(os.environ.get("BASKETLENS_BUCKETS", 1024))
+# Rows per interval at which narrowing stops and the value is read directly.
+FINISH_ROWS = 100_000
+BUCKETS = 1024
 
 _KEY = "__qk"
 _VAL = "__qv"
@@ -66,64 +58,31 @@ def _positions(n: int, probs: Sequence[float]):
 
 
 def _interp(lo_v: float, hi_v: float, lo: int, hi: int, at: float) -> float:
-    """The weighted mean of Spark's ``percentile``, bit for bit, so both paths agree."""
+    """Linear interpolation as the weighted mean that Spark's ``percentile`` takes."""
     if lo == hi or lo_v == hi_v:
         return lo_v
     return (hi - at) * lo_v + (at - lo) * hi_v
 
 
-def quantiles_long(long_df: DataFrame, probs: Sequence[float], *,
-                   inline_limit: int | None = None, finish_rows: int | None = None,
-                   buckets: int | None = None, known_small: bool = False) -> dict[str, dict]:
+def quantiles_long(long_df: DataFrame, probs: Sequence[float], *, finish_rows: int | None = None,
+                   buckets: int | None = None) -> dict[str, dict]:
     """Quantiles of ``__qv`` per ``__qk`` for a long (key, value) frame.
 
-    Returns ``{key: {"n", "min", "max", "q": [values per prob], "inline": bool}}``;
-    ``q`` holds ``None`` when the key has no values. Unset limits take the
-    module settings at call time. ``known_small`` (the caller has proven every
-    key's distinct count small, e.g. a subset of an earlier inline request)
-    folds the statistics into the single ``percentile`` pass.
+    Returns ``{key: {"n", "min", "max", "q": [values per prob]}}``; keys without
+    values do not appear. Unset limits take the module settings at call time.
     """
-    inline_limit = INLINE_DISTINCT_LIMIT if inline_limit is None else inline_limit
     finish_rows = FINISH_ROWS if finish_rows is None else finish_rows
     buckets = BUCKETS if buckets is None else buckets
     probs = list(probs)
-    if known_small and probs:
-        rows = (long_df.groupBy(_KEY)
-                .agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"), F.max(_VAL).alias("mx"),
-                     F.percentile(_VAL, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-                .collect())
-        return {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "inline": True,
-                          "q": [float(v) for v in r["q"]]} for r in rows}
     stats = (long_df.groupBy(_KEY)
-             .agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"), F.max(_VAL).alias("mx"),
-                  F.approx_count_distinct(_VAL, 0.05).alias("nd"))
+             .agg(F.count(_VAL).alias("n"), F.min(_VAL).alias("mn"), F.max(_VAL).alias("mx"))
              .collect())
-    result = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "q": [None] * len(probs), "inline": False,
-                        "nd": r["nd"]} for r in stats}
-    if not probs or not result:
-        return result
-
-    small = [k for k, r in zip(result, stats) if is_small(r["nd"], inline_limit)]
-    large = [k for k in result if k not in set(small)]
-
-    if small:
-        rows = (long_df.filter(F.col(_KEY).isin(small)).groupBy(_KEY)
-                .agg(F.percentile(_VAL, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-                .collect())
-        for r in rows:
-            result[r[_KEY]]["q"] = [float(v) for v in r["q"]]
-            result[r[_KEY]]["inline"] = True
-    if large:
-        _narrow(long_df, result, large, probs, finish_rows, buckets)
+    result = {r[_KEY]: {"n": r["n"], "min": r["mn"], "max": r["mx"], "q": [None] * len(probs)} for r in stats}
+    if probs and result:
+        _narrow(long_df, result, list(result), probs, finish_rows, buckets)
     return result
 
 
-def is_small(approx_distinct: int, inline_limit: int | None = None) -> bool:
-    """Whether the exact ``percentile`` buffer (one entry per distinct value) is safely bounded."""
-    inline_limit = INLINE_DISTINCT_LIMIT if inline_limit is None else inline_limit
-    return approx_distinct * 1.1 + 16 <= inline_limit
-
-
 def _narrow(long_df, result, keys, probs, finish_rows, buckets):
     ranks = {k: sorted({r for lo, hi, _ in _positions(result[k]["n"], probs) for r in (lo, hi)}) for k in keys}
     values = select_ranks(long_df, {k: result[k] for k in keys}, ranks, finish_rows, buckets)
@@ -168,7 +127,7 @@ def select_ranks(long_df: DataFrame, stats: dict, ranks: dict, finish_rows: int
                  buckets: int | None = None) -> dict:
     """Exact order statistics: ``{(key, rank0): value}`` for 0-based ranks per key, by histogram narrowing.
 
-    ``stats[key]`` needs ``min`` and ``max``. Each pass is one distributed
+    ``stats[key]`` needs ``n``, ``min`` and ``max``. Each pass is one distributed
     aggregation (counts per bucket of every pending interval); targets in the
     same interval share it. Only bucket counts and final values reach the driver.
     """
@@ -182,6 +141,10 @@ def select_ranks(long_df: DataFrame, stats: dict, ranks: dict, finish_rows: int
         for r in rs:
             state[(k, r)] = {"path": (), "below": 0, "value": mn if mn == mx else None}
     pending = {t for t, st in state.items() if st["value"] is None}
+    finish = sorted(t for t in pending if stats[t[0]]["n"] <= finish_rows)
+    if finish:
+        _finish(long_df, bounds, state, finish, buckets)
+        pending.difference_update(finish)
     while pending:
         paths = {(k, state[(k, r)]["path"]) for k, r in pending}
         frame = _descend(long_df, bounds, paths, buckets)
@@ -240,7 +203,7 @@ def _finish(long_df, bounds, state, finish, buckets):
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> dict[str, dict]:
     """Quantiles of several numeric columns of one frame (NULLs skipped), one pass per stage."""
     res = quantiles_long(long_values(df, columns), probs, **kw)
-    empty = {"n": 0, "min": None, "max": None, "q": [None] * len(probs), "inline": True}
+    empty = {"n": 0, "min": None, "max": None, "q": [None] * len(probs)}
     return {c: res.get(c, dict(empty)) for c in columns}
 
 

@@ -371,9 +371,8 @@ def q_bin_resp(spark, sf):
     "(SELECT Country, CAST(count(*) AS BIGINT) AS n FROM lines GROUP BY Country) t", ["lines"]))
 def q_country_codes(spark, sf):
     """Category codes of Country (sorted levels, NULL -> -1) with row counts."""
-    lines = fx.lines(spark, sf)
-    counts = lines.groupBy("Country").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
-    return counts.select("Country", eda.category_codes(lines, "Country").cast("int").alias("code"), "n")
+    counts = fx.lines(spark, sf).groupBy("Country").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return eda.category_codes(counts, "Country").select("Country", F.col("code").cast("int").alias("code"), "n")
 
 
 @register("description_snake_case", S.statement(
@@ -537,7 +536,16 @@ def q_full_pipeline(spark, sf):
     return rounded(out, FEATURE_ROUND).select(*JOINED_COLUMNS)
 
 
-@register("generate_missing_ids")
+_ID_CONTENT = " || ".join(
+    f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    for c in ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "Country"))
+
+
+@register("generate_missing_ids", S.statement(
+    "SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, coalesce(CustomerID, "
+    "upper(substr(sha256('basketlens|' || CAST(ordinal AS VARCHAR) || '|' || content), 1, 32))) AS CustomerID, Country "
+    f"FROM (SELECT *, {_ID_CONTENT} AS content, row_number() OVER (PARTITION BY InvoiceNo, StockCode, Description, "
+    "Quantity, InvoiceDate, UnitPrice, CustomerID, Country) AS ordinal FROM lines_dirty) t", ["lines_dirty"]))
 def q_generate_ids(spark, sf):
     """C7, D-J4: every dirty line whose CustomerID is missing gets its own deterministic generated ID."""
     return quality.handle_missing_identifiers(fx.lines_dirty(spark, sf), "CustomerID", "generate")

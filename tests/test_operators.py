@@ -49,7 +49,7 @@ def test_quantiles_narrowing_path_matches_exact(spark, seed):
     df = _col(spark, vals)
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
     exact = Q.column_quantiles(df, ["x"], probs)["x"]["q"]
-    narrowed = Q.column_quantiles(df, ["x"], probs, inline_limit=0, finish_rows=64, buckets=8)["x"]["q"]
+    narrowed = Q.column_quantiles(df, ["x"], probs, finish_rows=64, buckets=8)["x"]["q"]
     s = sorted(vals)
     for p, a, b in zip(probs, exact, narrowed):
         h = (len(s) - 1) * p
@@ -90,6 +90,28 @@ def test_generated_ids_unique_and_stable(spark):
     assert a == b and len(set(a)) == 7 and "ID1" in a
 
 
+def test_generated_ids_do_not_depend_on_partitions_and_avoid_taken_ones(spark, monkeypatch):
+    monkeypatch.setattr(quality, "ID_CHUNK", 7)
+    rows = [(f"v{i % 3}", None if i % 2 else i, " ") for i in range(200)]
+    df = spark.createDataFrame(rows, "v string, n int, id string")
+    found = [sorted((r["v"], r["n"] or -1, r["id"]) for r in quality.fill_missing_ids(df.repartition(p), "id").collect())
+             for p in (1, 3, 7)]
+    assert found[0] == found[1] == found[2]
+    ids = {x[2] for x in found[0]}
+    assert len(ids) == 200
+    taken = df.unionByName(spark.createDataFrame([("other", 1, i) for i in sorted(ids)[:20]], df.schema))
+    again = [r["id"] for r in quality.fill_missing_ids(taken, "id").collect()]
+    assert len(again) == len(set(again)) == 220
+
+
+def test_category_codes_of_150k_levels(spark):
+    from basketlens.operators.eda import category_codes
+    df = spark.range(150_000).selectExpr("concat('c', id) AS c").unionByName(spark.sql("SELECT CAST(NULL AS STRING) c"))
+    got = {r["c"]: r["code"] for r in category_codes(df, "c").collect()}
+    want = {c: i for i, c in enumerate(sorted(f"c{i}" for i in range(150_000)))}
+    assert got == want | {None: -1}
+
+
 def test_negative_price_keeps_null(spark):
     df = spark.createDataFrame([(1.0,), (-1.0,), (None,)], "UnitPrice double")
     assert sorted(quality.remove_negative_unit_price(df).collect(), key=str) == sorted(
@@ -128,9 +150,8 @@ def test_prefix_sums_and_ranks_match_brute_force(spark):
     vals = [rnd.randint(0, 50) for _ in range(2000)] + [7] * 1000  # a third of rows on one value
     df = spark.createDataFrame([("k", float(v)) for v in vals], "key string, value double")
     want = sorted(zip(sorted(float(v) for v in vals), range(1, len(vals) + 1)))
-    for limit in (0, None):  # range-partitioned path, then the bounded small-window path
-        ranked = ordering.value_ranks(df, "key", "value", num_partitions=5, chunk=100, small_limit=limit)
-        assert sorted((r["value"], r["rank"]) for r in ranked.collect()) == want
+    ranked = ordering.value_ranks(df, "key", "value", num_partitions=5, chunk=100)
+    assert sorted((r["value"], r["rank"]) for r in ranked.collect()) == want
 
 
 def test_confusion_single_class_and_auc(spark):
@@ -140,7 +161,7 @@ def test_confusion_single_class_and_auc(spark):
     rnd = random.Random(7)
     rows = [(float(rnd.random() < 0.4), 0.0, float(round(rnd.random(), 2))) for _ in range(400)]
     df = spark.createDataFrame(rows, "label double, prediction double, score double")
-    m = evaluation.evaluate(df, num_partitions=4, small_limit=0).first()
+    m = evaluation.evaluate(df, num_partitions=4).first()
     assert evaluation.evaluate(df).first() == m
     pos = [s for y, _, s in rows if y == 1]
     neg = [s for y, _, s in rows if y == 0]
@@ -189,7 +210,7 @@ def test_quantiles_ignore_non_finite_on_both_paths(spark):
     values = rng.normal(size=30_000).round(3).tolist()
     df = spark.createDataFrame([(v,) for v in values + [float("inf"), float("-inf"), float("nan"), None]], "x double")
     small = column_quantiles(df, ["x"], [0.1, 0.37, 0.5, 0.99])["x"]
-    narrowed = column_quantiles(df, ["x"], [0.1, 0.37, 0.5, 0.99], inline_limit=0, finish_rows=50, buckets=8)["x"]
+    narrowed = column_quantiles(df, ["x"], [0.1, 0.37, 0.5, 0.99], finish_rows=50, buckets=8)["x"]
     assert small["q"] == narrowed["q"] and small["n"] == narrowed["n"] == 30_000
     assert np.allclose(small["q"], np.quantile(values, [0.1, 0.37, 0.5, 0.99]))
 

@@ -31,7 +31,6 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name", QUANTILE_HEAVY)
 def test_narrowing_quantiles_match_oracle(spark, con, name, monkeypatch):
     from basketlens.operators import quantiles as Q
-    monkeypatch.setattr(Q, "INLINE_DISTINCT_LIMIT", 0)
     monkeypatch.setattr(Q, "FINISH_ROWS", 8)
     monkeypatch.setattr(Q, "BUCKETS", 4)
     from basketlens.plans import catalog
@@ -41,16 +40,3 @@ def test_narrowing_quantiles_match_oracle(spark, con, name, monkeypatch):
     finally:
         catalog.reset_cache()
     assert ok, line
-
-
-@pytest.mark.parametrize("name", ["qq_points", "qq_fit", "roc_points", "score_evaluation"])
-def test_range_partitioned_prefix_sums_match_oracle(spark, con, name, monkeypatch):
-    from basketlens.operators import ordering
-    monkeypatch.setattr(ordering, "SMALL_LIMIT", 0)
-    from basketlens.plans import catalog
-    catalog.reset_cache()
-    try:
-        line, ok = compare(spark, con, name, E.queries()[name], ORACLES[name], SF_SMALL)
-    finally:
-        catalog.reset_cache()
-    assert ok, line

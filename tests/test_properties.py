@@ -18,7 +18,7 @@ def test_exact_quantiles_match_numpy(spark, vals, ps):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     want = np.quantile(np.array(vals, dtype=float), ps, method="linear")
     inline = Q.column_quantiles(df, ["x"], ps)["x"]["q"]
-    narrow = Q.column_quantiles(df, ["x"], ps, inline_limit=0, finish_rows=4, buckets=3)["x"]["q"]
+    narrow = Q.column_quantiles(df, ["x"], ps, finish_rows=4, buckets=3)["x"]["q"]
     for w, a, b in zip(want, inline, narrow):
         tol = 1e-9 * max(1.0, abs(w))
         assert abs(a - w) <= tol and abs(b - w) <= tol
@@ -47,7 +47,5 @@ def test_value_ranks_match_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k string, v double")
     want = sorted((k, v, r + 1) for k in {k for k, _ in rows}
                   for r, v in enumerate(sorted(v for kk, v in rows if kk == k)))
-    for limit in (0, None):  # range-partitioned path, then the bounded window path
-        got = sorted((r["k"], r["v"], r["rank"]) for r in
-                     value_ranks(df, "k", "v", num_partitions=3, chunk=7, small_limit=limit).collect())
-        assert got == want
+    got = sorted((r["k"], r["v"], r["rank"]) for r in value_ranks(df, "k", "v", num_partitions=3, chunk=7).collect())
+    assert got == want
