@@ -4,7 +4,9 @@ Both kinds of BPE file first cut a text by a fixed pattern into runs of letters,
 digits, marks or white space and encode each run by itself, so a worker can
 remember the ids of runs. Texts whose characters all lie below U+0180 are cut
 here by the same pattern, spelled out for that range; new runs are encoded
-together in long strings. Any other text is encoded as one string.
+together in long strings. Any other text is encoded as one string, and so is a
+text that holds an added token of the file (such as <|endoftext|>), which the
+tokenizer takes out before it cuts.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.byte_level = not any(piece.endswith("</w>") for piece in vocabulary)
         #: Ids that begin with a space in a byte-level file, or end a run in the other kind.
@@ -77,10 +79,11 @@ class Encoder:
             self.memo.clear()
         cut: list[list[str] | None] = []
         for text in texts:
-            if OTHER.search(text):
+            lower = text.lower()
+            if OTHER.search(text) or any(content in lower for content in self.added):
                 cut.append(None)
             else:
-                cut.append(BYTE_LEVEL.findall(text) if self.byte_level else WORD_END.findall(text.lower()))
+                cut.append(BYTE_LEVEL.findall(text) if self.byte_level else WORD_END.findall(lower))
         new = set().union(*[runs for runs in cut if runs]).difference(self.memo)
         learnt = self._learn(list(new))
         self.memo.update((r, ids) for r, ids in learnt.items() if len(r) <= MEMO_RUN_CHARS)

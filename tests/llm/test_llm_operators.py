@@ -97,6 +97,19 @@ def test_remembered_encoding_is_exact(path):
         assert enc.encode(some) == expected
 
 
+ADDED = ["x <|endoftext|> hi", "<|endoftext|>", "a<|startoftext|>b  c<|endoftext|><|endoftext|>", "x <|ENDOFTEXT|> hi", "<|endoftext|", "é <|endoftext|>\n日本語", "plain words"]
+
+
+@pytest.mark.parametrize("path", [queries.BYTE_BPE, queries.WORD_BPE])
+def test_added_tokens_keep_their_ids(path):
+    fresh, enc = Tokenizer.from_file(path), encoding.Encoder(path)
+    end = fresh.token_to_id("<|endoftext|>")
+    for some in (ADDED, texts(2, 40) + ADDED):
+        expected = [np.array(e.ids, "<u4") for e in fresh.encode_batch(some, add_special_tokens=False)]
+        assert enc.encode(some) == [e.tobytes() for e in expected]
+        assert end in expected[some.index(ADDED[0])] and end not in expected[some.index(ADDED[3])]
+
+
 def brute_components(docs):
     sets = []
     for _, text in docs:
@@ -252,6 +265,16 @@ def test_token_files_round_trip(spark, edge_docs):
     assert token_files.token_files(empty_like(edge_docs), queries.BYTE_BPE).count() == 0
 
 
+def test_token_files_with_added_tokens(spark):
+    tokenizer, start, expected = Tokenizer.from_file(queries.BYTE_BPE), 0, []
+    for i, t in enumerate(ADDED):
+        ids = np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        expected.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    got = token_files.token_files(spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string"), queries.BYTE_BPE)
+    assert rows(got, "doc_id", "start", "n_tokens", "ids_crc32") == sorted(expected, key=str)
+
+
 def test_mixing_follows_weights(spark, edge_docs):
     docs = spark.createDataFrame([(i, "x" * 50, "big" if i % 3 else "small") for i in range(3000)], "doc_id long, text string, source string")
     mixed = mixing.mix(docs.withColumn("copy", F.lit("mine")), weights={"big": 1.0, "small": 3.0}, epochs=2.0)
@@ -291,6 +314,11 @@ def test_packing_keeps_every_capacity(spark, cap):
     packed.unpersist()
 
 
+def test_packing_with_added_tokens(spark):
+    docs, cap = list(enumerate(ADDED * 3)), packing.Capacity(64, 64, 64 * 64)
+    check_packing(packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), queries.WORD_BPE, cap), queries.WORD_BPE, docs, cap)
+
+
 def test_packing_edges(spark, edge_docs):
     assert packing.pack(empty_like(edge_docs), queries.WORD_BPE).count() == 0
     check_packing(packing.pack(edge_docs, queries.WORD_BPE), queries.WORD_BPE, [(r["doc_id"], r["text"]) for r in edge_docs.collect()], packing.Capacity())
