@@ -1,26 +1,27 @@
 """Customer clustering on MLlib.
 
-Scaling is one aggregation; K-means and PCA are MLlib (distributed). Ward
-linkage on every customer is O(n²) and is re-aimed: the Ward tree is built
-over at most ``max_leaves`` K-means centroids (computed by Spark; only the
-centroids reach the driver) with size-weighted Ward distances. It gives the
-dendrogram (I6) and, cut at k, the hierarchical cluster labels (I5).
+Scaling is one aggregation; K-means, bisecting K-means and PCA are MLlib
+(distributed). Ward linkage on every customer is O(n²) and is re-aimed: bisecting
+K-means over all rows gives the hierarchical labels (I5), and its splits, measured
+by Ward's distance with Spark aggregates, the dendrogram (I6).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite_or_null
+from ..session import cut_lineage, ensure_checkpoint_dir
 from .modeling import CATEGORICAL_INT_FIELDS, numeric_model_columns, standard_scale
 from .quality import iqr_filter
 
@@ -70,79 +71,83 @@ def _search_k(features: DataFrame, k_values: Sequence[int], seed: int, paralleli
     return features.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double"), rows, models
 
 
-def ward_tree(feats: DataFrame, max_leaves: int = 256, seed: int = 42):
-    """Ward linkage over at most ``max_leaves`` K-means leaves of the assembled ``features``.
+def bisecting(feats: DataFrame, k: int, seed: int = 42):
+    """MLlib's bisecting K-means over all rows: (model, rows with the leaf index ``__leaf``).
 
-    Spark computes the leaves (centroids and sizes); only they reach the
-    driver, where size-weighted Ward merges run on <= max_leaves points.
-    Returns (leaf model, leaf ids, merges [(step, left, right, height, size)],
-    id of the first internal node).
+    MLlib starts a split at the centre times 1 ± a small noise, so a centre at the
+    origin, as that of scaled columns, is never split. All rows are therefore moved
+    by 1 in each column, which changes no distance.
     """
-    n = feats.count()
-    m = int(min(max_leaves, max(2, n)))
-    km = KMeans(k=m, seed=seed, featuresCol="features", predictionCol="__leaf").fit(feats)
-    sizes = {r["__leaf"]: r["count"] for r in km.transform(feats).groupBy("__leaf").count().collect()}
-    cents = km.clusterCenters()
-    ids = [i for i in range(len(cents)) if sizes.get(i, 0) > 0]
-    cen = np.array([np.asarray(cents[i], dtype=float) for i in ids])
-    size = np.array([float(sizes[i]) for i in ids])
-    label = list(ids)
-    alive = np.ones(len(ids), dtype=bool)
-    merges = []
-    next_id = len(cents)
-    while alive.sum() > 1:
-        idx = np.flatnonzero(alive)
-        c, w = cen[idx], size[idx]
-        d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-        ward = np.sqrt(2.0 * np.outer(w, w) / (w[:, None] + w[None, :]) * d2)
-        np.fill_diagonal(ward, np.inf)
-        a, b = np.unravel_index(np.argmin(ward), ward.shape)
-        ia, ib = idx[min(a, b)], idx[max(a, b)]
-        merges.append((len(merges) + 1, int(label[ia]), int(label[ib]), float(ward[a, b]), int(size[ia] + size[ib])))
-        cen[ia] = (cen[ia] * size[ia] + cen[ib] * size[ib]) / (size[ia] + size[ib])
-        size[ia] += size[ib]
-        alive[ib] = False
-        label[ia] = next_id
-        next_id += 1
-    return km, ids, merges, len(cents)
-
-
-def cut_tree(leaf_ids, merges, k: int, first_internal_id: int) -> dict:
-    """Leaf -> cluster label 1..k after undoing the last k-1 merges (fcluster 'maxclust').
-
-    Merge ``step`` creates node ``first_internal_id + step - 1`` (the numbering
-    of ``ward_tree``); replaying the first n-k merges with a union-find gives
-    each leaf its cluster root. Labels follow the smallest leaf id in a cluster.
+    moved = feats.withColumn("__moved", array_to_vector(F.transform(vector_to_array("features"), lambda x: x + 1.0)))
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="__moved", predictionCol="__leaf").fit(moved)
+    return model, model.transform(moved).drop("__moved")
+
+
+def bisecting_tree(model, spark) -> dict:
+    """{index: child indices} of a bisecting K-means model, read from its saved data.
+
+    At most 2k - 1 entries whatever the number of rows; leaves have no children.
     """
-    parent = {}
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/bisecting-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return {r["index"]: list(r["children"]) for r in spark.read.parquet(f"{path}/data/data").select("index", "children").collect()}
 
-    def find(x):
-        while x in parent:
-            x = parent[x]
-        return x
 
-    for step, left, right, _, _ in merges[:max(len(merges) - (k - 1), 0)]:
-        node = first_internal_id + step - 1
-        parent[find(left)] = node
-        parent[find(right)] = node
-    roots = {}
-    for leaf in sorted(leaf_ids):
-        roots.setdefault(find(leaf), len(roots) + 1)
-    return {leaf: roots[find(leaf)] for leaf in leaf_ids}
+def split_table(labelled: DataFrame, nodes: dict) -> DataFrame:
+    """Every split of the tree as a merge (step, left, right, height, size), lowest first.
+
+    Sizes and centres are aggregates over all rows. The height is Ward's distance
+    of the two sides, sqrt(2ab / (a + b)) times the distance of their centres, and
+    no less than the height of any split below, so a merge follows those it is
+    made of. Leaves keep their index; merge ``step`` has the id leaves + step - 1.
+    """
+    spark = labelled.sparkSession
+    parent = {c: i for i, children in nodes.items() for c in children}
+    above = []
+    for i in nodes:
+        at = i
+        while at is not None:
+            above.append((i, at))
+            at = parent.get(at)
+    pairs = F.broadcast(spark.createDataFrame(above, "node int, top int"))
+    splits = F.broadcast(spark.createDataFrame([(i, *c) for i, c in nodes.items() if c], "node int, l int, r int"))
+    rows = labelled.groupBy("__leaf").agg(F.count("*").alias("n"), vector_to_array(Summarizer.sum(F.col("features"))).alias("s"))
+    total = F.aggregate(F.collect_list("s"), F.lit(None).cast("array<double>"),  # one entry for each leaf below
+                        lambda out, x: F.coalesce(F.zip_with(out, x, lambda p, q: p + q), x))
+    stats = (rows.join(pairs, F.col("__leaf") == F.col("node")).groupBy("top")
+             .agg(F.sum("n").alias("n"), total.alias("s")))
+    stats = cut_lineage(stats)  # read several times below; one row a node
+    left = stats.select(F.col("top").alias("l"), F.col("n").alias("ln"), F.col("s").alias("ls"))
+    right = stats.select(F.col("top").alias("r"), F.col("n").alias("rn"), F.col("s").alias("rs"))
+    gap = F.zip_with("ls", "rs", lambda x, y: x / F.col("ln") - y / F.col("rn"))
+    squared = F.aggregate(gap, F.lit(0.0), lambda total, g: total + g * g)
+    own = cut_lineage(splits.join(left, "l").join(right, "r").select(
+        "node", "l", "r", (F.col("ln") + F.col("rn")).alias("size"),
+        F.sqrt(2.0 * F.col("ln") * F.col("rn") / (F.col("ln") + F.col("rn")) * squared).alias("h")))
+    height = own.select("node", "h").join(pairs, "node").groupBy(F.col("top").alias("node")).agg(F.max("h").alias("height"))
+    depth = pairs.groupBy("node").agg(F.count("*").alias("depth"))
+    # a window over the splits of the tree, whose number ``leaves`` bounds
+    step = F.row_number().over(Window.orderBy("height", F.desc("depth"), "node"))
+    merges = cut_lineage(own.join(height, "node").join(depth, "node").withColumn("step", step))
+    leaves = sum(not c for c in nodes.values())
+    ids = merges.select(F.col("node").alias("__node"), (F.col("step") + leaves - 1).alias("__id"))
+    for side in ("l", "r"):
+        merges = merges.join(ids, F.col(side) == F.col("__node"), "left").withColumn(side, F.coalesce("__id", side)).drop("__node", "__id")
+    return merges.select("step", F.col("l").cast("int").alias("left"), F.col("r").cast("int").alias("right"), "height", "size")
 
 
 def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | None = None,
-                     k_values: Sequence[int] = range(2, 11), seed: int = 42, key: str = "CustomerID",
-                     max_leaves: int = 256):
-    """K-means with k by best silhouette, Ward clusters cut at the same k, 2-D PCA.
+                     k_values: Sequence[int] = range(2, 11), seed: int = 42, key: str = "CustomerID"):
+    """K-means with k by best silhouette, bisecting K-means with the same k, 2-D PCA.
 
-    The hierarchical labels cut the Ward tree over K-means leaves (see
-    ``ward_tree``) into k clusters; every point takes its leaf's cluster.
+    The hierarchical labels 1..k are the leaves of MLlib's bisecting K-means over
+    all rows.
     Returns (assignments DataFrame (key, features..., kmeans_cluster,
     hierarchical_cluster, pc1, pc2), k-search table, k).
     """
     feats, cols = clustering_matrix(data, key=key, remove_outliers=remove_outliers)
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+    feats = cut_lineage(feats).persist(StorageLevel.MEMORY_AND_DISK)  # many small jobs follow
     search = None
     if k is None:
         # the search already fitted KMeans(k, seed) for every k: reuse the chosen model
@@ -153,11 +158,8 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
         km = KMeans(k=k, seed=seed, featuresCol="features").fit(feats)
     km.setPredictionCol("kmeans_cluster")
     out = km.transform(feats)
-    leaves, leaf_ids, merges, first_internal = ward_tree(feats, max_leaves, seed)
-    cut = cut_tree(leaf_ids, merges, k, first_internal)
-    out = leaves.transform(out)
-    mapping = F.create_map(*[x for leaf, c in cut.items() for x in (F.lit(leaf), F.lit(c))])
-    out = out.withColumn("hierarchical_cluster", F.element_at(mapping, F.col("__leaf")))
+    out = bisecting(out, k, seed)[1]
+    out = out.withColumn("hierarchical_cluster", F.col("__leaf") + 1)
     pca = PCA(k=2, inputCol="features", outputCol="__pc").fit(out)
     out = pca.transform(out)
     arr = vector_to_array("__pc")
@@ -167,12 +169,18 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
     return res, search, k
 
 
-def ward_dendrogram(data: DataFrame, max_leaves: int = 256, last: int = 10, seed: int = 42,
+def ward_dendrogram(data: DataFrame, max_leaves: int | None = None, last: int = 10, seed: int = 42,
                     remove_outliers: bool = False) -> DataFrame:
-    """Last ``last`` merges (step, left, right, height, size) of Ward linkage over K-means leaves."""
+    """Last ``last`` merges (step, left, right, height, size) of the bisecting K-means tree.
+
+    A merge is no higher than those above it, so the last ones lie in the first
+    ``last`` levels; the default 2^last leaves split all of these.
+    """
     feats, _ = clustering_matrix(data, key=None, remove_outliers=remove_outliers)
-    _, _, merges, _ = ward_tree(feats, max_leaves, seed)
-    return data.sparkSession.createDataFrame(merges[-last:], "step int, left int, right int, height double, size long")
+    feats = cut_lineage(feats).persist(StorageLevel.MEMORY_AND_DISK)  # many small jobs follow
+    model, labelled = bisecting(feats, max_leaves or 2 ** last, seed)
+    merges = split_table(labelled, bisecting_tree(model, data.sparkSession))
+    return merges.orderBy(F.desc("step")).limit(last).orderBy("step")
 
 
 def write_assignments(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -69,3 +69,29 @@ def test_ward_cut_matches_bruteforce_groups(spark):
     # each well-separated blob gets exactly one Ward label, and the three labels differ
     assert all(len(v) == 1 for v in labels.values()) and len({next(iter(v)) for v in labels.values()}) == 3
     assert {r.hierarchical_cluster for r in rows} == {1, 2, 3}
+
+
+def test_hierarchical_labels_and_merges_use_all_rows(spark):
+    rng = np.random.default_rng(6)
+    pts = np.vstack([rng.normal(c, 0.4, (100, 2)) for c in (0.0, 3.0, 9.0, 12.0)])
+    df = spark.createDataFrame([(str(i), float(a), float(b)) for i, (a, b) in enumerate(pts)],
+                               "CustomerID string, x double, y double")
+    got = {r.CustomerID: r.hierarchical_cluster for r in clustering.cluster_analysis(df, k=4)[0].collect()}
+    blobs = [{got[str(i)] for i in range(b, b + 100)} for b in (0, 100, 200, 300)]
+    assert set().union(*blobs) == {1, 2, 3, 4} and all(len(b) == 1 for b in blobs)
+    # every split of the tree, recomputed from the rows of its two sides
+    feats, _ = clustering.clustering_matrix(df)
+    model, labelled = clustering.bisecting(feats.cache(), 8)
+    merges = clustering.split_table(labelled, clustering.bisecting_tree(model, spark)).orderBy("step").collect()
+    member, height = {}, {}
+    for r in labelled.collect():
+        member.setdefault(r["__leaf"], []).append(r.features.toArray())
+    assert len(member) == 8 and [m.step for m in merges] == list(range(1, 8)) and merges[-1].size == len(pts)
+    for m in merges:
+        a, b = np.array(member.pop(m.left)), np.array(member.pop(m.right))
+        ward = np.sqrt(2 * len(a) * len(b) / (len(a) + len(b))) * np.linalg.norm(a.mean(0) - b.mean(0))
+        want = max(ward, height.get(m.left, 0), height.get(m.right, 0))
+        assert abs(m.height - want) < 1e-9 and m.size == len(a) + len(b)
+        member[7 + m.step], height[7 + m.step] = [*a, *b], want  # 8 leaves + step - 1
+    last = clustering.ward_dendrogram(df, last=3).collect()
+    assert [(m.size, round(m.height, 9)) for m in last] == [(m.size, round(m.height, 9)) for m in merges[-3:]]
