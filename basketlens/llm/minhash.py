@@ -29,6 +29,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -282,7 +283,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = written(components(links), "labels")
     more = written(_links_across(members, classes, labels, texts), "more_links")
     if not more.isEmpty():
-        labels = written(components(links.unionByName(more)), "labels")
+        links = links.unionByName(more)
+        labels = written(components(links), "labels")
+    # classes that share a doc_id are one document
+    both = (sketches.where("doc_id is not null").join(classes.select("set_hash", "rep"), "set_hash").groupBy("doc_id")
+            .agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps")).where(F.size("reps") > 1))
+    same = written(both.select("a", F.explode("reps").alias("b")).where("a <> b").distinct(), "same_document")
+    if not same.isEmpty():
+        labels = written(components(links.unionByName(same)), "labels")
 
     own = classes.select("set_hash", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     own = own.select("set_hash", F.coalesce("component", "rep").alias("component_id"))
@@ -292,14 +300,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component of near duplicates, columns unchanged.
+    """``docs`` with one document of each component of near duplicates, columns unchanged.
 
-    Of rows that share the kept doc_id the one with the smallest text stays. Rows
-    with a NULL doc_id stay.
+    A document goes with all its rows if one of its texts is linked with a smaller
+    doc_id. Of the kept one's rows with equal shingle sets the one with the smallest
+    text stays; its other texts stay too. Rows with a NULL doc_id stay.
     """
-    kept = near_duplicates(docs).where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("__copies"))
+    kept = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("__kept"), F.count("*").alias("__copies")).where("__kept").drop("__kept")
     held = docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     row = F.struct(F.coalesce("text", F.lit("")).alias("__text"), F.struct(*columns).alias("__row"))
-    repeated = held.where("__copies > 1").withColumn("__all", row).groupBy("__id").agg(F.min_by("__all.__row", "__all.__text").alias("__row")).select("__row.*")
+    @F.pandas_udf("binary")
+    def set_key(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: xxhash.xxh3_128_digest(shingle_set(t).tobytes()))
+
+    repeated = held.where("__copies > 1").withColumn("__all", row).withColumn("__set", set_key(F.coalesce("text", F.lit("")))).groupBy("__id", "__set").agg(F.min_by("__all.__row", "__all.__text").alias("__row")).select("__row.*")
     return held.where("__copies = 1").select(*columns).unionByName(repeated).unionByName(docs.where("doc_id is null"))

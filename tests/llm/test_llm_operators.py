@@ -146,6 +146,15 @@ def test_minhash_edges(spark, edge_docs):
     assert minhash.near_duplicates(empty_like(edge_docs)).count() == 0
 
 
+def test_minhash_of_documents_with_several_texts(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcdef"}
+    docs = [(3, text["a"]), (5, text["a"]), (5, text["b"]), (6, text["c"]), (6, text["d"]), (6, text["d"]), (8, text["e"]), (8, text["f"]), (9, text["b"]), (7, text["e"]), (5, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    component = {3: 3, 5: 3, 9: 3, 6: 6, 7: 7, 8: 7}
+    assert rows(minhash.near_duplicates(df.where("text <> ''")), "doc_id", "component_id") == sorted(((i, component[i]) for i, t in docs if t), key=str)
+    assert rows(minhash.drop_near_duplicates(df), "doc_id", "text") == sorted([(3, text["a"]), (6, text["c"]), (6, text["d"]), (7, text["e"])], key=str)
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (7, 7), (300, 299)]
     random.Random(1).shuffle(edges)
