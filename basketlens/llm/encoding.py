@@ -2,11 +2,13 @@
 
 Both kinds of BPE file first cut a text by a fixed pattern into runs of letters,
 digits, marks or white space and encode each run by itself, so a worker can
-remember the ids of runs. Texts whose characters all lie below U+0180 are cut
-here by the same pattern, spelled out for that range; new runs are encoded
-together in long strings. Any other text is encoded as one string, and so is a
-text that holds an added token of the file (such as <|endoftext|>), which the
-tokenizer takes out before it cuts.
+remember the ids of runs and of short rows of runs. Texts whose characters all
+lie below U+0180 are cut at spaces, stops and commas into units of whole runs;
+only units not met before are cut by the same pattern, spelled out for that range,
+and new runs are encoded together in long strings. A text where such a cut could
+fall within a run is cut by the pattern as a whole. Any other text is encoded as one
+string, and so is a text that holds an added token of the file (such as
+<|endoftext|>), which the tokenizer takes out before it cuts.
 """
 
 from __future__ import annotations
@@ -18,9 +20,10 @@ import numpy as np
 
 from basketlens.llm.common import worker_cache
 
-#: Runs of which a worker remembers the ids; beyond, it starts afresh.
-MEMO_RUNS = 600_000
-#: Longer runs are encoded each time.
+#: Runs and units of a generation. A worker remembers two generations: when the
+#: younger is full it becomes the older one, whose entries move up when met again.
+MEMO_RUNS = 500_000
+#: Longer ones are forgotten after the batch.
 MEMO_RUN_CHARS = 48
 #: Runs encoded in one call.
 JOINED = 256
@@ -32,8 +35,17 @@ NUMBERS = "0-9²³¹¼-¾"
 SPACES = "\\t-\\r \\x85\\xa0"
 BYTE_LEVEL = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 WORD_END = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES}{LETTERS}{NUMBERS}]+")
-#: Beyond the range, or a capital whose small form is two characters.
-OTHER = re.compile("[^\\x00-\\u012f\\u0131-\\u017f]")
+#: Beyond the range, a capital whose small form is two characters, or a separator
+#: that str.split() takes for white space and the patterns do not.
+OTHER = re.compile("[^\\x00-\\x1b\\x20-\\u012f\\u0131-\\u017f]")
+
+
+#: A stop or comma beside another mark, with which it is one run, or in a byte-level
+#: file after white space; a space before white space or the end.
+MARK = f"[^{SPACES}{LETTERS}{NUMBERS}]"
+TOUCHING = re.compile(f"[.,](?:(?={MARK})|(?<={MARK}[.,]))")
+TOUCHING_OR_SPACED = re.compile(f"[.,](?:(?={MARK})|(?<=[^{LETTERS}{NUMBERS}][.,]))")
+JOINING = tuple(" " + space for space in " \t\n\v\f\r\x85\xa0")
 
 
 class Encoder:
@@ -51,6 +63,7 @@ class Encoder:
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for piece, i in vocabulary.items() if (piece.startswith("Ġ") if self.byte_level else piece.endswith("</w>"))]] = True
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -74,26 +87,50 @@ class Encoder:
         out.update((r, np.array(e.ids, "<u4").tobytes()) for r, e in zip(rest, encoded, strict=True))
         return out
 
+    def _cut(self, text: str) -> list[str] | None:
+        """Units of a text, each of whole runs; None where it must be encoded as one."""
+        lower = text.lower()
+        if OTHER.search(text) or any(content in lower for content in self.added):
+            return None
+        if not self.byte_level:
+            return WORD_END.findall(lower) if TOUCHING.search(lower) else lower.replace(".", " . ").replace(",", " , ").split()
+        if text.endswith(" ") or any(pair in text for pair in JOINING) or TOUCHING_OR_SPACED.search(text):
+            return BYTE_LEVEL.findall(text)
+        return text.replace(" ", "\x1f ").replace(".", "\x1f.\x1f").replace(",", "\x1f,\x1f").split("\x1f")
+
+    def _remember(self, units: set[str]) -> list[str]:
+        """Put the ids of all ``units`` into the memo; gives those to forget after the batch."""
+        memo, older, cut = self.memo, self.older, (BYTE_LEVEL if self.byte_level else WORD_END).findall
+        back = units.intersection(older)
+        memo.update((u, older[u]) for u in back)
+        rows = {u: cut(u) for u in units.difference(back)}
+        runs = set().union(*rows.values()).difference(memo)
+        back = runs.intersection(older)
+        memo.update((r, older[r]) for r in back)
+        runs -= back
+        memo.update(self._learn(list(runs)))
+        memo.update((u, b"".join([memo[r] for r in row])) for u, row in rows.items() if len(row) != 1)
+        return [u for u in runs.union(rows) if len(u) > MEMO_RUN_CHARS]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_RUNS:
-            self.memo.clear()
-        cut: list[list[str] | None] = []
-        for text in texts:
-            lower = text.lower()
-            if OTHER.search(text) or any(content in lower for content in self.added):
-                cut.append(None)
-            else:
-                cut.append(BYTE_LEVEL.findall(text) if self.byte_level else WORD_END.findall(lower))
-        new = set().union(*[runs for runs in cut if runs]).difference(self.memo)
-        learnt = self._learn(list(new))
-        self.memo.update((r, ids) for r, ids in learnt.items() if len(r) <= MEMO_RUN_CHARS)
-        known = self.memo.__getitem__ if all(len(r) <= MEMO_RUN_CHARS for r in new) else (self.memo | learnt).__getitem__
-        return [self.whole(text) if runs is None else b"".join(map(known, runs)) for text, runs in zip(texts, cut, strict=True)]
+            self.memo, self.older = {}, self.memo
+        cut = [self._cut(text) for text in texts]
+        forget = self._remember(set().union(*[units for units in cut if units]).difference(self.memo))
+        out = [self.whole(text) if units is None else b"".join(map(self.memo.__getitem__, units)) for text, units in zip(texts, cut, strict=True)]
+        for unit in forget:
+            del self.memo[unit]
+        return out
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this worker for a tokenizer file."""
+    """The encoder of this worker for a tokenizer file, which may lie elsewhere here."""
     kept = worker_cache("encoding")
     if path not in kept:
-        kept[path] = Encoder(path)
+        if not os.path.exists(path):
+            import public_tokenizers
+
+            kept[path] = Encoder(public_tokenizers.path(os.path.basename(path)))
+        else:
+            kept[path] = Encoder(path)
     return kept[path]

@@ -97,6 +97,20 @@ def test_remembered_encoding_is_exact(path):
         assert enc.encode(some) == expected
 
 
+@pytest.mark.parametrize("path", [queries.BYTE_BPE, queries.WORD_BPE])
+def test_cuts_between_runs_are_exact(path, monkeypatch):
+    """Random strings of white space, stops, commas and marks, also when the memo changes generations."""
+    monkeypatch.setattr(encoding, "MEMO_RUNS", 500)
+    rng, enc, fresh = random.Random(4), encoding.Encoder(path), Tokenizer.from_file(path)
+    signs = [*"abAB é.,!' \n\t  019½²'sªµ\x85\xa0\x1c\x1fĀſ-", "  ", "   ", " \n", "don't", "ß", "İ", ", ", ". "]
+    odd = ["b²é½,\x85µ \xa0 \xa0", " \xa0,ßA", "'Āb \x85, ²", "s\n\n,", "a ,b", "a. ", "..,", ". . ."]
+    odd += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    for at in range(0, len(odd), 300):
+        some = odd[at:at + 300]
+        assert enc.encode(some) == [np.array(e.ids, "<u4").tobytes() for e in fresh.encode_batch(some, add_special_tokens=False)]
+    assert enc.older
+
+
 ADDED = ["x <|endoftext|> hi", "<|endoftext|>", "a<|startoftext|>b  c<|endoftext|><|endoftext|>", "x <|ENDOFTEXT|> hi", "<|endoftext|", "é <|endoftext|>\n日本語", "plain words"]
 
 
