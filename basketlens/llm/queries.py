@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import cover_tree, minhash, mixing, packing, secrets_scan, token_counts, token_files, topk, toxicity, url_filter
+from basketlens.llm import (conversation_repair, cover_tree, cutting_stock, minhash, mixing, packing, secrets_scan, token_counts, token_files, topk,
+                            toxicity, url_filter, whitening)
 from basketlens.llm.common import table
 
-#: Folder of the public tokenizer files on every machine.
-TOKENIZER_DIR = "/opt/tokenizers"
-BYTE_BPE = f"{TOKENIZER_DIR}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZER_DIR}/word_bpe_49k.json"
+#: Public tokenizer files; a machine that has them elsewhere looks its own path up.
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit(table(spark, sf_dir, "conversations"))
+
+
+def op12_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _secret_sql() -> str:
     """Spans of each kind from the matches and the text between them."""
     def spans(rank: int, rule: secrets_scan.Rule) -> str:
@@ -87,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_cutting_stock_packing": op12_cutting_stock_packing,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLES: dict[str, str] = {
