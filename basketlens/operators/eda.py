@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.columns import NPS_BANDS, nps_band, parse_timestamp, to_number
 from .binning import QUARTILE_LABELS, UNKNOWN, iqr_bounds, levels_of
 from .ordering import prefix_sums
-from .quantiles import grouped_quantiles
+from .quantiles import column_quantiles, group_quantiles
 from .quality import drop_duplicates, drop_missing, require_columns
 
 # Variables the response-rate table covers, in report order.
@@ -80,18 +80,16 @@ def group_response_counts(data: DataFrame, variable: str, response: str = "respo
 
 
 def mean_median_by_response(data: DataFrame, features: Sequence[str] = BAR_CHART_FEATURES,
-                            response: str = "response", **qkw) -> DataFrame:
+                            response: str = "response") -> DataFrame:
     """(feature, response, mean, median) (E7). Medians are exact and distributed."""
-    spark = data.sparkSession
     feats = [f for f in features if f in data.columns]
     resp = F.col(response).cast("string")
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in feats])
     means = (data.select(resp.alias("response"), F.inline(pairs))
              .groupBy("feature", "response").agg(F.avg("v").alias("mean")))
-    med = grouped_quantiles(data.withColumn("__resp", resp), feats, ["__resp"], [0.5], **qkw)
-    med_rows = [(k[0], k[1], v["q"][0]) for k, v in med.items()]
-    med_df = spark.createDataFrame(med_rows, "feature string, response string, median double")
-    out = means.join(F.broadcast(med_df), ["feature", "response"], "left")
+    med = group_quantiles(data.withColumn("__resp", F.col(response).cast("string")), feats, ["__resp"], [0.5])
+    med = med.select(F.col("variable").alias("f"), F.col("__resp").alias("r"), F.col("q")[0].alias("median"))
+    out = means.join(med, (means["feature"] == med["f"]) & means["response"].eqNullSafe(med["r"]), "left")
     if isinstance(data.schema[response].dataType, T.BooleanType):
         out = out.withColumn("response", F.col("response").cast("boolean"))
     return out.select("feature", "response", "mean", "median")
@@ -251,23 +249,36 @@ def correlation_matrix(data: DataFrame, response: str = "response") -> DataFrame
 # Box plots (E13) and stacked histograms
 # ---------------------------------------------------------------------------
 
+def without_outliers(data: DataFrame, variables: Sequence[str], k: float = 1.5) -> DataFrame:
+    """Each variable's values outside its own [Q1 - k IQR, Q3 + k IQR] become NULL; all bounds from one request."""
+    q = column_quantiles(data, variables, [0.25, 0.75])
+    cells = {}
+    for v in variables:
+        if q[v]["n"]:
+            lo, hi = iqr_bounds(*q[v]["q"], k=k)
+            cells[v] = F.when(F.col(v).cast("double").between(lo, hi), F.col(v))
+    return data.withColumns(cells) if cells else data
+
+
 def boxplot_summary(data: DataFrame, variables: Sequence[str] = BOXPLOT_VARIABLES, response: str = "response",
-                    **qkw) -> DataFrame:
-    """Per (variable, response): n, quartiles, 1.5 IQR whiskers, outlier count, min, max."""
-    spark = data.sparkSession
+                    outliers_included: bool = True) -> DataFrame:
+    """Per (variable, response): n, quartiles, 1.5 IQR whiskers, outlier count, min, max.
+
+    With ``outliers_included=False`` each variable's values outside its own 1.5 IQR bounds (over all responses) are
+    left out first.
+    """
     vars_ = [v for v in variables if v in data.columns]
+    if not outliers_included:
+        data = without_outliers(data, vars_)
     d = data.withColumn("__resp", F.col(response).cast("string"))
-    q = grouped_quantiles(d, vars_, ["__resp"], [0.25, 0.5, 0.75], **qkw)
-    rows = []
-    for (var, resp), s in q.items():
-        lo, hi = iqr_bounds(s["q"][0], s["q"][2])
-        rows.append((var, resp, s["q"][0], s["q"][1], s["q"][2], lo, hi))
-    spec = spark.createDataFrame(rows, "variable string, response string, q1 double, median double, q3 double, "
-                                       "lo double, hi double")
+    q = group_quantiles(d, vars_, ["__resp"], [0.25, 0.5, 0.75])
+    width = F.col("q")[2] - F.col("q")[0]
+    spec = q.select(F.col("variable").alias("__var"), F.col("__resp").alias("__r"), F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+                    F.col("q")[2].alias("q3"), (F.col("q")[0] - 1.5 * width).alias("lo"), (F.col("q")[2] + 1.5 * width).alias("hi"))
     pairs = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("v")) for v in vars_])
     long = d.select(F.col("__resp").alias("response"), F.inline(pairs)).filter(F.col("v").isNotNull())
     inside = F.col("v").between(F.col("lo"), F.col("hi"))
-    stats = (long.join(F.broadcast(spec), ["variable", "response"])
+    stats = (long.join(spec, (F.col("variable") == F.col("__var")) & F.col("response").eqNullSafe(F.col("__r")))
              .groupBy("variable", "response", "q1", "median", "q3")
              .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                   F.min(F.when(inside, F.col("v"))).alias("whisker_low"),

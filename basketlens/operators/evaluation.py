@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,37 +19,46 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
                   F.count_if((y == 1) & (p == 1)).cast("bigint").alias("tp"))
 
 
-def _threshold_counts(df: DataFrame, label: str, score: str, prediction: str | None = None) -> DataFrame:
-    """Positives/negatives per distinct score (ties collapse here), optionally with confusion counts."""
+def _threshold_counts(df: DataFrame, label: str, score: str, prediction: str | None = None,
+                      keys: Sequence[str] = ()) -> DataFrame:
+    """Positives/negatives per key and distinct score (ties collapse here), optionally with confusion counts."""
     y = F.col(label).cast("double")
     aggs = [F.count_if(y == 1).cast("bigint").alias("pos"), F.count_if(y != 1).cast("bigint").alias("neg")]
     if prediction:
         p = F.col(prediction).cast("double")
         aggs += [F.count_if((y == 0) & (p == 0)).alias("c_tn"), F.count_if((y == 0) & (p == 1)).alias("c_fp"),
                  F.count_if((y == 1) & (p == 0)).alias("c_fn"), F.count_if((y == 1) & (p == 1)).alias("c_tp")]
-    return df.groupBy(F.col(score).cast("double").alias("threshold")).agg(*aggs)
+    return df.groupBy(*keys, F.col(score).cast("double").alias("threshold")).agg(*aggs)
 
 
-def _with_rates(d: DataFrame, num_partitions) -> DataFrame:
-    c = prefix_sums(d, [], [F.desc("threshold")], ["pos", "neg"], num_partitions)
-    P = d.agg(F.sum("pos")).scalar()  # scalar subqueries, no join
-    N = d.agg(F.sum("neg")).scalar()
+def _with_rates(d: DataFrame, num_partitions, keys: Sequence[str] = ()) -> DataFrame:
+    c = prefix_sums(d, keys, [F.desc("threshold")], ["pos", "neg"], num_partitions, few_keys=True)
+    if keys:
+        c = c.join(d.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")), list(keys))
+    else:
+        c = c.withColumns({"P": d.agg(F.sum("pos")).scalar(), "N": d.agg(F.sum("neg")).scalar()})  # no join
     return c.withColumns({
         "tp": F.col("cum_pos"), "fp": F.col("cum_neg"),
-        "tpr": F.try_divide(F.col("cum_pos").cast("double"), P.cast("double")),
-        "fpr": F.try_divide(F.col("cum_neg").cast("double"), N.cast("double")),
-        "P": P, "N": N})
+        "tpr": F.try_divide(F.col("cum_pos").cast("double"), F.col("P").cast("double")),
+        "fpr": F.try_divide(F.col("cum_neg").cast("double"), F.col("N").cast("double"))})
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score",
                num_partitions: int | None = None) -> DataFrame:
-    """(threshold, pos, neg, tp, fp, tpr, fpr) per distinct score, thresholds descending.
+    """(threshold, pos, neg, tp, fp, tpr, fpr, P, N) per distinct score, thresholds descending.
 
-    Ties collapse first; running sums come from ``ordering.prefix_sums``.
-    Point i means "predict 1 when score >= threshold".
+    Ties collapse first; running sums come from ``ordering.prefix_sums``. A point means
+    "predict 1 when score >= threshold"; the curve starts at (0, 0) with threshold infinity.
+    An empty table has no points.
     """
-    pts = _with_rates(_threshold_counts(df, label, score), num_partitions)
-    return pts.select("threshold", "pos", "neg", "tp", "fp", "tpr", "fpr", "P", "N")
+    counts = _threshold_counts(df, label, score)
+    pts = _with_rates(counts, num_partitions).select("threshold", "pos", "neg", "tp", "fp", "tpr", "fpr", "P", "N")
+    none = F.lit(0).cast("bigint")
+    origin = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).filter("P IS NOT NULL").select(
+        F.lit(float("inf")).alias("threshold"), none.alias("pos"), none.alias("neg"), none.alias("tp"), none.alias("fp"),
+        F.try_divide(F.lit(0.0), F.col("P").cast("double")).alias("tpr"),
+        F.try_divide(F.lit(0.0), F.col("N").cast("double")).alias("fpr"), "P", "N")
+    return pts.unionByName(origin)
 
 
 def _summary_aggs():
@@ -65,24 +76,35 @@ def roc_summary(points: DataFrame) -> DataFrame:
     return points.agg(*_summary_aggs())
 
 
-def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
-             num_partitions: int | None = None) -> DataFrame:
-    """One row of metrics (J14, J15): accuracy, sensitivity, specificity, balanced accuracy,
-    precision, recall, F1, AUC and the Youden threshold.
+def evaluate_by(df: DataFrame, keys: Sequence[str], label: str = "label", prediction: str = "prediction",
+                score: str = "score", num_partitions: int | None = None) -> DataFrame:
+    """One row of metrics per key (J14, J15): confusion counts, accuracy, sensitivity, specificity,
+    balanced accuracy, precision, recall, F1, AUC and the Youden threshold.
 
-    The confusion counts ride along in the per-threshold aggregation, so one
-    final aggregation gives every metric (no join of separate results).
+    Any number of scored tables is evaluated together: scores collapse to counts per (key, score),
+    one keyed prefix sum orders them all, one aggregation ends it. A key's scores are spread over
+    range partitions, so a key that holds most rows is not one task's work. The confusion counts
+    ride along. Keys (configurations, models, splits) are taken to be few; rows with a NULL key take
+    no part.
     """
-    pts = _with_rates(_threshold_counts(df, label, score, prediction), num_partitions)
-    row = pts.agg(*_summary_aggs(), *[F.sum(f"c_{k}").cast("bigint").alias(k) for k in ("tn", "fp", "fn", "tp")])
+    keys = list(keys)
+    pts = _with_rates(_threshold_counts(df, label, score, prediction, keys), num_partitions, keys)
+    counts = [F.sum(f"c_{k}").cast("bigint").alias(k) for k in ("tn", "fp", "fn", "tp")]
+    rows = pts.groupBy(*keys).agg(*_summary_aggs(), *counts) if keys else pts.agg(*_summary_aggs(), *counts)
     tp, tn, fp, fn = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("tp", "tn", "fp", "fn"))
     sens = F.coalesce(F.try_divide(tp, tp + fn), F.lit(0.0))
     spec = F.coalesce(F.try_divide(tn, tn + fp), F.lit(0.0))
     prec = F.coalesce(F.try_divide(tp, tp + fp), F.lit(0.0))
-    return row.select(
-        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("tn", "fp", "fn", "tp")],
+    return rows.select(
+        *keys, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in ("tn", "fp", "fn", "tp")],
         F.try_divide(tp + tn, tp + tn + fp + fn).alias("accuracy"),
         sens.alias("sensitivity"), spec.alias("specificity"), ((sens + spec) / 2).alias("balanced_accuracy"),
         prec.alias("precision"), sens.alias("recall"),
         F.coalesce(F.try_divide(2 * prec * sens, prec + sens), F.lit(0.0)).alias("f1"),
         "auc", "best_threshold")
+
+
+def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score",
+             num_partitions: int | None = None) -> DataFrame:
+    """One row of metrics of the whole table (``evaluate_by`` without keys)."""
+    return evaluate_by(df, [], label, prediction, score, num_partitions)

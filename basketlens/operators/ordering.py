@@ -33,12 +33,15 @@ def _parts(df: DataFrame, n: int | None) -> int:
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum_cols: Sequence[str],
-                num_partitions: int | None = None, prefix: str = "cum_") -> DataFrame:
+                num_partitions: int | None = None, prefix: str = "cum_", few_keys: bool | None = None) -> DataFrame:
     """Add inclusive running sums of ``sum_cols`` in ``order`` within each key.
 
     ``df`` should already have one row per distinct ordering value (collapse
     ties first). One task handles the rows of one range partition; the
     partitions' offsets are added. Tables of every size go the same way.
+    The offsets (partitions x keys rows) are broadcast without keys, or where the
+    caller knows the keys to be few; else the engine picks the join by size.
+    Rows with a NULL key take no part.
     """
     keys = list(keys)
     p = _parts(df, num_partitions)
@@ -54,20 +57,22 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum
     wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("__pid", *keys, *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}")
                                               for c in sum_cols])
-    out = local.join(F.broadcast(offsets), ["__pid", *keys])
+    small = not keys if few_keys is None else few_keys
+    out = local.join(F.broadcast(offsets) if small else offsets, ["__pid", *keys])
     return out.select(*df.columns, *[(F.col(f"__l_{c}") + F.col(f"__o_{c}")).alias(f"{prefix}{c}")
                                      for c in sum_cols])
 
 
 def value_ranks(long_df: DataFrame, key: str, value: str, num_partitions: int | None = None,
-                chunk: int = CHUNK) -> DataFrame:
+                chunk: int = CHUNK, few_keys: bool = False) -> DataFrame:
     """One row per input row: (key, value, rank 1..n within key by value, n).
 
     Tied values receive consecutive ranks (their order is immaterial since
-    the rows are identical in (key, value)).
+    the rows are identical in (key, value)). ``few_keys`` says that the keys are few
+    enough to broadcast a row of each (column names, say).
     """
     d = long_df.groupBy(key, value).agg(F.count(F.lit(1)).alias("__c"))
-    d = prefix_sums(d, [key], [F.col(value)], ["__c"], num_partitions)
+    d = prefix_sums(d, [key], [F.col(value)], ["__c"], num_partitions, few_keys=few_keys)
     n = d.groupBy(key).agg(F.sum("__c").alias("n"))
     runs = d.select(key, value, (F.col("cum___c") - F.col("__c") + 1).alias("__s"), F.col("__c"))
     # Split long runs into chunks of at most ``chunk`` ranks, spread them, then expand.
@@ -78,4 +83,4 @@ def value_ranks(long_df: DataFrame, key: str, value: str, num_partitions: int |
                               F.col("__s") + F.col("__c") - 1).alias("__b")))
     pieces = pieces.repartition(_parts(long_df, num_partitions), key, "__a")
     ranked = pieces.select(key, value, F.explode(F.sequence("__a", "__b")).alias("rank"))
-    return ranked.join(F.broadcast(n), key)
+    return ranked.join(F.broadcast(n) if few_keys else n, key)

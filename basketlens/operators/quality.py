@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.columns import blank_to_null, is_blank_or_null
 from ..sources.schemas import ID_COLUMNS
 from .binning import iqr_bounds
-from .quantiles import column_quantiles
+from .quantiles import bounded_quantiles, column_quantiles
 
 
 # ---------------------------------------------------------------------------
@@ -207,25 +207,22 @@ def observed_integrity_checks(lines: DataFrame, campaign: DataFrame):
 
 
 def integrity_report(lines: DataFrame, campaign: DataFrame) -> DataFrame:
-    """Row counts per step: (dataset, step, rows) from one pass per input."""
-    lines_clean, campaign_clean = perform_integrity_checks(lines, campaign)
-    # input and negative-price counts of the lines come from one aggregation
-    first = lines.agg(F.count(F.lit(1)).alias("i"), F.count_if(F.col("UnitPrice") < 0).alias("neg")).select(
-        F.inline(F.array(F.struct(F.lit("lines").alias("dataset"), F.lit("input").alias("step"),
-                                  F.col("i").alias("rows")),
-                         F.struct(F.lit("lines").alias("dataset"), F.lit("negative_price_removed").alias("step"),
-                                  F.col("neg").alias("rows")))))
-    parts = [
-        first,
-        lines_clean.agg(F.lit("lines").alias("dataset"), F.lit("final").alias("step"), F.count(F.lit(1)).alias("rows")),
-        campaign.agg(F.lit("campaign").alias("dataset"), F.lit("input").alias("step"), F.count(F.lit(1)).alias("rows")),
-        campaign_clean.agg(F.lit("campaign").alias("dataset"), F.lit("final").alias("step"),
-                           F.count(F.lit(1)).alias("rows")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("rows", F.col("rows").cast("bigint"))
+    """Row counts per step: (dataset, step, rows), each input scanned once.
+
+    Rows are counted per content (map-side first, so many copies of one row are no hot group); input, removed and
+    final counts then all follow from the contents and their multiplicities.
+    """
+    def counted(df, name, bad):
+        content = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+        bad = F.coalesce(bad, F.lit(False))
+        steps = [("input", F.coalesce(F.sum("__n"), F.lit(0)))]
+        if name == "lines":
+            steps.append(("negative_price_removed", F.coalesce(F.sum(F.when(bad, F.col("__n"))), F.lit(0))))
+        steps.append(("final", F.count_if(~bad)))
+        row = content.agg(*[e.cast("bigint").alias(s) for s, e in steps])
+        return row.select(F.inline(F.array(*[F.struct(F.lit(name).alias("dataset"), F.lit(s).alias("step"), F.col(s).alias("rows")) for s, _ in steps])))
+
+    return counted(lines, "lines", F.col("UnitPrice") < 0).unionByName(counted(campaign, "campaign", F.lit(False)))
 
 
 # ---------------------------------------------------------------------------
@@ -274,7 +271,7 @@ def _step_report(df: DataFrame, steps) -> DataFrame:
 
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential", nulls: str = "drop",
-               k: float = 1.5, checkpoint_every: int = 4, **qkw):
+               k: float = 1.5, **qkw):
     """Keep rows inside [Q1 - k IQR, Q3 + k IQR] for each column.
 
     ``mode='sequential'`` reproduces the reference (each column's quartiles
@@ -283,7 +280,9 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
     drops NULL cells (the reference's keep-inside filter), ``'keep'`` keeps
     them. Returns (filtered frame, report frame (step, column, lower, upper,
     removed, remaining), the counts from one aggregation over the input).
-    Sequential lineage is cut with reliable checkpoints.
+    The sequential mode costs one job for all columns' spans and then one or two
+    jobs a column; its conditions stack up in one filter over the input, which the
+    caller may want to have cached.
     """
     cols = [c for c in columns if c in df.columns]
     report = []
@@ -305,15 +304,28 @@ def iqr_filter(df: DataFrame, columns: Sequence[str], mode: str = "sequential",
 
     if mode != "sequential":
         raise ValueError(f"unknown mode {mode!r}")
-    cur = df
+    # one pass gives every column's bounds and count over the input; they hold for all that survives, so
+    # each step needs no statistics of its own: its one or two jobs read the input under the filters so far
+    first = df.agg(*[a for i, c in enumerate(cols) for a in _column_span(c, i)]).first() if cols else None
+    cond = F.lit(True)
+    alive = None
     for i, c in enumerate(cols):
-        q = column_quantiles(cur, [c], [0.25, 0.75], **qkw)[c]
+        if not first[f"n{i}"]:
+            continue
+        most = first[f"n{i}"] if alive is None else min(alive, first[f"n{i}"])
+        q = bounded_quantiles(df.filter(cond), c, [0.25, 0.75], first[f"mn{i}"], first[f"mx{i}"], most, **qkw)
         if q["n"] == 0:
             continue
+        if nulls == "drop":
+            alive = q["n"]  # later columns see at most the rows that had a value here
         lo, hi = iqr_bounds(*q["q"], k=k)
-        cur = cur.filter(keep(c, lo, hi))
+        cond = cond & keep(c, lo, hi)
         report.append((i, c, lo, hi, keep(c, lo, hi)))
-        if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < len(cols):
-            from ..session import cut_lineage
-            cur = cut_lineage(cur)
-    return cur, _step_report(df, report)
+    return df.filter(cond), _step_report(df, report)
+
+
+def _column_span(c: str, i: int):
+    """Count, smallest and largest finite value of a column."""
+    v = F.col(c).cast("double")
+    ok = F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
+    return F.count(ok).alias(f"n{i}"), F.min(ok).alias(f"mn{i}"), F.max(ok).alias(f"mx{i}")

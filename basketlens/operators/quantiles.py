@@ -36,15 +36,16 @@ _KEY = "__qk"
 _VAL = "__qv"
 
 
-def long_values(df: DataFrame, columns: Sequence[str], key_exprs=None) -> DataFrame:
-    """Unpivot ``columns`` into (key, value) rows; key = column name (optionally plus group labels)."""
+def long_values(df: DataFrame, columns: Sequence[str], key_exprs=None, carry: str | None = None) -> DataFrame:
+    """Unpivot ``columns`` into (key, value) rows; key = column name (optionally plus group labels).
+    With ``carry``, also the column name as ``variable`` and the column named."""
     structs = []
     for c in columns:
         k = F.lit(c) if key_exprs is None else F.concat_ws("\u0001", F.lit(c), *key_exprs)
-        structs.append(F.struct(k.alias(_KEY), F.col(c).cast("double").alias(_VAL)))
+        structs.append(F.struct(k.alias(_KEY), F.col(c).cast("double").alias(_VAL), *([F.lit(c).alias("variable")] if carry else [])))
     # NaN and infinite values have no place in a distribution and would stop the narrowing
     finite = F.col(_VAL).isNotNull() & ~F.isnan(_VAL) & (F.abs(_VAL) != float("inf"))
-    return df.select(F.inline(F.array(*structs))).filter(finite)
+    return df.select(*([carry] if carry else []), F.inline(F.array(*structs))).filter(finite)
 
 
 def _positions(n: int, probs: Sequence[float]):
@@ -123,13 +124,20 @@ def _descend(long_df: DataFrame, bounds: dict, paths: set, buckets: int) -> Data
     return df
 
 
+def _histogram(frame: DataFrame, buckets: int) -> list:
+    return (frame.groupBy(_KEY, "__p", _bucket(buckets).alias("__b"))
+            .agg(F.count(F.lit(1)).alias("c"), F.min(_VAL).alias("bmn"), F.max(_VAL).alias("bmx"))
+            .collect())
+
+
 def select_ranks(long_df: DataFrame, stats: dict, ranks: dict, finish_rows: int | None = None,
-                 buckets: int | None = None) -> dict:
+                 buckets: int | None = None, first: list | None = None) -> dict:
     """Exact order statistics: ``{(key, rank0): value}`` for 0-based ranks per key, by histogram narrowing.
 
     ``stats[key]`` needs ``n``, ``min`` and ``max``. Each pass is one distributed
     aggregation (counts per bucket of every pending interval); targets in the
     same interval share it. Only bucket counts and final values reach the driver.
+    ``first`` is the histogram over [min, max], if the caller has it already.
     """
     finish_rows = FINISH_ROWS if finish_rows is None else finish_rows
     buckets = BUCKETS if buckets is None else buckets
@@ -141,16 +149,14 @@ def select_ranks(long_df: DataFrame, stats: dict, ranks: dict, finish_rows: int
         for r in rs:
             state[(k, r)] = {"path": (), "below": 0, "value": mn if mn == mx else None}
     pending = {t for t, st in state.items() if st["value"] is None}
-    finish = sorted(t for t in pending if stats[t[0]]["n"] <= finish_rows)
+    finish = sorted(t for t in pending if stats[t[0]]["n"] <= finish_rows) if first is None else []
     if finish:
         _finish(long_df, bounds, state, finish, buckets)
         pending.difference_update(finish)
     while pending:
         paths = {(k, state[(k, r)]["path"]) for k, r in pending}
-        frame = _descend(long_df, bounds, paths, buckets)
-        hist = (frame.groupBy(_KEY, "__p", _bucket(buckets).alias("__b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min(_VAL).alias("bmn"), F.max(_VAL).alias("bmx"))
-                .collect())
+        hist = first or _histogram(_descend(long_df, bounds, paths, buckets), buckets)
+        first = None
         by_interval = {}
         for r in hist:
             by_interval.setdefault((r[_KEY], r["__p"]), []).append(r)
@@ -207,16 +213,72 @@ def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
     return {c: res.get(c, dict(empty)) for c in columns}
 
 
-def grouped_quantiles(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str],
-                      probs: Sequence[float], **kw) -> dict[tuple, dict]:
-    """Quantiles per (column, group values) for a few groups (the keys go through the driver)."""
-    keys = [F.coalesce(F.col(g).cast("string"), F.lit("\u0000")) for g in group_cols]
-    res = quantiles_long(long_values(df, columns, keys), probs, **kw)
-    out = {}
-    for k, v in res.items():
-        parts = k.split("\u0001")
-        out[(parts[0], *[None if p == "\u0000" else p for p in parts[1:]])] = v
-    return out
+def bounded_quantiles(df: DataFrame, col: str, probs: Sequence[float], low: float, high: float, at_most: int,
+                      finish_rows: int | None = None, buckets: int | None = None) -> dict:
+    """Quantiles of one column whose values are known to lie in [low, high] and to be at most ``at_most``.
+
+    With these bounds from an earlier pass no statistics pass is needed. Up to ``finish_rows`` values, one job
+    counts, ranks and picks them; beyond, one job counts and histograms them, and usually one more reads the
+    values of the buckets that hold the targets. Returns ``{"n", "q"}``.
+    """
+    finish_rows = FINISH_ROWS if finish_rows is None else finish_rows
+    buckets = BUCKETS if buckets is None else buckets
+    long = long_values(df, [col])
+    if at_most > finish_rows and low < high:
+        hist = _histogram(long.withColumns({"__p": F.lit(""), "__lo": F.lit(float(low)), "__hi": F.lit(float(high))}), buckets)
+        n = sum(r["c"] for r in hist)
+        if not n:
+            return {"n": 0, "q": [None] * len(probs)}
+        ranks = sorted({r for lo, hi, _ in _positions(n, probs) for r in (lo, hi)})
+        values = select_ranks(long, {col: {"n": n, "min": low, "max": high}}, {col: ranks}, finish_rows, buckets, hist)
+        return {"n": n, "q": [_interp(values[(col, lo)], values[(col, hi)], lo, hi, at) for lo, hi, at in _positions(n, probs)]}
+    counts = long.groupBy(_VAL).agg(F.count(F.lit(1)).alias("c"))  # at most finish_rows rows, or one value
+    cum = counts.select(_VAL, "c", F.sum("c").over(Window.orderBy(_VAL).rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("cum"),
+                        F.sum("c").over(Window.partitionBy()).alias("n"))
+    holds = F.lit(False)
+    for prob in probs:
+        for rank in (F.floor((F.col("n") - 1) * prob), F.ceil((F.col("n") - 1) * prob)):
+            holds = holds | ((F.col("cum") - F.col("c") <= rank) & (rank < F.col("cum")))
+    got = cum.filter(holds).collect()
+    if not got:
+        return {"n": 0, "q": [None] * len(probs)}
+    n = got[0]["n"]
+
+    def value(rank):
+        return next(r[_VAL] for r in got if r["cum"] - r["c"] <= rank < r["cum"])
+
+    return {"n": n, "q": [_interp(value(lo), value(hi), lo, hi, at) for lo, hi, at in _positions(n, probs)]}
+
+
+def group_quantiles(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str], probs: Sequence[float],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles per column and group for any number of groups: (variable, group columns, n, q), ``q`` an array in
+    the order of ``probs``.
+
+    Values collapse to counts per (group, value), one keyed prefix sum ranks them, and a conditional aggregation picks
+    the order statistics next to each target rank. Ranks, counts and targets stay in DataFrames: nothing per group
+    reaches the driver, and a hot group's values are spread over range partitions. NULL group values form a group; NULL and
+    non-finite values are left out, and groups without values don't appear.
+    """
+    from .ordering import prefix_sums  # ordering needs the session helpers only
+    groups = list(group_cols)
+    # one text that tells NULL from every value, since joins don't match NULL keys
+    text = [F.coalesce(F.concat(F.length(F.col(g).cast("string")).cast("string"), F.lit(":"), F.col(g).cast("string")), F.lit("-")) for g in groups]
+    long = long_values(df.withColumn("__g", F.struct(*[F.col(g) for g in groups])), columns, text, carry="__g")
+    counts = long.groupBy(_KEY, _VAL).agg(F.count(F.lit(1)).alias("c"), F.first("variable").alias("variable"), F.first("__g").alias("__g"))
+    cum = prefix_sums(counts, [_KEY], [F.col(_VAL)], ["c"], num_partitions)
+    n = cum.groupBy(_KEY).agg(F.sum("c").alias("n"))
+    ranked = cum.join(n, _KEY)
+    picks, parts = [], []
+    for i, prob in enumerate(probs):
+        at = (F.col("n") - 1) * F.lit(float(prob))
+        for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            picks.append(F.max(F.when((F.col("cum_c") - F.col("c") <= rank) & (rank < F.col("cum_c")), F.col(_VAL))).alias(f"{side}{i}"))
+        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        # the weighted mean that ``_interp`` takes
+        parts.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi))
+    out = ranked.groupBy(_KEY).agg(F.first("variable").alias("variable"), F.first("__g").alias("__g"), F.first("n").alias("n"), *picks)
+    return out.select("variable", *[F.col(f"__g.{g}").alias(g) for g in groups], F.col("n").cast("bigint").alias("n"), F.array(*parts).alias("q"))
 
 
 def rank_values(long_df: DataFrame, ranks_for_n, **kw) -> dict:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite_or_null, neg_log10, norm_ppf, safe_corr, safe_slope
+from .eda import without_outliers
 from .ordering import value_ranks
 from .quantiles import long_values
 
@@ -25,14 +26,18 @@ def filliben_median(rank, n):
             .otherwise((r - 0.3175) / (n + 0.365)))
 
 
-def qq_points(data: DataFrame, variables: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+def qq_points(data: DataFrame, variables: Sequence[str], num_partitions: int | None = None,
+              outliers_included: bool = True) -> DataFrame:
     """(variable, rank, n, value, theoretical): sorted sample vs normal quantiles per variable (H1).
 
     Ranks are global per variable but computed without a single-task window
-    (see ``operators.ordering``).
+    (see ``operators.ordering``). With ``outliers_included=False`` each variable's values outside its
+    own 1.5 IQR bounds are left out first.
     """
+    if not outliers_included:
+        data = without_outliers(data, variables)
     long = long_values(data, variables).withColumnRenamed("__qk", "variable").withColumnRenamed("__qv", "value")
-    ranked = value_ranks(long, "variable", "value", num_partitions)
+    ranked = value_ranks(long, "variable", "value", num_partitions, few_keys=True)
     return ranked.select("variable", F.col("rank").cast("bigint").alias("rank"), F.col("n").cast("bigint").alias("n"),
                          "value", norm_ppf(filliben_median("rank", "n")).alias("theoretical"))
 

@@ -9,15 +9,19 @@ from ..functions.columns import snake_case
 from ..operators import clustering, eda, evaluation, quality, stats
 from ..operators.binning import (fit_model_edges, fit_recode_edges, model_bin_code, recode_boolean,
                                  recode_levels)
+from ..operators.exact_tree import fit_exact_tree
 from ..operators.features import customer_aggregates
 from ..operators.modeling import (MODEL_TYPES, feature_importances, numeric_model_columns, preprocess_for_model,
                                   run_model, tree_nodes)
+from ..operators.naive_bayes import fit_naive_bayes
+from ..operators.quantiles import group_quantiles
+from ..session import shared_folder
 from ..sources import fixtures as fx
 from ..sources.schemas import BIN_SOURCES
 from . import presets
 from . import sql as S
 from .catalog import (CAMPAIGN_TYPED_SQL, FEATURE_ROUND, JOINED_COLUMNS, JOINED_CTES, R, _shared, joined, register,
-                      rounded)
+                      rounded, typed_campaign)
 
 # ---------------------------------------------------------------------------
 # Encoded joined table
@@ -73,6 +77,17 @@ def q_corr(spark, sf):
     return rounded(eda.correlation_matrix(joined(spark, sf).select(*JOINED_COLUMNS)), {"corr": 9})
 
 
+def _inlier_ctes(source: str, variables, name: str) -> list:
+    """CTEs ending in ``name``: ``source`` with each variable's values outside its own 1.5 IQR bounds NULL."""
+    cells = ", ".join(f"CASE WHEN {v} BETWEEN {v}_1 - 1.5 * ({v}_3 - {v}_1) AND {v}_3 + 1.5 * ({v}_3 - {v}_1) THEN {v} END AS {v}" for v in variables)
+    quartiles = ", ".join(f"quantile_cont(CAST({v} AS DOUBLE), 0.25) AS {v}_1, quantile_cont(CAST({v} AS DOUBLE), 0.75) AS {v}_3" for v in variables)
+    return [(f"{name}_q", f"SELECT {quartiles} FROM {source}"), (name, f"SELECT {source}.* REPLACE ({cells}) FROM {source}, {name}_q")]
+
+
+def _renamed(ctes: list, old: str, new: str) -> list:
+    return [(n, text.replace(f"FROM {old}", f"FROM {new}")) for n, text in ctes]
+
+
 # ---------------------------------------------------------------------------
 # Box plots (E13), histograms (E14), IQR filters
 # ---------------------------------------------------------------------------
@@ -108,6 +123,36 @@ def q_box(spark, sf):
     return rounded(eda.boxplot_summary(joined(spark, sf), _BOX_VARS), _BOX_ROUND)
 
 
+_box_inlier_ctes = (JOINED_CTES + [("joinedd", "SELECT response, " + ", ".join(f"CAST({v} AS DOUBLE) AS {v}" for v in _BOX_VARS) + " FROM joined")]
+                    + _inlier_ctes("joinedd", _BOX_VARS, "joinedi") + _renamed(_box_ctes, "joined", "joinedi"))
+
+
+@register("boxplot_summary_without_outliers", S.statement(_box_body, ["lines", "campaign"], _box_inlier_ctes))
+def q_box_inliers(spark, sf):
+    """The summaries with each variable's outliers left out first."""
+    return rounded(eda.boxplot_summary(joined(spark, sf), _BOX_VARS, outliers_included=False), _BOX_ROUND)
+
+
+@register("product_line_quantiles", S.statement(f"""
+SELECT StockCode, variable, CAST(count(v) AS BIGINT) AS n, {R('quantile_cont(v, 0.25)', 4)} AS q1, {R('quantile_cont(v, 0.5)', 4)} AS median,
+       {R('quantile_cont(v, 0.75)', 4)} AS q3
+FROM (SELECT StockCode, 'Quantity' AS variable, CAST(Quantity AS DOUBLE) AS v FROM lines
+      UNION ALL SELECT StockCode, 'UnitPrice', UnitPrice FROM lines) t GROUP BY StockCode, variable""", ["lines"]))
+def q_product_quantiles(spark, sf):
+    """Exact quartiles of quantity and price of every product; nothing per product reaches the driver."""
+    q = group_quantiles(fx.lines(spark, sf), ["Quantity", "UnitPrice"], ["StockCode"], [0.25, 0.5, 0.75])
+    return rounded(q.select("StockCode", "variable", "n", *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]),
+                   {"q1": 4, "median": 4, "q3": 4})
+
+
+@register("median_fill_nps", S.statement(
+    "SELECT CustomerID, coalesce(nps, CAST(m AS INTEGER)) AS nps FROM ctyped CROSS JOIN (SELECT quantile_cont(nps, 0.5) AS m FROM ctyped) mm",
+    ["campaign"], [("ctyped", CAMPAIGN_TYPED_SQL)]))
+def q_median_fill(spark, sf):
+    """C17: missing NPS scores filled with the exact median."""
+    return quality.median_fill(typed_campaign(spark, sf).select("CustomerID", "nps"), ["nps"])
+
+
 _HIST_VARS = list(eda.BAR_CHART_FEATURES)
 
 
@@ -210,19 +255,31 @@ def q_qq(spark, sf):
     return rounded(stats.qq_points(encoded(spark, sf), _QQ_VARS), {"value": 4, "theoretical": 9})
 
 
-@register("qq_fit", S.statement(f"""
+_QQ_FIT_SQL = f"""
 SELECT variable, {R('slope', 4)} AS slope, {R('avg_v - slope * avg_t', 4)} AS intercept, {R('r', 9)} AS r, n FROM (
   SELECT variable, covar_pop(value, theoretical) / nullif(var_pop(theoretical), 0) AS slope,
          avg(value) AS avg_v, avg(theoretical) AS avg_t,
          covar_pop(value, theoretical) / nullif(stddev_pop(value) * stddev_pop(theoretical), 0) AS r,
          CAST(count(*) AS BIGINT) AS n
-  FROM qp GROUP BY variable) t""", ["lines", "campaign"], _qq_ctes()))
+  FROM qp GROUP BY variable) t"""
+
+
+@register("qq_fit", S.statement(_QQ_FIT_SQL, ["lines", "campaign"], _qq_ctes()))
 def q_qq_fit(spark, sf):
     """H1: least-squares fit line and r of each QQ plot."""
     pts = stats.qq_points(encoded(spark, sf), _QQ_VARS)
     return rounded(stats.qq_fit(pts), {"slope": 4, "intercept": 4, "r": 9})
 
 
+@register("qq_fit_without_outliers", S.statement(
+    _QQ_FIT_SQL, ["lines", "campaign"],
+    ENC_CTES + _inlier_ctes("enc", _QQ_VARS, "enci") + _renamed(_qq_ctes()[len(ENC_CTES):], "enc", "enci")))
+def q_qq_fit_inliers(spark, sf):
+    """H1: the fit lines with each variable's outliers left out."""
+    pts = stats.qq_points(encoded(spark, sf), _QQ_VARS, outliers_included=False)
+    return rounded(stats.qq_fit(pts), {"slope": 4, "intercept": 4, "r": 9})
+
+
 # ---------------------------------------------------------------------------
 # Model preparation (J1) and model binning (F2)
 # ---------------------------------------------------------------------------
@@ -325,35 +382,149 @@ def _score_frame(spark, sf):
 @register("roc_points", S.statement(f"""
 SELECT {R('threshold', 2)} AS threshold, pos, neg, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) AS tpr, CAST(fp AS DOUBLE) / CAST(N AS DOUBLE) AS fpr,
-       CAST(P AS BIGINT) AS P, CAST(N AS BIGINT) AS N FROM rp""", ["lines", "campaign"], _SCORE_CTES))
+       CAST(P AS BIGINT) AS P, CAST(N AS BIGINT) AS N FROM rp
+UNION ALL
+SELECT CAST('inf' AS DOUBLE), 0, 0, 0, 0, 0.0, 0.0, CAST(sum(pos) AS BIGINT), CAST(sum(neg) AS BIGINT) FROM rd""",
+                                  ["lines", "campaign"], _SCORE_CTES))
 def q_roc(spark, sf):
     """ROC points of total spending as a response score (running sums without a single-task window)."""
     return rounded(evaluation.roc_points(_score_frame(spark, sf)), {"threshold": 2})
 
 
-@register("score_evaluation", S.statement(f"""
-SELECT tn, fp, fn, tp, CAST(tp + tn AS DOUBLE) / CAST(tp + tn + fp + fn AS DOUBLE) AS accuracy,
+def _evaluation_sql(keys: str = "") -> str:
+    """Metrics of table ``sc`` (label, prediction, score) per ``keys`` (comma-separated, or none)."""
+    k = f"{keys}, " if keys else ""
+    by = f"GROUP BY {keys}" if keys else ""
+    part = f"PARTITION BY {keys} " if keys else ""
+    using = f"USING ({keys})" if keys else "ON true"
+    return f"""
+SELECT {k}tn, fp, fn, tp, CAST(tp + tn AS DOUBLE) / CAST(tp + tn + fp + fn AS DOUBLE) AS accuracy,
        sens AS sensitivity, spec AS specificity, (sens + spec) / 2 AS balanced_accuracy, prec AS precision,
        sens AS recall, coalesce(2 * prec * sens / nullif(prec + sens, 0), 0.0) AS f1, auc,
        {R('best_threshold', 2)} AS best_threshold
 FROM (
-  SELECT tn, fp, fn, tp,
+  SELECT {k}tn, fp, fn, tp,
          coalesce(CAST(tp AS DOUBLE) / nullif(CAST(tp + fn AS DOUBLE), 0), 0.0) AS sens,
          coalesce(CAST(tn AS DOUBLE) / nullif(CAST(tn + fp AS DOUBLE), 0), 0.0) AS spec,
          coalesce(CAST(tp AS DOUBLE) / nullif(CAST(tp + fp AS DOUBLE), 0), 0.0) AS prec
-  FROM (SELECT CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn,
+  FROM (SELECT {k}CAST(count_if(label = 0 AND prediction = 0) AS BIGINT) AS tn,
                CAST(count_if(label = 0 AND prediction = 1) AS BIGINT) AS fp,
                CAST(count_if(label = 1 AND prediction = 0) AS BIGINT) AS fn,
-               CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp FROM sc) c) m,
-(SELECT sum(neg * (tp - pos / 2.0)) / (any_value(P) * any_value(N)) AS auc FROM rp) a,
-(SELECT threshold AS best_threshold FROM rp
- ORDER BY CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) - CAST(fp AS DOUBLE) / CAST(N AS DOUBLE) DESC, threshold DESC
- LIMIT 1) b""", ["lines", "campaign"], _SCORE_CTES))
+               CAST(count_if(label = 1 AND prediction = 1) AS BIGINT) AS tp FROM sc {by}) c) m
+JOIN (SELECT {k}sum(neg * (tp - pos / 2.0)) / (any_value(P) * any_value(N)) AS auc FROM rp {by}) a {using}
+JOIN (SELECT {k}threshold AS best_threshold FROM rp QUALIFY row_number() OVER ({part}ORDER BY
+      CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) - CAST(fp AS DOUBLE) / CAST(N AS DOUBLE) DESC, threshold DESC) = 1) b {using}"""
+
+
+@register("score_evaluation", S.statement(_evaluation_sql(), ["lines", "campaign"], _SCORE_CTES))
 def q_score_eval(spark, sf):
     """Confusion matrix, accuracy family, AUC and Youden threshold of a spending rule."""
     return rounded(evaluation.evaluate(_score_frame(spark, sf)), {"best_threshold": 2})
 
 
+# The rules "above the column's upper two bins" as scores, for customers with and without a loyalty card.
+_RULES = {"spending": ("total_sales_bin", "total_spending"), "quantity": ("total_quantity_bin", "total_quantity"),
+          "order_value": ("avg_order_value_bin", "avg_order_value"), "tenure": ("customer_tenure_bin", "customer_tenure")}
+_RULE_CTES = JOINED_CTES + [
+    ("sc", " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, loyalty, CAST(CAST(response AS INTEGER) AS DOUBLE) AS label, "
+        f"CASE WHEN {level} IN ('High', 'Very High') THEN 1.0 ELSE 0.0 END AS prediction, "
+        f"CAST({score} AS DOUBLE) AS score FROM joined" for rule, (level, score) in _RULES.items())),
+    ("rd", "SELECT rule, loyalty, score AS threshold, CAST(count_if(label = 1) AS BIGINT) AS pos, "
+           "CAST(count_if(label <> 1) AS BIGINT) AS neg FROM sc GROUP BY rule, loyalty, score"),
+    ("rp", "SELECT *, sum(pos) OVER (PARTITION BY rule, loyalty ORDER BY threshold DESC) AS tp, "
+           "sum(neg) OVER (PARTITION BY rule, loyalty ORDER BY threshold DESC) AS fp, "
+           "sum(pos) OVER (PARTITION BY rule, loyalty) AS P, sum(neg) OVER (PARTITION BY rule, loyalty) AS N FROM rd"),
+]
+
+
+@register("score_evaluation_by_rule", S.statement(_evaluation_sql("rule, loyalty"), ["lines", "campaign"], _RULE_CTES))
+def q_score_eval_by(spark, sf):
+    """The metrics of four scoring rules for two customer groups from one keyed evaluation."""
+    each = [F.struct(F.lit(rule).alias("rule"), F.when(F.col(level).isin("High", "Very High"), 1.0).otherwise(0.0).alias("prediction"),
+                     F.col(score).cast("double").alias("score")) for rule, (level, score) in _RULES.items()]
+    scores = joined(spark, sf).select("loyalty", F.col("response").cast("int").cast("double").alias("label"), F.inline(F.array(*each)))
+    return rounded(evaluation.evaluate_by(scores, ["rule", "loyalty"]), {"best_threshold": 2})
+
+
+# ---------------------------------------------------------------------------
+# Naive Bayes from statistics (J5) and exact split search
+# ---------------------------------------------------------------------------
+
+_NB_VARS = ("total_spending", "num_orders", "recency", "customer_tenure", "n_comp")
+
+
+def _nb_sql():
+    stats = ", ".join(f"avg({v}) FILTER (response) AS m1_{v}, avg({v}) FILTER (NOT response) AS m0_{v}, "
+                      f"var_pop({v}) FILTER (response) AS v1_{v}, var_pop({v}) FILTER (NOT response) AS v0_{v}, "
+                      f"var_pop({v}) AS v_{v}" for v in _NB_VARS)
+    widest = f"greatest({', '.join(f'v_{v}' for v in _NB_VARS)})"
+
+    def joint(c):
+        return f"ln(n{c} / (n0 + n1))" + "".join(
+            f" - 0.5 * ln(2 * pi() * (v{c}_{v} + 1e-9 * {widest})) - ({v} - m{c}_{v}) ** 2 / (2 * (v{c}_{v} + 1e-9 * {widest}))" for v in _NB_VARS)
+
+    return (f"SELECT CustomerID, {R(f'1 / (1 + exp(({joint(0)}) - ({joint(1)})))', 9)} AS score, "
+            f"CASE WHEN ({joint(1)}) > ({joint(0)}) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM prep, nbs",
+            [("nbs", f"SELECT CAST(count_if(response) AS DOUBLE) AS n1, CAST(count_if(NOT response) AS DOUBLE) AS n0, {stats} FROM prep")])
+
+
+_nb_body, _nb_ctes = _nb_sql()
+
+
+@register("naive_bayes_scores", S.statement(_nb_body, ["lines", "campaign"], _PREP_CTES + _nb_ctes))
+def q_naive_bayes(spark, sf):
+    """P(response) of every customer by Gaussian naive Bayes fitted on all customers from one aggregation."""
+    df = prepared(spark, sf).select("CustomerID", *_NB_VARS, F.col("response").cast("double").alias("label"))
+    model = fit_naive_bayes(df, _NB_VARS)
+    return rounded(model.transform(df).select("CustomerID", "score", "prediction"), {"score": 9})
+
+
+_TREE_VARS = ("num_orders", "total_quantity", "recency", "customer_tenure", "product_diversity", "nps", "loyalty")
+_TREE_DEPTH, _TREE_LEAF = 3, 0.02
+
+
+def _tree_sql():
+    ctes = [("tr0", f"SELECT CAST(1 AS BIGINT) AS node, CAST(CAST(response AS INTEGER) AS BIGINT) AS y, "
+                    f"{', '.join(f'CAST({v} AS DOUBLE) AS {v}' for v in _TREE_VARS)} FROM prep"),
+            ("tmin", f"SELECT greatest(1, ceil({_TREE_LEAF} * count(*))) AS least FROM tr0")]
+
+    def purity(a, b):
+        return f"((CAST({a} AS DOUBLE) * ({a}) + CAST({b} AS DOUBLE) * ({b})) / (({a}) + ({b})))"
+
+    sizes = []
+    for d in range(_TREE_DEPTH + 1):
+        sizes.append(f"SELECT z{d}.*, {d} AS depth, " + (f"b{d}.feature, b{d}.threshold, b{d}.gain FROM z{d} LEFT JOIN b{d} USING (node)"
+                                                         if d < _TREE_DEPTH else f"NULL AS feature, NULL AS threshold, NULL AS gain FROM z{d}"))
+        ctes.append((f"z{d}", f"SELECT node, count(*) AS n, count_if(y = 0) AS n0, count_if(y = 1) AS n1 FROM tr{d} GROUP BY node"))
+        if d == _TREE_DEPTH:
+            break
+        cells = " UNION ALL ".join(f"SELECT node, y, {i} AS f, '{v}' AS feature, {v} AS value FROM tr{d}" for i, v in enumerate(_TREE_VARS))
+        ctes.append((f"c{d}", f"SELECT node, f, feature, value, lead(value) OVER w AS high, sum(count_if(y = 0)) OVER w AS l0, "
+                              f"sum(count_if(y = 1)) OVER w AS l1 FROM ({cells}) GROUP BY node, f, feature, value "
+                              f"WINDOW w AS (PARTITION BY node, f ORDER BY value)"))
+        gain = f"{purity('l0', 'l1')} + {purity('n0 - l0', 'n1 - l1')} - {purity('n0', 'n1')}"
+        ctes.append((f"b{d}", f"SELECT node, feature, (value + high) / 2 AS threshold, gain FROM "
+                              f"(SELECT *, {gain} AS gain FROM c{d} JOIN z{d} USING (node), tmin WHERE l0 + l1 >= least AND n - l0 - l1 >= least AND n > l0 + l1) "
+                              f"WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, value) = 1"))
+        value = "CASE feature " + " ".join(f"WHEN '{v}' THEN {v}" for v in _TREE_VARS) + " END"
+        ctes.append((f"tr{d + 1}", f"SELECT node * 2 + CASE WHEN {value} > threshold THEN 1 ELSE 0 END AS node, y, {', '.join(_TREE_VARS)} "
+                                   f"FROM tr{d} JOIN b{d} USING (node)"))
+    return (f"SELECT node, CAST(depth AS INTEGER) AS depth, CAST(n AS BIGINT) AS n, CAST(n0 AS BIGINT) AS n0, CAST(n1 AS BIGINT) AS n1, "
+            f"CASE WHEN n1 > n0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, CAST(n1 AS DOUBLE) / n AS probability, feature, threshold, "
+            f"{R('gain', 6)} AS gain FROM ({' UNION ALL '.join(sizes)}) t"), ctes
+
+
+_tree_body, _tree_ctes = _tree_sql()
+
+
+@register("decision_tree_exact_splits", S.statement(_tree_body, ["lines", "campaign"], _PREP_CTES + _tree_ctes))
+def q_exact_tree(spark, sf):
+    """Depth-3 tree of all customers with exact split search, one row a node."""
+    df = prepared(spark, sf).select(*_TREE_VARS, F.col("response").cast("double").alias("label"))
+    return rounded(fit_exact_tree(df, _TREE_VARS, max_depth=_TREE_DEPTH, min_leaf=_TREE_LEAF), {"gain": 6})
+
+
 # ---------------------------------------------------------------------------
 # Smaller tables with oracles
 # ---------------------------------------------------------------------------
@@ -406,11 +577,30 @@ def q_vif_log(spark, sf):
     return stats.vif_elimination(df, numeric_model_columns(df, wide_only=False))[2]
 
 
-@register("gram_matrix")
+_GRAM_VARS = [c for c in _PREP_COLS if c not in ("CustomerID", "response")]
+
+
+def _gram_sql():
+    sums = ", ".join(f"sum(CAST({a} AS DOUBLE) * {b}) AS \"{a}|{b}\"" for i, a in enumerate(_GRAM_VARS) for b in _GRAM_VARS[i:])
+    cells = " UNION ALL ".join(
+        f"SELECT '{a}' AS var_x, '{b}' AS var_y, \"{a if i <= j else b}|{b if i <= j else a}\" AS v FROM gsum"
+        for i, a in enumerate(_GRAM_VARS) for j, b in enumerate(_GRAM_VARS))
+    power = "pow(10.0::DOUBLE, floor(log10(abs(v))))"
+    # sums depend on their order in the last digits: nine significant ones are compared
+    return f"SELECT var_x, var_y, CASE WHEN abs(v) < 1e-6 THEN 0.0::DOUBLE ELSE round(v / {power}, 8) * {power} END AS value FROM ({cells}) t", [
+        ("gsum", f"SELECT {sums} FROM prep")]
+
+
+_gram_body, _gram_ctes = _gram_sql()
+
+
+@register("gram_matrix", S.statement(_gram_body, ["lines", "campaign"], _PREP_CTES + _gram_ctes))
 def q_gram(spark, sf):
-    """H2: uncentred Gram matrix of the prepared numeric columns, long form."""
-    df = _prep_persisted(spark, sf)
-    return stats.gram_long(df, numeric_model_columns(df, wide_only=False))
+    """H2: uncentred Gram matrix of the prepared columns, long form, nine significant digits."""
+    v = F.col("value")
+    power = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(v))))
+    rounded_value = F.when(F.abs(v) < 1e-6, 0.0).otherwise(F.round(v / power, 8) * power)
+    return stats.gram_long(prepared(spark, sf), _GRAM_VARS).withColumn("value", rounded_value)
 
 
 @register("logit_significance")
@@ -451,14 +641,13 @@ def q_tree(spark, sf):
 
 
 def _sweep_runs(spark, sf):
-    """Logistic-regression and naive-Bayes runs under all four configurations, shared by J17 queries."""
-    return _shared(spark, sf, "sweep_lr_nb",
-                   lambda: presets.sweep(joined(spark, sf), models=("logistic_regression", "naive_bayes")).cache())
+    """All seven model types under all four configurations, shared by the J17 queries."""
+    return _shared(spark, sf, "sweep", lambda: presets.sweep(joined(spark, sf)).cache())
 
 
 @register("model_comparison_grid")
 def q_grid(spark, sf):
-    """J17, D-J5, G6: test-AUC grid configuration x model over a logistic/naive-Bayes sweep."""
+    """J17, D-J5, G6: J19: test-AUC grid of all 7 model types x 4 configurations."""
     return presets.metric_grid(_sweep_runs(spark, sf), "test_auc")
 
 
@@ -468,6 +657,28 @@ def q_comparison(spark, sf):
     return presets.comparison_table(_sweep_runs(spark, sf))
 
 
+@register("run_log_latest", """
+SELECT configuration, model, model_type, run_id, run_ts, n, mean_price FROM (
+  SELECT o_orderpriority AS configuration, o_orderstatus AS model, o_orderstatus AS model_type,
+         sha256(o_orderpriority || '|' || o_orderstatus || '|' || CAST(year(o_orderdate) AS VARCHAR)) AS run_id,
+         CAST(year(o_orderdate) // 3 AS DOUBLE) AS run_ts, CAST(count(*) AS BIGINT) AS n, """ + R("avg(o_totalprice)", 4) + """ AS mean_price
+  FROM orders GROUP BY o_orderpriority, o_orderstatus, year(o_orderdate)) t
+QUALIFY row_number() OVER (PARTITION BY configuration, model ORDER BY run_ts DESC, run_id DESC) = 1""")
+def q_run_log(spark, sf):
+    """A run log (here yearly order summaries as runs) written twice, read back, latest run per pair."""
+    year = F.year("o_orderdate")
+    runs = (spark.read.parquet(f"{sf}/orders.parquet")
+            .groupBy(F.col("o_orderpriority").alias("configuration"), F.col("o_orderstatus").alias("model_type"), year.alias("y"))
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n"), F.avg("o_totalprice").alias("mean_price"))
+            .withColumns({"model": F.col("model_type"), "run_ts": F.floor(F.col("y") / 3).cast("double"),
+                          "run_id": F.sha2(F.concat_ws("|", "configuration", "model_type", F.col("y").cast("string")), 256)}).drop("y"))
+    path = shared_folder(spark, "runs")
+    for _ in range(2):  # the second writing replaces the first
+        presets.append_runs(runs, path)
+    latest = presets.latest_runs(presets.read_runs(spark, path))
+    return rounded(latest.select("configuration", "model", "model_type", "run_id", "run_ts", "n", "mean_price"), {"mean_price": 4})
+
+
 @register("cluster_k_search")
 def q_k_search(spark, sf):
     """Inertia and silhouette for k = 2..10."""

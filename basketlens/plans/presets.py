@@ -19,10 +19,11 @@ from ..operators import quality
 from ..operators.binning import bin_numerical_variables
 from ..operators.campaign import join_customer_campaign
 from ..operators.features import customer_features
-from ..operators.modeling import (MODEL_TYPES, add_ratios, numeric_model_columns, preprocess_for_model,
-                                  run_model)
+from ..operators.modeling import (MODEL_TYPES, add_ratios, fit_and_score, numeric_model_columns, preprocess_for_model,
+                                  run_model, run_table)
 from ..operators.stats import dependent_columns, gram, logit_significance, vif_elimination
 from ..operators.typing import convert_campaign_data_types, convert_data_types
+from ..session import shared_folder
 
 CONFIGS = ("baseline", "recoded", "outlier_removed", "outlier_recoded_scaled")
 
@@ -37,6 +38,12 @@ class Prepared:
     significance: DataFrame
     outliers: DataFrame | None = None
     notes: list = field(default_factory=list)
+    cached: DataFrame | None = None
+
+    def release(self) -> None:
+        """Give up the cached rows; the tables can still be read, at the cost of computing them again."""
+        if self.cached is not None:
+            self.cached.unpersist()
 
     def table(self, response: str = "response") -> DataFrame:
         """The selected variables plus the response (J18's prepared table)."""
@@ -66,12 +73,12 @@ def prepare(joined: DataFrame, config: str = "baseline", response: str = "respon
     outliers = None
     if config in ("outlier_removed", "outlier_recoded_scaled"):
         df, outliers = quality.iqr_filter(df, numeric_model_columns(df, response), mode="sequential")
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept, significant, vif_df, vif_log, table, dropped = _select_variables(df, response)
     if model_type == "decision_tree_binned_after":
         df = bin_numerical_variables(df, response)
     notes = [f"dependent column removed before the logit: {c}" for c in dropped]
-    return Prepared(config, df, significant, vif_df, vif_log, table, outliers, notes)
+    return Prepared(config, df, significant, vif_df, vif_log, table, outliers, notes, cached)
 
 
 def run_configuration(joined: DataFrame, config: str, model_type: str, train_ratio: float = 0.7,
@@ -91,35 +98,43 @@ def sweep(joined: DataFrame, models: Sequence[str] = MODEL_TYPES, configs: Seque
           train_ratio: float = 0.7, response: str = "response", parallelism: int = 4) -> DataFrame:
     """Every model type under every configuration (J19); one metrics row per run.
 
-    Configurations run concurrently (each is a chain of small jobs); within a
-    configuration the prepared frame is shared by all model types except the
-    two binned decision trees, which need their own preparation.
+    Each run only fits and writes its scores (configuration, model_type, split, label, prediction, score)
+    to the shared folder; ONE keyed evaluation over that table then gives all metrics. Runs are chains of
+    small jobs, so configurations run concurrently. Within one, the prepared frame is shared by all model types
+    except the two binned decision trees, which need their own; it is released at the end.
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    folder = shared_folder(joined.sparkSession, "scores")
+
     def run_config(c):
-        shared, rows = {}, []
-        for m in models:
-            key = m if m in ("decision_tree_binned", "decision_tree_binned_after") else "_"
-            if key not in shared:
-                shared[key] = prepare(joined, c, response, m if key != "_" else None)
-            p = shared[key]
-            if p.variables:
-                rows.append(run_model(p.data, p.variables, response, c, m, train_ratio)[0])
-        return rows
+        shared, done = {}, []
+        try:
+            for m in models:
+                key = m if m in ("decision_tree_binned", "decision_tree_binned_after") else "_"
+                if key not in shared:
+                    shared[key] = prepare(joined, c, response, m if key != "_" else None)
+                p = shared[key]
+                if p.variables:
+                    scores, _, n = fit_and_score(p.data, p.variables, response, m, train_ratio)
+                    scores.write.parquet(f"{folder}/configuration={c}/model_type={m}")
+                    done.append((c, m, list(p.variables), n))
+        finally:
+            for p in shared.values():
+                p.release()
+        return done
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        per_config = list(pool.map(run_config, list(configs)))
-    out = None
-    for rows in per_config:
-        for row in rows:
-            out = row if out is None else out.unionByName(row)
-    return out
+        runs = [r for done in pool.map(run_config, list(configs)) for r in done]
+    if not runs:
+        raise ValueError("no configuration has significant variables")
+    schema = "split string, label double, prediction double, score double, configuration string, model_type string"
+    return run_table(joined.sparkSession.read.schema(schema).parquet(folder), runs)
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
-    """Latest run per (configuration, model)."""
-    w = Window.partitionBy("configuration", "model").orderBy(F.desc("run_ts"))
+    """Latest run per (configuration, model) (G6): the newest, and of equally new ones the largest run id."""
+    w = Window.partitionBy("configuration", "model").orderBy(F.desc("run_ts"), F.desc("run_id"))
     return runs.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
@@ -138,9 +153,22 @@ def comparison_table(runs: DataFrame, metrics=COMPARISON_METRICS) -> DataFrame:
     return latest_runs(runs).select("configuration", "model", F.inline(pairs))
 
 
+LOG_KEYS = ("configuration", "model_type", "run_id")
+
+
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Append metric rows to the runs table."""
-    runs.write.mode("append").parquet(path)
+    """Add metric rows to the run log (A7), a Parquet table with a folder per (configuration, model, run id).
+
+    The run id is a hash of the run's content, and only the folders written to are replaced, so a run that is
+    written again (a retried job, a second call) is in the log once.
+    """
+    runs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LOG_KEYS).parquet(path)
+
+
+def read_runs(spark, path: str) -> DataFrame:
+    """The run log as written by ``append_runs``."""
+    log = spark.read.option("mergeSchema", "false").parquet(path)
+    return log.withColumns({k: F.col(k).cast("string") for k in LOG_KEYS})
 
 
 def full_pipeline(raw_lines: DataFrame, raw_campaign: DataFrame, policies: dict | None = None,

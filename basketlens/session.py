@@ -7,6 +7,7 @@ operator; these helpers are for scripts, the bench and the tests.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +69,7 @@ def cut_lineage(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which all executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

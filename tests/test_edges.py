@@ -70,5 +70,5 @@ def test_estimator_params_override(spark):
     p = presets.prepare(joined(spark, SF_SMALL), "baseline")
     _, model = run_model(p.data, p.variables, "response", "baseline", "decision_tree", params={"maxDepth": 2})
     nodes = tree_nodes(model, p.variables, spark)
-    assert nodes.agg({"depth": "max"}).first()[0] <= 2
+    assert nodes.agg({"depth": "max"}).first()[0] <= 2 and nodes.count() == model.numNodes
     assert set(p.table().columns) == set(p.variables) | {"response"}

@@ -62,8 +62,9 @@ def test_quantiles_narrowing_path_matches_exact(spark, seed):
 def test_grouped_quantiles(spark):
     df = spark.createDataFrame([(g, float(v)) for g in ("a", "b") for v in range(1, 6 if g == "a" else 11)],
                                "g string, x double")
-    res = Q.grouped_quantiles(df, ["x"], ["g"], [0.5])
-    assert res[("x", "a")]["q"] == [3.0] and res[("x", "b")]["q"] == [5.5]
+    df = df.union(spark.createDataFrame([(None, 7.0), (None, None), ("c", None), ("c", float("nan"))], df.schema))
+    res = {(r["variable"], r["g"]): (r["n"], r["q"]) for r in Q.group_quantiles(df, ["x"], ["g"], [0.5, 1.0]).collect()}
+    assert res == {("x", "a"): (5, [3.0, 5.0]), ("x", "b"): (10, [5.5, 10.0]), ("x", None): (1, [7.0, 7.0])}
 
 
 def test_mode_lowest_on_ties(spark):
