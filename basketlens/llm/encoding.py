@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import compress
 
 import numpy as np
 
@@ -116,10 +117,22 @@ class Encoder:
         if len(self.memo) > MEMO_RUNS:
             self.memo, self.older = {}, self.memo
         cut = [self._cut(text) for text in texts]
-        forget = self._remember(set().union(*[units for units in cut if units]).difference(self.memo))
-        out = [self.whole(text) if units is None else b"".join(map(self.memo.__getitem__, units)) for text, units in zip(texts, cut, strict=True)]
+        # one look-up a unit: None marks what the memo lacks
+        known = [None if units is None else list(map(self.memo.get, units)) for units in cut]
+        new: set[str] = set()
+        for units, ids in zip(cut, known, strict=True):
+            if ids is not None and None in ids:
+                new.update(compress(units, [i is None for i in ids]))
+        forget, memo, out = self._remember(new), self.memo, []
+        for text, units, ids in zip(texts, cut, known, strict=True):
+            if ids is None:
+                out.append(self.whole(text))
+            elif None in ids:
+                out.append(b"".join([memo[u] if i is None else i for u, i in zip(units, ids, strict=True)]))
+            else:
+                out.append(b"".join(ids))
         for unit in forget:
-            del self.memo[unit]
+            del memo[unit]
         return out
 
 

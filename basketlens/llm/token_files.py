@@ -85,12 +85,16 @@ def encode_ids(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple
     bits = lengths[ids].astype(np.int64)
     end = np.cumsum(bits)
     begin = end - bits
-    value = codes[ids] << (32 - (begin & 7) - bits).astype(np.uint64)
-    size = int(end[-1] + 7) >> 3 if len(ids) else 0
-    out = np.zeros(size + 4)
-    for k in range(4):
-        out += np.bincount((begin >> 3) + k, weights=((value >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.float64), minlength=size + 4)[:size + 4]
-    return begin[::CHECKPOINT], out[:size].astype(np.uint8).tobytes()
+    if not len(ids):
+        return begin, b""
+    # a code of at most 24 bits lies in one or two words of 32; words ascend, so each is one run of sums
+    word = begin >> 5
+    value = codes[ids] << (64 - (begin & 31) - bits).astype(np.uint64)
+    starts = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1])
+    out = np.zeros(int(word[-1]) + 2, np.uint64)
+    out[word[starts]] = np.add.reduceat(value >> np.uint64(32), starts)
+    out[word[starts] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), starts)
+    return begin[::CHECKPOINT], out.astype(">u4").tobytes()[:int(end[-1] + 7) >> 3]
 
 
 class Decoder:
@@ -138,26 +142,34 @@ class Decoder:
 
 
 def _token_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Blocks of ids in ascending doc_id order, numbered within their part."""
+    """Blocks of ids in ascending doc_id order, numbered within their part, and for each
+    part a row without block that has the counts of its ids."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
                .repartitionByRange(partitions, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text"))
+    schema = f"part int, block bigint, before bigint, n_ids bigint, doc_ids array<{kind}>, doc_tokens array<bigint>, ids binary, found array<bigint>, times array<bigint>"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         part, number, before, size = TaskContext.get().partitionId(), 0, 0, 0
         keys: list = []
         held: list[bytes] = []
+        total, longs = np.zeros(0, np.int64), pa.list_(pa.int64())
+
+        def row(block, n, keys, sizes, ids, found, times) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([block], pa.int64()), pa.array([before], pa.int64()), pa.array([n], pa.int64()), pa.array([keys], pa.list_(key_type)),
+                 pa.array([sizes], longs), pa.array([ids], pa.binary()), pa.array([found], longs), pa.array([times], longs)],
+                names=["part", "block", "before", "n_ids", "doc_ids", "doc_tokens", "ids", "found", "times"])
 
         def block() -> pa.RecordBatch:
-            sizes = [len(x) // 4 for x in held]
+            nonlocal total
             ids = np.frombuffer(b"".join(held), "<u4")
-            planes = ids.view(np.uint8).reshape(-1, 4).T.tobytes()  # bytes of equal weight together compress better
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int64()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()),
-                 pa.array([keys]).cast(pa.list_(key_type)), pa.array([sizes], pa.list_(pa.int64())), pa.array([zlib.compress(planes, 1)], pa.binary())],
-                names=["part", "block", "before", "n_ids", "doc_ids", "doc_tokens", "ids"])
+            found = np.bincount(ids)
+            total, found = (total, found) if len(total) >= len(found) else (found, total)
+            total[:len(found)] += found
+            return row(number, len(ids), keys, [len(x) // 4 for x in held], _narrow(ids), None, None)
 
         for whole in batches:
             key_type = whole.schema.field(0).type
@@ -174,12 +186,20 @@ def _token_blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                         keys, held = [], []
         if held:
             yield block()
+        if total.any():
+            ids = np.flatnonzero(total)
+            yield row(None, 0, None, None, None, ids, total[ids])
+
+    return ordered.mapInArrow(blocks, schema)
+
 
-    return ordered.mapInArrow(blocks, f"part int, block bigint, before bigint, n_ids bigint, doc_ids array<{kind}>, doc_tokens array<bigint>, ids binary")
+def _narrow(ids: np.ndarray) -> bytes:
+    """Ids in two bytes each if all fit, else in four."""
+    return ids.astype("<u2").tobytes() if int(ids.max(initial=0)) < 1 << 16 else ids.tobytes()
 
 
 def _ids(packed: bytes, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, n).T).view("<u4").reshape(-1)
+    return np.frombuffer(packed, "<u2" if len(packed) == 2 * n else "<u4").astype(np.int64)
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0) -> None:
@@ -187,24 +207,15 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
 
     Documents ascend by doc_id (NULL first); repeated ids by a hash of their text.
     A NULL or empty text is its end id alone. Only doc_id and text are read. The
-    encoded blocks are kept in the shared folder between counting and coding. The
-    driver sees the counts of ids and of parts only; both are bounded, by the
-    vocabulary and by spark.sql.shuffle.partitions.
+    encoded blocks are kept in the shared folder between counting and coding; ids are
+    counted as they are made. The driver sees the counts of ids and of parts only; both
+    are bounded, by the vocabulary and by spark.sql.shuffle.partitions.
     """
     spark = docs.sparkSession
-    blocks = written(_token_blocks(docs, tokenizer, end_id), "token_blocks")
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for n, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.bincount(_ids(packed.as_py(), n))
-                total, found = (total, found) if len(total) >= len(found) else (found, total)
-                total[:len(found)] += found
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
-
-    totals = blocks.select("n_ids", "ids").mapInArrow(counted, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    kept = written(_token_blocks(docs, tokenizer, end_id), "token_blocks")
+    blocks = kept.where("block IS NOT NULL").drop("found", "times")
+    totals = (kept.where("block IS NULL").select(F.explode(F.arrays_zip("found", "times")).alias("z"))
+              .groupBy(F.col("z.found").alias("id")).agg(F.sum("z.times").alias("n")).collect())
     counts = np.zeros(max((r["id"] for r in totals), default=-1) + 1, np.int64)
     for r in totals:
         counts[r["id"]] = r["n"]
