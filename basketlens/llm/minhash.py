@@ -48,8 +48,9 @@ SEED = 20_240_117
 #: Coordinates that must agree before sets are compared in step 3; a pair with
 #: similarity 0.75 falls below with probability 3e-7 (binomial, 144 trials).
 AGREE = 82
-#: Members of a block of a large bucket.
+#: Members and shingles of a block of a large bucket, on average.
 BLOCK_ROWS = 1024
+BLOCK_SHINGLES = 1_000_000
 #: Shingles whose signature slices are held at once.
 SHINGLES_AT_ONCE = 4096
 #: Sets of hubs that a worker remembers while confirming.
@@ -162,29 +163,38 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint").distinct()
 
 
-def candidates(group: pa.Table) -> Iterator[tuple[int, int]]:
-    """Rows of one task of a bucket that step 3 compares, likeliest first."""
-    rep, comp, n, side = (group.column(c).to_numpy() for c in ("rep", "component", "n", "side"))
-    order = np.lexsort((rep, n))
-    rep, comp, n, side = rep[order], comp[order], n[order], side[order]
-    sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(rep), COORDINATES)[order]
-    bands = np.array(group.column("bands").to_pylist(), np.int64)[order]
-    band, across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
-    found = []
-    for x in range(len(rep) - 1):
+class Bucket:
+    """Rows of one task of a bucket, by set size, and the components they are in so far."""
+
+    def __init__(self, group: pa.Table):
+        rep, comp, n, side = (group.column(c).to_numpy() for c in ("rep", "component", "n", "side"))
+        self.order = np.lexsort((rep, n))
+        self.rep, self.label, self.n, self.side = rep[self.order], comp[self.order].copy(), n[self.order], side[self.order]
+        self.sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(rep), COORDINATES)[self.order]
+        self.bands = np.array(group.column("bands").to_pylist(), np.int64)[self.order]
+        self.band, self.across = group.column("band")[0].as_py(), group.column("i")[0].as_py() != group.column("j")[0].as_py()
+
+    def __len__(self) -> int:
+        return len(self.rep)
+
+    def partners(self, x: int) -> np.ndarray:
+        """Later rows that step 3 compares with row ``x``, likeliest first; none of its own component."""
         # sorted by size: partners end where the sizes differ too much
-        part = slice(x + 1, int(np.searchsorted(n, n[x] * 100 // PERCENT, side="right")))
-        may = (comp[part] != comp[x]) & (rep[part] != rep[x])
-        if across:
-            may &= side[part] != side[x]
+        part = slice(x + 1, int(np.searchsorted(self.n, self.n[x] * 100 // PERCENT, side="right")))
+        may = (self.label[part] != self.label[x]) & (self.rep[part] != self.rep[x])
+        if self.across:
+            may &= self.side[part] != self.side[x]
         at = np.flatnonzero(may) + x + 1
-        agree = np.count_nonzero(sig[at] == sig[x], axis=1)
+        agree = np.count_nonzero(self.sig[at] == self.sig[x], axis=1)
         at, agree = at[agree >= AGREE], agree[agree >= AGREE]
-        first = (bands[at] == bands[x]).argmax(axis=1) == band if len(at) else np.zeros(0, bool)
-        found += zip((-agree[first]).tolist(), [x] * int(first.sum()), at[first].tolist(), strict=True)
-    found.sort()
-    for _, x, y in found:
-        yield int(order[x]), int(order[y])
+        if len(at):
+            first = (self.bands[at] == self.bands[x]).argmax(axis=1) == self.band
+            at = at[first][np.argsort(-agree[first], kind="stable")]
+        return at
+
+    def join(self, x: int, y: int) -> None:
+        low, high = sorted((self.label[x], self.label[y]))
+        self.label[self.label == high] = low
 
 
 def _by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -213,19 +223,25 @@ def _links_across(members: DataFrame, classes: DataFrame, labels: DataFrame, tex
     """Step 3: confirmed links (a, b) between components, enough to join them."""
     own = members.select("bucket", "band", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
     own = own.withColumn("component", F.coalesce("component", "rep"))
-    parts = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
+    own = own.join(classes.select("rep", "n"), "rep")
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     undecided = (own.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), parts.alias("parts"))
                  .where("lo < hi").select("bucket", "parts"))
     rows = own.join(undecided, "bucket").withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least("side", o).alias("i"), F.greatest("side", o).alias("j")))
     rows = rows.withColumn("meets", F.explode(meets)).select("bucket", "meets.i", "meets.j", "band", "side", "rep", "component")
-    sketched = rows.join(classes.select("rep", "n", "signature", "bands"), "rep")
+    sketched = rows.join(classes.select("rep", "n", "signature", "bands"), "rep")  # n again: slim rows meet the sketches last
     columns = ["bucket", "i", "j", "band", "side", "rep", "component", "n", "signature", "bands"]
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _by_task(batches):
-            needed = sorted({x for pair in candidates(group) for x in pair})
-            yield from group.take(pa.array(needed, pa.int64())).combine_chunks().to_batches()
+            bucket = Bucket(group)
+            needed = np.zeros(len(bucket), bool)
+            for x in range(len(bucket) - 1):
+                at = bucket.partners(x)
+                needed[at] = True
+                needed[x] |= len(at) > 0
+            yield from group.take(pa.array(np.sort(bucket.order[needed]))).combine_chunks().to_batches()
 
     schema = sketched.select(*columns).schema
     needed = written(_in_tasks(sketched.select(*columns)).mapInArrow(wanted, schema), "needed")
@@ -233,21 +249,20 @@ def _links_across(members: DataFrame, classes: DataFrame, labels: DataFrame, tex
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _by_task(batches):
-            rep, comp = group.column("rep").to_pylist(), group.column("component").to_pylist()
-            sets = [shingle_set(t) for t in group.column("text").to_pylist()]
-            root: dict[int, int] = {}
+            bucket, texts_, sets = Bucket(group), group.column("text"), {}
 
-            def top(x: int, root: dict[int, int] = root) -> int:
-                while root.get(x, x) != x:
-                    x = root[x]
-                return x
+            def shingles(x: int, bucket: Bucket = bucket, texts_: pa.ChunkedArray = texts_, sets: dict = sets) -> np.ndarray:
+                if x not in sets:
+                    sets[x] = shingle_set(texts_[int(bucket.order[x])].as_py())
+                return sets[x]
 
             out = []
-            for x, y in candidates(group):
-                cx, cy = top(comp[x]), top(comp[y])
-                if cx != cy and similar(sets[x], sets[y]):
-                    root[max(cx, cy)] = min(cx, cy)
-                    out.append((rep[x], rep[y]))
+            for x in range(len(bucket) - 1):
+                for y in bucket.partners(x).tolist():
+                    if bucket.label[x] != bucket.label[y] and similar(shingles(x), shingles(y)):
+                        out.append((int(bucket.rep[x]), int(bucket.rep[y])))
+                        bucket.join(x, y)
+                sets.pop(x, None)  # later rows are compared among themselves only
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return _in_tasks(with_text).mapInArrow(linked, "a bigint, b bigint")
@@ -264,8 +279,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     document with several texts. Only doc_id and text are read.
 
     Memory: a class takes one sketch of fixed size; a pair under confirmation two
-    texts; a task of step 3 two blocks of sketches and, for members with a candidate,
-    their sets.
+    texts; a task of step 3 two blocks, bounded by members and by shingles, of
+    sketches and, for members with a candidate, texts and sets. A very long text is
+    hashed as a whole and is a block of its own size. An empty table gives no rows.
     """
     sketches = written(_sketches(docs), "sketches")
     classes = written(
@@ -285,10 +301,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = written(components(links), "labels")
-    # classes that share a doc_id are one document
-    both = (sketches.where("doc_id is not null").join(classes.select("set_hash", "rep"), "set_hash").groupBy("doc_id")
-            .agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps")).where(F.size("reps") > 1))
-    same = written(both.select("a", F.explode("reps").alias("b")).where("a <> b").distinct(), "same_document")
+    # classes that share a doc_id are one document: each of its sets is joined with the smallest
+    several = (sketches.where("doc_id is not null and set_hash is not null").groupBy("doc_id")
+               .agg(F.min("set_hash").alias("least"), F.max("set_hash").alias("most")).where("least <> most").select("doc_id"))
+    sets = sketches.select("doc_id", "set_hash").join(several, "doc_id").join(classes.select("set_hash", "rep"), "set_hash").select("doc_id", "rep").distinct()
+    least = sets.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    same = written(sets.join(least, "doc_id").where("a <> rep").select("a", F.col("rep").alias("b")).distinct(), "same_document")
     if not same.isEmpty():
         labels = written(components(links.unionByName(same)), "labels")
 
@@ -306,13 +324,16 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id. Of the kept one's rows with equal shingle sets the one with the smallest
     text stays; its other texts stay too. Rows with a NULL doc_id stay.
     """
-    kept = near_duplicates(docs).where("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("__kept"), F.count("*").alias("__copies")).where("__kept").drop("__kept")
-    held = docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = F.struct(F.coalesce("text", F.lit("")).alias("__text"), F.struct(*columns).alias("__row"))
+    kept = (near_duplicates(docs).where("doc_id is not null").groupBy("doc_id")
+            .agg(F.bool_and("kept").alias("kept"), F.count("*").alias("copies")).where("kept").select(F.col("doc_id").alias("id"), "copies"))
+    # the row as one column, so that its own column names can't clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("key"))
+    held = rows.join(kept, F.col("key") == F.col("id"))
+
     @F.pandas_udf("binary")
     def set_key(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: xxhash.xxh3_128_digest(shingle_set(t).tobytes()))
 
-    repeated = held.where("__copies > 1").withColumn("__all", row).withColumn("__set", set_key(F.coalesce("text", F.lit("")))).groupBy("__id", "__set").agg(F.min_by("__all.__row", "__all.__text").alias("__row")).select("__row.*")
-    return held.where("__copies = 1").select(*columns).unionByName(repeated).unionByName(docs.where("doc_id is null"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    repeated = held.where("copies > 1").groupBy("id", set_key(text).alias("set")).agg(F.min_by("row", text).alias("row"))
+    return held.where("copies = 1").select("row").unionByName(repeated.select("row")).unionByName(rows.where("key is null").select("row")).select("row.*")
