@@ -78,8 +78,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     by default), ``copy`` (from 0) and ``shuffle_key``.
 
     Rows draw by their doc_id, or by their text where that is NULL; repeated rows
-    draw the same number. A NULL text has no characters. A column of ``docs`` called
-    ``copy`` or ``shuffle_key`` is replaced. The order is that of ``shuffle_key``:
+    draw the same number. A NULL text has no characters. An empty table gives no rows. A
+    column of ``docs`` called ``copy`` or ``shuffle_key``, in any case, is replaced. The order is that of ``shuffle_key``:
     partitions are ranges of it and sorted. A hot source is not gathered: the table
     of sources is broadcast if a count shows it to be small, else joined by shuffle
     with the split of skewed keys left to adaptive execution.
@@ -87,16 +87,21 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     rates = written(_with_distribution(source_rates(docs, weights, alpha, epochs)).select(F.col("source").alias("__source"), "draws", "cdf"), "rates")
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    kept = [c for c in columns or docs.columns if c not in ("copy", "shuffle_key")]
-    rows = docs.withColumn("__key", _document_key()).join(rates, F.col("source").eqNullSafe(F.col("__source")))
+    kept = [c for c in columns or docs.columns if c.lower() not in ("copy", "shuffle_key")]
+    # the row as one column, so that its own column names can't clash
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "source", _document_key().alias("key"))
+    rows = whole.join(rates, whole["source"].eqNullSafe(F.col("__source"))).select("row", "key", "draws", "cdf")
 
     def drawn(total: Column, j: Column) -> Column:
-        return total + F.size(F.filter("cdf", lambda c: c <= _uniform(F.lit(str(seed)), F.col("__key"), j.cast("string"))))
+        return total + F.size(F.filter("cdf", lambda c: c <= _uniform(F.lit(str(seed)), F.col("key"), j.cast("string"))))
 
     copies = F.aggregate(F.sequence(F.lit(0), F.col("draws") - 1), F.lit(0), drawn)
-    counted = rows.select(*[F.col(f"`{c}`") for c in kept], "__key", copies.alias("__copies")).where("__copies > 0")
-    copied = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
-    keyed = copied.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), "__key", F.col("copy").cast("string"))))
+    counted = rows.select("row", "key", copies.alias("copies")).where("copies > 0")
+    copied = counted.select("row", "key", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+    keyed = copied.select("row", "copy", F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("order"), "key", F.col("copy").cast("string"))).alias("shuffle_key"))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (keyed.select(*[F.col(f"`{c}`") for c in kept], "copy", "shuffle_key")
-            .repartitionByRange(partitions, "shuffle_key").sortWithinPartitions("shuffle_key"))
+    # the key is uniform: equal ranges of its first digits need no sample of the rows
+    place = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("bigint")
+    part = F.floor(place * partitions / (1 << 32)).cast("int")
+    return (keyed.repartitionById(partitions, part).sortWithinPartitions("shuffle_key")
+            .select(*[F.col(f"row.`{c}`") for c in kept], "copy", "shuffle_key"))
