@@ -184,7 +184,7 @@ def _spans(kind_rank: int, sums: Column, lengths: Column, sizes: Column, shortes
 
 
 def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """``docs`` with ``__spans``: an array of (start, rank, end) of all secrets of
+    """(row, spans): each row of ``docs`` as a struct, and (start, rank, end) of all secrets of
     the whole text, by start, then by the rule's rank in ``rules``; code points, end
     exclusive. Matches of a rule are leftmost and do not overlap; a match whose
     measured part is too short is dropped after it has used up its text.
@@ -194,9 +194,11 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     only add candidates, since each candidate is verified on its own text. Every row
     keeps its columns.
     """
-    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")))
-    found = candidates(postings(keyed.select("__key", "text"), rules), rules)
-    rows = keyed.join(found.hint("shuffle_hash"), "__key", "left").withColumn("__whole", F.coalesce("text", F.lit("")))
+    # the row as one column, so that its own column names can't clash
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("__key")
+    found = candidates(postings(docs.select(key, "text"), rules), rules)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), key)
+    rows = keyed.join(found.hint("shuffle_hash"), "__key", "left").select("__row", "__kinds", F.coalesce("__row.text", F.lit("")).alias("__whole"))
     scans_fully = {r.kind for r in rules if not trigram_query(r.pattern)}
     none = F.array().cast("array<string>")
     rows = rows.select("*", *[
@@ -204,7 +206,7 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
                F.regexp_extract_all("__whole", F.lit(_searched(r)), F.lit(0))).otherwise(none).alias(f"__hits_{r.kind}") for r in rules])
     lengths = lambda values: F.transform(values, lambda x: F.length(x).cast("bigint"))
     some = lambda r, then: F.when(F.size(f"__hits_{r.kind}") > 0, then)
-    rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], *[c for r in rules for c in (
+    rows = rows.select("__row", *[c for r in rules for c in (
         lengths(F.col(f"__hits_{r.kind}")).alias(f"__lengths_{r.kind}"),
         some(r, lengths(F.split("__whole", _searched(r), -1))).alias(f"__gaps_{r.kind}"),
         (some(r, lengths(F.regexp_extract_all("__whole", F.lit(r.pattern), F.lit(r.group)))) if r.group
@@ -214,7 +216,7 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
             F.size(f"__lengths_{r.kind}") > 0,
             _starts(F.col(f"__gaps_{r.kind}"), F.zip_with(F.slice(f"__gaps_{r.kind}", 1, F.size(f"__lengths_{r.kind}")), F.col(f"__lengths_{r.kind}"), lambda g, h: g + h)))]])
     spans = [_spans(i, F.col(f"__sums_{r.kind}"), F.col(f"__lengths_{r.kind}"), F.col(f"__sizes_{r.kind}"), r.shortest) for i, r in enumerate(rules)]
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.array_sort(F.concat(*spans)).alias("__spans"))
+    return rows.select(F.col("__row").alias("row"), F.array_sort(F.concat(*spans)).alias("spans"))
 
 
 def _searched(rule: Rule) -> str:
@@ -240,27 +242,29 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(named, s["rank"] + 1), s["start"], s["end"])), ",")
 
     def count(rank: int) -> Column:
-        return F.size(F.filter("__spans", lambda s: s["rank"] == rank)).cast("bigint")
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("bigint")
 
-    base = F.filter("__spans", lambda s: s["rank"] < len(BASE_RULES))
-    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-                        F.sha2(written_out(base), 256).alias("base_sha256"), written_out(F.col("__spans")).alias("spans"))
+    base = F.filter("spans", lambda s: s["rank"] < len(BASE_RULES))
+    return found.select("row.doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(written_out(base), 256).alias("base_sha256"), written_out(F.col("spans")).alias("spans"))
 
 
 def mask_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mask: str = "<secret>") -> DataFrame:
     """``docs`` with every secret span of the text replaced by ``mask``; overlapping
     spans become one mask. A column ``n_chars`` gets the new length of a changed
     text. Texts without secrets, and all other columns, stay as they are."""
-    found = find_secrets(docs, rules)
+    found, text = find_secrets(docs, rules), F.col("row.text")
     state = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, s: Column) -> Column:
-        part = F.concat(F.substr(F.col("text"), (acc["pos"] + 1).cast("int"), (s["start"] - acc["pos"]).cast("int")), F.lit(mask))
+        part = F.concat(F.substr(text, (acc["pos"] + 1).cast("int"), (s["start"] - acc["pos"]).cast("int")), F.lit(mask))
         parts = F.when(s["start"] >= acc["pos"], F.concat(acc["parts"], F.array(part))).otherwise(acc["parts"])
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), parts.alias("parts"))
 
-    masked = F.aggregate("__spans", state, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(F.col("text"), (acc["pos"] + 1).cast("int"), F.length("text"))))
-    out = found.withColumn("text", F.when(F.size("__spans") > 0, masked).otherwise(F.col("text")))
+    masked = F.aggregate("spans", state, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(text, (acc["pos"] + 1).cast("int"), F.length(text))))
+    changed = F.size("spans") > 0
+    fields = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    fields["text"] = F.when(changed, masked).otherwise(text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        fields["n_chars"] = F.when(changed, F.length(masked).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return found.select(*[field.alias(c) for c, field in fields.items()])
