@@ -169,7 +169,7 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
     return res, search, k
 
 
-def ward_dendrogram(data: DataFrame, max_leaves: int | None = None, last: int = 10, seed: int = 42,
+def split_dendrogram(data: DataFrame, max_leaves: int | None = None, last: int = 10, seed: int = 42,
                     remove_outliers: bool = False) -> DataFrame:
     """Last ``last`` merges (step, left, right, height, size) of the bisecting K-means tree.
 

@@ -701,7 +701,7 @@ def q_clusters_iqr(spark, sf):
 @register("cluster_dendrogram")
 def q_dendro(spark, sf):
     """Last ten merges of the bisecting K-means tree, by Ward's distance."""
-    return clustering.ward_dendrogram(joined(spark, sf))
+    return clustering.split_dendrogram(joined(spark, sf))
 
 
 # ---------------------------------------------------------------------------

@@ -16,12 +16,13 @@ import os
 
 from pyspark.sql import DataFrame
 
-from ..operators import clustering, eda, quality
+from ..operators import clustering, eda, quality, stats
 from ..operators.campaign import response_rate
+from ..operators.modeling import feature_importances, fit_and_score, tree_nodes
 from ..operators.typing import convert_campaign_data_types, convert_data_types
 from ..sources import fixtures as fx
 from ..sources import io
-from ..sources.schemas import BIN_SOURCES
+from ..sources.schemas import BIN_SOURCES, CAMPAIGN_RAW, LINES_RAW
 from . import presets
 
 STEPS = ("features", "eda", "models", "clusters")
@@ -34,43 +35,75 @@ def _write(df: DataFrame, out: str, name: str) -> str:
 
 
 def run(spark, out: str, lines: DataFrame, campaign: DataFrame, steps=STEPS, models=None, configs=None,
-        train_ratio: float = 0.7, monthly_cutoff: str | None = None, id_policy: str = "delete") -> list[str]:
-    """Full pipeline, then the selected analyses; returns the written table paths."""
+        train_ratio: float = 0.7, monthly_cutoff: str | None = None, id_policy: str = "delete",
+        policies: dict | None = None) -> list[str]:
+    """Full pipeline, then the selected analyses; returns the written table paths.
+
+    ``policies`` maps columns to missing-value policies ('delete', 'default' or 'keep'; others are kept),
+    ``id_policy`` says what becomes of rows without identifier ('delete' or 'generate').
+    """
     written = []
-    joined = presets.full_pipeline(lines, campaign, id_policy=id_policy).cache()
+    joined = presets.full_pipeline(lines, campaign, policies, id_policy).cache()
     typed_lines, typed_campaign = convert_data_types(lines), convert_campaign_data_types(campaign)
+
+    def save(df: DataFrame, name: str) -> None:
+        written.append(_write(df, out, name))
+
     if "features" in steps:
-        written.append(_write(joined, out, "customer_campaign"))
-        written.append(_write(quality.missing_report(lines), out, "missing_report_lines"))
-        written.append(_write(quality.integrity_report(typed_lines, typed_campaign), out, "integrity_report"))
-        written.append(_write(response_rate(typed_campaign), out, "response_rate"))
+        save(joined, "customer_campaign")
+        save(quality.missing_report(lines), "missing_report_lines")
+        save(quality.integrity_report(typed_lines, typed_campaign), "integrity_report")
+        save(response_rate(typed_campaign), "response_rate")
     if "eda" in steps:
-        written.append(_write(eda.correlation_matrix(joined), out, "correlation"))
-        written.append(_write(eda.response_rate_table(joined), out, "response_rate_table"))
-        written.append(_write(eda.mean_median_by_response(joined), out, "mean_median_by_response"))
-        written.append(_write(eda.boxplot_summary(joined), out, "boxplots"))
-        written.append(_write(eda.bin_value_counts(joined, list(BIN_SOURCES)), out, "bin_counts"))
-        written.append(_write(eda.monthly_sales(typed_lines, monthly_cutoff), out, "monthly_sales"))
-        written.append(_write(eda.top_products(typed_lines, 5), out, "top_products"))
-        from ..operators import stats
         enc = eda.encode_for_correlation(joined)
-        pts = stats.qq_points(enc, [c for c in enc.columns if c != "response"])
-        written.append(_write(stats.qq_fit(pts), out, "qq_fit"))
+        variables = [c for c in enc.columns if c != "response"]
+        save(eda.correlation_matrix(joined), "correlation")
+        save(eda.response_rate_table(joined), "response_rate_table")
+        save(eda.mean_median_by_response(joined), "mean_median_by_response")
+        save(eda.group_response_counts(joined, "loyalty"), "loyalty_response_counts")
+        save(eda.stacked_histogram(joined, eda.BAR_CHART_FEATURES), "histograms")
+        for suffix, outliers in (("", True), ("_without_outliers", False)):
+            save(eda.boxplot_summary(joined, outliers_included=outliers), f"boxplots{suffix}")
+            save(stats.qq_fit(stats.qq_points(enc, variables, outliers_included=outliers)), f"qq_fit{suffix}")
+        save(eda.bin_value_counts(joined, list(BIN_SOURCES)), "bin_counts")
+        save(eda.monthly_sales(typed_lines, monthly_cutoff), "monthly_sales")
+        save(eda.top_products(typed_lines, 5), "top_products")
     if "models" in steps:
-        runs = presets.sweep(joined, models or presets.MODEL_TYPES, configs or presets.CONFIGS, train_ratio)
-        if runs is not None:
-            presets.append_runs(runs, os.path.join(out, "runs"))
-            written.append(os.path.join(out, "runs"))
-            written.append(_write(presets.metric_grid(runs, "test_auc"), out, "grid_test_auc"))
+        for config in configs or presets.CONFIGS:
+            prepared = presets.prepare(joined, config)
+            save(prepared.vif_log, f"vif_log_{config}")
+            save(prepared.significance, f"significance_{config}")
+            if prepared.outliers is not None:
+                save(prepared.outliers, f"outliers_{config}")
+            if config == "baseline" and prepared.variables:
+                _, _, forest = _fit(prepared, "random_forest", train_ratio)
+                save(feature_importances(forest, prepared.variables, spark), "random_forest_importances")
+                _, _, tree = _fit(prepared, "decision_tree", train_ratio)
+                save(tree_nodes(tree, prepared.variables, spark), "decision_tree_nodes")
+            prepared.release()
+        runs = presets.sweep(joined, models or presets.MODEL_TYPES, configs or presets.CONFIGS, train_ratio).cache()
+        presets.append_runs(runs, os.path.join(out, "runs"))
+        written.append(os.path.join(out, "runs"))
+        save(presets.comparison_table(runs), "model_comparison")
+        for metric in presets.COMPARISON_METRICS:
+            save(presets.metric_grid(runs, metric), f"grid_{metric}")
+        runs.unpersist()
     if "clusters" in steps:
-        assign, search, _ = clustering.cluster_analysis(joined)
-        written.append(_write(assign, out, "clusters"))
-        if search is not None:
-            written.append(_write(search, out, "cluster_k_search"))
-        written.append(_write(clustering.ward_dendrogram(joined), out, "dendrogram"))
+        for suffix, drop in (("", False), ("_outlier_removed", True)):
+            assign, search, _ = clustering.cluster_analysis(joined, remove_outliers=drop)
+            save(assign, f"clusters{suffix}")
+            if search is not None:
+                save(search, f"cluster_k_search{suffix}")
+        save(clustering.split_dendrogram(joined), "dendrogram")
+    joined.unpersist()
     return written
 
 
+def _fit(prepared, model_type: str, train_ratio: float):
+    scores, model, n = fit_and_score(prepared.data, prepared.variables, "response", model_type, train_ratio)
+    return scores, n, model
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     ap.add_argument("--lines", help="retail lines CSV (header)")
@@ -82,6 +115,9 @@ def main(argv=None) -> None:
     ap.add_argument("--configs", default=None, help="comma list of configurations")
     ap.add_argument("--train-ratio", type=float, default=0.7)
     ap.add_argument("--monthly-cutoff", default=None)
+    ap.add_argument("--policy", action="append", default=[], metavar="COLUMN=POLICY",
+                    help="missing values of a column: delete, default or keep (repeatable; default keep)")
+    ap.add_argument("--id-policy", default="delete", choices=("delete", "generate"), help="rows without an identifier")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     from ..session import get_spark
@@ -89,10 +125,14 @@ def main(argv=None) -> None:
     if a.sf_dir:
         lines, campaign = fx.lines_dirty(spark, a.sf_dir), fx.campaign(spark, a.sf_dir)
     else:
-        lines, campaign = io.read_lines_csv(spark, a.lines), io.read_campaign_csv(spark, a.campaign)
+        lines, bad_lines = io.read_csv_quarantine(spark, a.lines, LINES_RAW)
+        campaign, bad_campaign = io.read_csv_quarantine(spark, a.campaign, CAMPAIGN_RAW, ("n_comp", "n_communications"))
+        for df, name in ((bad_lines, "rejected_lines"), (bad_campaign, "rejected_campaign")):
+            print(_write(df, a.out, name))
+    policies = dict(p.split("=", 1) for p in a.policy)
     split = lambda s: [x for x in s.split(",") if x] if s else None
     for p in run(spark, a.out, lines, campaign, split(a.steps), split(a.models), split(a.configs),
-                 a.train_ratio, a.monthly_cutoff):
+                 a.train_ratio, a.monthly_cutoff, a.id_policy, policies or None):
         print(p)
 
 

@@ -35,11 +35,11 @@ def test_vif_elimination_drops_worst_and_dependent_copy(spark):
     assert len(kept) == 3 - log.count()
 
 
-def test_ward_dendrogram_orders_heights(spark):
+def test_split_dendrogram_orders_heights(spark):
     rng = np.random.default_rng(2)
     pts = np.vstack([rng.normal(0, 0.1, (40, 2)), rng.normal(5, 0.1, (40, 2))])
     df = _frame(spark, pts, ["x", "y"])
-    d = clustering.ward_dendrogram(df, max_leaves=16, last=5).collect()
+    d = clustering.split_dendrogram(df, max_leaves=16, last=5).collect()
     heights = [r.height for r in d]
     assert heights == sorted(heights) and d[-1].size == 80
 
@@ -56,7 +56,7 @@ def test_random_fourier_features_approximate_rbf_kernel(spark):
             assert abs(z[i] @ z[j] - want) < 0.05
 
 
-def test_ward_cut_matches_bruteforce_groups(spark):
+def test_bisecting_labels_match_bruteforce_groups(spark):
     rng = np.random.default_rng(4)
     pts = np.vstack([rng.normal(c, 0.05, (30, 2)) for c in (0.0, 3.0, 9.0)])
     df = spark.createDataFrame([(str(i), float(a), float(b)) for i, (a, b) in enumerate(pts)],
@@ -93,5 +93,5 @@ def test_hierarchical_labels_and_merges_use_all_rows(spark):
         want = max(ward, height.get(m.left, 0), height.get(m.right, 0))
         assert abs(m.height - want) < 1e-9 and m.size == len(a) + len(b)
         member[7 + m.step], height[7 + m.step] = [*a, *b], want  # 8 leaves + step - 1
-    last = clustering.ward_dendrogram(df, last=3).collect()
+    last = clustering.split_dendrogram(df, last=3).collect()
     assert [(m.size, round(m.height, 9)) for m in last] == [(m.size, round(m.height, 9)) for m in merges[-3:]]
