@@ -38,12 +38,12 @@ class Prepared:
     significance: DataFrame
     outliers: DataFrame | None = None
     notes: list = field(default_factory=list)
-    cached: DataFrame | None = None
+    cached: list = field(default_factory=list)
 
     def release(self) -> None:
         """Give up the cached rows; the tables can still be read, at the cost of computing them again."""
-        if self.cached is not None:
-            self.cached.unpersist()
+        for df in self.cached:
+            df.unpersist()
 
     def table(self, response: str = "response") -> DataFrame:
         """The selected variables plus the response (J18's prepared table)."""
@@ -70,15 +70,18 @@ def prepare(joined: DataFrame, config: str = "baseline", response: str = "respon
         df = bin_numerical_variables(df, response)
     if config in ("recoded", "outlier_recoded_scaled"):
         df = add_ratios(df)
-    outliers = None
+    outliers, unfiltered = None, None
     if config in ("outlier_removed", "outlier_recoded_scaled"):
+        # every step of the filter reads its input again
+        df = unfiltered = df.persist(StorageLevel.MEMORY_AND_DISK)
         df, outliers = quality.iqr_filter(df, numeric_model_columns(df, response), mode="sequential")
     df = cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     kept, significant, vif_df, vif_log, table, dropped = _select_variables(df, response)
     if model_type == "decision_tree_binned_after":
         df = bin_numerical_variables(df, response)
     notes = [f"dependent column removed before the logit: {c}" for c in dropped]
-    return Prepared(config, df, significant, vif_df, vif_log, table, outliers, notes, cached)
+    return Prepared(config, df, significant, vif_df, vif_log, table, outliers, notes,
+                    [c for c in (cached, unfiltered) if c is not None])
 
 
 def run_configuration(joined: DataFrame, config: str, model_type: str, train_ratio: float = 0.7,
