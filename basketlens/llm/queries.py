@@ -16,6 +16,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Sequences of operator 9: document count and attention cost take part in the choice of bins.
+PACKING = packing.Capacity(weights=(1.0, 0.3, 0.5))
+
+
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -50,7 +54,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, PACKING)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

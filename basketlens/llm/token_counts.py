@@ -131,8 +131,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text", key: str
     longest pieces of ``vocabulary``, a byte-level tokenizer file that every
     executor has at the same path. All 256 bytes are pieces there, so each word
     has a split. NULL and empty texts have no words and no tokens. Repeated rows
-    and NULL keys stay rows of their own; other columns are not read. Nothing is
-    shuffled.
+    and NULL keys stay rows of their own; other columns are not read; an empty table
+    gives no rows. Nothing is shuffled. A very long text is split whole; the memory it
+    takes is in proportion to the text.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -208,13 +208,21 @@ def with_score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Fit on ``labels`` and score every text: doc_id, held_out, score, predicted."""
+    """Fit on ``labels`` and score every text: doc_id, held_out, score, predicted.
+
+    One row per row: repeated rows score alike, NULL and empty texts as a text without
+    features, a NULL doc_id is not held out. Without labels of both classes every text has the
+    smoothed share of the one there is (0.5 without any). Very long texts are scored whole,
+    one at a time with others up to CHARS_AT_ONCE; memory is in proportion to the text. Other
+    columns are not read; an empty table gives no rows.
+    """
     model = fit(docs, labels)
     scored = with_score(docs.select("doc_id", "text"), model, threshold)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``threshold``, with their own columns."""
+    """The rows of ``docs`` whose text scores below ``threshold``, with their own columns, whatever
+    these are called. See ``score_documents`` for NULLs, repeated rows and empty tables."""
     scored = with_score(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", "text"), fit(docs, labels), threshold)
     return scored.where("predicted = 0").select("__row.*")

@@ -166,7 +166,8 @@ def filter_urls(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, s
     NULL urls and urls without ``://`` have an empty host and path, so no rule
     fits. Hosts keep ports and user parts as they are. Columns of ``pages`` that
     are called like a result column are replaced; repeated rows stay; an empty
-    table gives an empty result. Nothing is shuffled.
+    table gives an empty result. Nothing is shuffled. A very long url is matched whole;
+    the urls of a batch step together, so it takes as many steps as it has characters.
     """
     automaton = compile_rules(rules)
 
