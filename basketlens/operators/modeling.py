@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import day_diff, finite_or_null
-from ..session import cut_lineage, shared_folder
+from ..session import cut_lineage, fit_partitions, shared_folder
 from .binning import UNKNOWN
 from .eda import BIN_LEVELS
 from .evaluation import evaluate_by
@@ -44,6 +44,9 @@ MODEL_NAMES = {
     "decision_tree_binned_after": "Decision Tree (Binned After)", "decision_tree_exact": "Decision Tree (Exact Splits)",
 }
 TREE_MAX_DEPTH = 30  # Spark's limit; the reference grows trees without a depth limit
+# Types whose fit is a long chain of cheap passes, and the fewest partitions these run on.
+LINEAR_TYPES = ("logistic_regression", "svm", "svm_linear")
+LINEAR_PARTITIONS = 4
 # Share of the training rows that a leaf holds at least, so that a tree's size doesn't grow with the rows.
 MIN_LEAF_SHARE = 0.005
 
@@ -309,8 +312,13 @@ def fit_and_score(data: DataFrame, features: Sequence[str], response: str, model
         add, inputs = rbf_features(base.filter("split = 'train'"), feats, seed=seed)
         base = add(base)
     base = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep").transform(base)
-    train = base.filter("split = 'train'").drop("split").cache()
+    train = base.filter("split = 'train'").drop("split", *(set(inputs) - set(feats)))
     n_train = train.count()
+    # a step of a linear fit is one pass over a few numbers a row; a tree's is more work
+    linear = model_type in LINEAR_TYPES
+    train = fit_partitions(train, n_train, *([LINEAR_PARTITIONS] if linear else []))
+    # every job carries the plan of its rows: that of the Fourier features is long, so it ends here
+    train = (cut_lineage(train) if linear else train).cache()
     est = make_estimator(model_type, n_train, features=feats)
     if params:
         target = est.svc if isinstance(est, CalibratedSVM) else est

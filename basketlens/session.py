@@ -6,6 +6,7 @@ operator; these helpers are for scripts, the bench and the tests.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -70,6 +71,21 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+# Rows a partition of an iterative fit holds, and the fewest partitions it is cut down to.
+FIT_ROWS = 50_000
+FIT_PARTITIONS = 8
+
+
+def fit_partitions(df, rows: int, least: int = FIT_PARTITIONS, each: int = FIT_ROWS):
+    """``df`` (of ``rows`` rows) in no more partitions than an iterative fit needs.
+
+    Such a fit runs hundreds of jobs over one customer-level table. A job's cost and what it
+    sends to the driver grow with its tasks, whose number would otherwise be the shuffle partitions
+    of the lines that the table came from. No row moves, and few partitions stay as they are.
+    """
+    return df.coalesce(max(least, math.ceil(rows / each)))
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
