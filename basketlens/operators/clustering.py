@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import finite_or_null
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir, fit_partitions
 from .modeling import CATEGORICAL_INT_FIELDS, numeric_model_columns, standard_scale
 from .quality import iqr_filter
 
@@ -50,7 +50,11 @@ def choose_k(features: DataFrame, k_values: Sequence[int] = range(2, 11), seed:
     Silhouette is MLlib's squared-Euclidean variant (linear-time), not the
     O(n²) Euclidean one.
     """
-    return _search_k(features, k_values, seed)[0]
+    features = fit_partitions(features, features.count()).persist(StorageLevel.MEMORY_AND_DISK)  # every fit reads it
+    try:
+        return _search_k(features, k_values, seed)[0]
+    finally:
+        features.unpersist()
 
 
 def _search_k(features: DataFrame, k_values: Sequence[int], seed: int, parallelism: int = 4):
@@ -147,7 +151,7 @@ def cluster_analysis(data: DataFrame, remove_outliers: bool = False, k: int | No
     hierarchical_cluster, pc1, pc2), k-search table, k).
     """
     feats, cols = clustering_matrix(data, key=key, remove_outliers=remove_outliers)
-    feats = cut_lineage(feats).persist(StorageLevel.MEMORY_AND_DISK)  # many small jobs follow
+    feats = cut_lineage(fit_partitions(feats, feats.count())).persist(StorageLevel.MEMORY_AND_DISK)  # many small jobs follow
     search = None
     if k is None:
         # the search already fitted KMeans(k, seed) for every k: reuse the chosen model
@@ -177,7 +181,7 @@ def split_dendrogram(data: DataFrame, max_leaves: int | None = None, last: int =
     ``last`` levels; the default 2^last leaves split all of these.
     """
     feats, _ = clustering_matrix(data, key=None, remove_outliers=remove_outliers)
-    feats = cut_lineage(feats).persist(StorageLevel.MEMORY_AND_DISK)  # many small jobs follow
+    feats = cut_lineage(fit_partitions(feats, feats.count())).persist(StorageLevel.MEMORY_AND_DISK)  # many small jobs follow
     model, labelled = bisecting(feats, max_leaves or 2 ** last, seed)
     merges = split_table(labelled, bisecting_tree(model, data.sparkSession))
     return merges.orderBy(F.desc("step")).limit(last).orderBy("step")
