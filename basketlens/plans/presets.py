@@ -103,29 +103,36 @@ def sweep(joined: DataFrame, models: Sequence[str] = MODEL_TYPES, configs: Seque
 
     Each run only fits and writes its scores (configuration, model_type, split, label, prediction, score)
     to the shared folder; ONE keyed evaluation over that table then gives all metrics. Runs are chains of
-    small jobs, so configurations run concurrently. Within one, the prepared frame is shared by all model types
-    except the two binned decision trees, which need their own; it is released at the end.
+    small jobs, so configurations run concurrently, and so do the model types within one. The prepared frame is
+    shared by all model types except the tree that is binned first, which needs its own; the one binned
+    after bins the shared frame. Frames are released at the end.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     folder = shared_folder(joined.sparkSession, "scores")
 
     def run_config(c):
-        shared, done = {}, []
+        binned_first = "decision_tree_binned"
+        keys = list(dict.fromkeys(m if m == binned_first else None for m in models))
+        shared = {}
+
+        def run(m):
+            p = shared[m if m == binned_first else None]
+            if not p.variables:
+                return None
+            data = bin_numerical_variables(p.data, response) if m == "decision_tree_binned_after" else p.data
+            scores, _, n = fit_and_score(data, p.variables, response, m, train_ratio)
+            scores.write.parquet(f"{folder}/configuration={c}/model_type={m}")
+            return c, m, list(p.variables), n
+
         try:
-            for m in models:
-                key = m if m in ("decision_tree_binned", "decision_tree_binned_after") else "_"
-                if key not in shared:
-                    shared[key] = prepare(joined, c, response, m if key != "_" else None)
-                p = shared[key]
-                if p.variables:
-                    scores, _, n = fit_and_score(p.data, p.variables, response, m, train_ratio)
-                    scores.write.parquet(f"{folder}/configuration={c}/model_type={m}")
-                    done.append((c, m, list(p.variables), n))
+            with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(models)))) as each:
+                for key, p in zip(keys, each.map(lambda k: prepare(joined, c, response, k), keys)):
+                    shared[key] = p
+                return [r for r in each.map(run, models) if r]
         finally:
             for p in shared.values():
                 p.release()
-        return done
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         runs = [r for done in pool.map(run_config, list(configs)) for r in done]
