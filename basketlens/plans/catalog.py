@@ -76,7 +76,8 @@ def typed_campaign(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return _shared(spark, sf, "features", lambda: customer_features(fx.lines(spark, sf)))
+    return _shared(spark, sf, "features", lambda: customer_features(
+        fx.lines(spark, sf), partitions=fx.line_partitions(spark, sf)))
 
 
 def joined(spark: SparkSession, sf: str) -> DataFrame:
@@ -251,7 +252,7 @@ _CORE_COLS = [c for c in FEATURE_COLUMNS if c not in BIN_SOURCES]
     f"SELECT {S.select_list(_CORE_COLS, FEATURE_ROUND)} FROM feat0", ["lines"], S.customer_agg_ctes("lines")))
 def q_features_core(spark, sf):
     """Per-customer aggregates without bins."""
-    return rounded(customer_aggregates(fx.lines(spark, sf)), FEATURE_ROUND)
+    return rounded(customer_aggregates(fx.lines(spark, sf), partitions=fx.line_partitions(spark, sf)), FEATURE_ROUND)
 
 
 @register("customer_features", S.statement(
@@ -272,7 +273,7 @@ def q_features_repaired(spark, sf):
     lines = convert_data_types(fx.lines_dirty(spark, sf))
     lines = quality.process_missing_data(lines, default_policy="keep", id_policy="delete")
     lines = quality.drop_duplicates(quality.remove_negative_unit_price(lines))
-    return rounded(customer_features(lines), FEATURE_ROUND)
+    return rounded(customer_features(lines, partitions=fx.line_partitions(spark, sf)), FEATURE_ROUND)
 
 
 @register("customer_campaign_join", S.statement(

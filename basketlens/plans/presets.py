@@ -182,11 +182,12 @@ def read_runs(spark, path: str) -> DataFrame:
 
 
 def full_pipeline(raw_lines: DataFrame, raw_campaign: DataFrame, policies: dict | None = None,
-                  id_policy: str = "delete") -> DataFrame:
-    """Entry 1: type -> repair -> integrity -> features -> join (returns the joined table)."""
+                  id_policy: str = "delete", partitions: int | None = None) -> DataFrame:
+    """Entry 1: type -> repair -> integrity -> features -> join (returns the joined table).
+    ``partitions``: see ``customer_aggregates``."""
     lines = convert_data_types(raw_lines)
     campaign = convert_campaign_data_types(raw_campaign)
     lines = quality.process_missing_data(lines, policies, default_policy="keep", id_policy=id_policy)
     campaign = quality.process_missing_data(campaign, policies, default_policy="keep", id_policy=id_policy)
     lines, campaign = quality.perform_integrity_checks(lines, campaign)
-    return join_customer_campaign(customer_features(lines), campaign)
+    return join_customer_campaign(customer_features(lines, partitions=partitions), campaign)

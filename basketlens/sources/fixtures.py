@@ -10,9 +10,24 @@ DuckDB oracle, which only has the base tables registered.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Lines that one task of the line joins, or of an aggregation over them, is given.
+LINE_ROWS = 500_000
+
+
+def line_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions for the lines: one per ``LINE_ROWS`` (counted from the files' footers), the session's number at least.
+
+    Partitions sized by compressed bytes hold as many lines as these bytes unpack to, and sorting and
+    hashing them takes several times that; a count of rows bounds the memory of a task at any size.
+    """
+    rows = table(spark, sf_dir, "lineitem").count()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), math.ceil(rows / LINE_ROWS))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -29,13 +44,15 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint")
     # First line of a returned order is booked as a return (negative quantity).
     is_return = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-    # Join order: orders x customer x nation first (orders-sized), then the
-    # lineitem-sized side meets it on orderkey and part on partkey: two
-    # lineitem-sized shuffles instead of three. Inner joins, same result.
+    # Join order: orders x customer x nation first (orders-sized); lineitem meets
+    # part on partkey, then the orders on orderkey: two lineitem-sized shuffles
+    # instead of three (one where part is small enough to broadcast), and the lines
+    # of an invoice end in one partition of bounded rows. Inner joins, same result.
     oc = o.join(c.join(n, c.c_nationkey == n.n_nationkey), o.o_custkey == c.c_custkey)
+    lp = li.join(p, li.l_partkey == p.p_partkey).drop("p_partkey")
     return (
-        li.join(oc, li.l_orderkey == oc.o_orderkey)
-        .join(p, li.l_partkey == p.p_partkey)
+        lp.repartition(line_partitions(spark, sf_dir), "l_orderkey")
+        .join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col("l_orderkey").cast("string").alias("InvoiceNo"),
             F.col("l_partkey").cast("string").alias("StockCode"),
