@@ -37,9 +37,11 @@ def normalize_id(col, dtype: T.DataType | None = None) -> Column:
         return F.when(c == F.floor(c), c.cast("bigint").cast("string")).otherwise(c.cast("string"))
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return c.cast("string")
-    t = blank_to_null(F.trim(c.cast("string")))
-    # the regex only runs on texts with a dot (most IDs have none)
-    return F.when(t.contains("."), F.regexp_replace(t, r"\.0+$", "")).otherwise(t)
+    # the regex only runs on texts with a dot (most IDs have none); few references to the text, since filters on
+    # an ID are pushed below the joins with all of this expression in them
+    text = c.cast("string")
+    t = F.when(F.trim(text) != "", F.trim(text))
+    return F.when(text.contains("."), F.regexp_replace(t, r"\.0+$", "")).otherwise(t)
 
 
 def parse_timestamp(col, formats=INVOICE_DATE_FORMATS) -> Column:

@@ -134,6 +134,8 @@ def fill_missing_ids(df: DataFrame, col: str, seed: str = "basketlens", length:
 def handle_missing_identifiers(df: DataFrame, col: str, policy: str = "delete", **kw) -> DataFrame:
     """Identifier policy 'delete' | 'generate' (C7, C8); blanks count as missing."""
     if policy == "delete":
+        if isinstance(df.schema[col].dataType, T.StringType):
+            return df.filter(F.trim(F.col(col)) != "")  # what is left has no blanks to normalise
         return normalize_blanks(df, [col]).dropna(subset=[col])
     if policy == "generate":
         return fill_missing_ids(df, col, **kw)

@@ -1,10 +1,14 @@
-"""Tasks over the lines are bounded by rows."""
+"""Tasks over the lines are bounded by rows, and filters on typed identifiers stay small."""
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from basketlens.operators import quality
 from basketlens.operators.features import customer_aggregates
+from basketlens.operators.typing import convert_data_types
 from basketlens.sources import fixtures as fx
-from basketlens.sources.schemas import LINES
+from basketlens.sources.schemas import LINES, LINES_RAW
 from conftest import SF_SMALL
 
 
@@ -42,3 +46,16 @@ def test_aggregates_are_dealt_by_partitions(spark):
     e = out["e"]
     assert (e["num_orders"], e["product_diversity"], e["total_quantity"], e["total_spending"]) == (0, 0, 0, 0.0)
     assert e["first_purchase"] is None and e["return_rate"] == 0.0
+
+
+def test_identifier_filters_stay_small(spark):
+    ids = ["7", " 7.0 ", "a.00", ".0", "", "  ", None, "1.50"]
+    raw = spark.createDataFrame([(i, "s", "x", "1", "1/2/22 3:04", "1.0", "c", "X") for i in ids], LINES_RAW)
+    typed = convert_data_types(raw)
+    assert [r[0] for r in typed.select("InvoiceNo").collect()] == ["7", "7", "a", "", None, None, None, "1.50"]
+    kept = quality.process_missing_data(typed, default_policy="keep", id_policy="delete")
+    assert sorted(r[0] for r in kept.select("InvoiceNo").collect()) == ["1.50", "7", "7", "a"]
+    filters = [line for line in plan(kept).splitlines() if "Filter" in line]
+    assert filters and max(line.count("InvoiceNo") for line in filters) <= 8
+    unchanged = quality.handle_missing_identifiers(typed.withColumn("n", F.lit(3)), "n")
+    assert unchanged.count() == len(ids)
