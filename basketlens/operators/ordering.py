@@ -33,7 +33,8 @@ def _parts(df: DataFrame, n: int | None) -> int:
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum_cols: Sequence[str],
-                num_partitions: int | None = None, prefix: str = "cum_", few_keys: bool | None = None) -> DataFrame:
+                num_partitions: int | None = None, prefix: str = "cum_", few_keys: bool | None = None,
+                total_prefix: str | None = None) -> DataFrame:
     """Add inclusive running sums of ``sum_cols`` in ``order`` within each key.
 
     ``df`` should already have one row per distinct ordering value (collapse
@@ -41,6 +42,8 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum
     partitions' offsets are added. Tables of every size go the same way.
     The offsets (partitions x keys rows) are broadcast without keys, or where the
     caller knows the keys to be few; else the engine picks the join by size.
+    With ``num_partitions`` the sums within a range partition are taken over that many
+    partitions too, instead of the session's. ``total_prefix`` adds each key's total.
     Rows with a NULL key take no part.
     """
     keys = list(keys)
@@ -52,15 +55,18 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sum
     r = cut_lineage(df.repartitionByRange(p, *[F.col(k) for k in keys], *order)
                     .withColumn("__pid", F.spark_partition_id()))
     w = Window.partitionBy("__pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = r.withColumns({f"__l_{c}": F.sum(c).over(w) for c in sum_cols})
+    dealt = r.repartition(p, "__pid", *keys) if num_partitions else r
+    local = dealt.withColumns({f"__l_{c}": F.sum(c).over(w) for c in sum_cols})
     totals = r.groupBy("__pid", *keys).agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols])
     wo = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
     offsets = totals.select("__pid", *keys, *[F.coalesce(F.sum(f"__t_{c}").over(wo), F.lit(0)).alias(f"__o_{c}")
-                                              for c in sum_cols])
+                                              for c in sum_cols],
+                            *[F.sum(f"__t_{c}").over(whole).alias(f"{total_prefix}{c}") for c in sum_cols if total_prefix])
     small = not keys if few_keys is None else few_keys
     out = local.join(F.broadcast(offsets) if small else offsets, ["__pid", *keys])
     return out.select(*df.columns, *[(F.col(f"__l_{c}") + F.col(f"__o_{c}")).alias(f"{prefix}{c}")
-                                     for c in sum_cols])
+                                     for c in sum_cols], *[f"{total_prefix}{c}" for c in sum_cols if total_prefix])
 
 
 def value_ranks(long_df: DataFrame, key: str, value: str, num_partitions: int | None = None,

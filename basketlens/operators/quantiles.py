@@ -36,13 +36,9 @@ _KEY = "__qk"
 _VAL = "__qv"
 
 
-def long_values(df: DataFrame, columns: Sequence[str], key_exprs=None, carry: str | None = None) -> DataFrame:
-    """Unpivot ``columns`` into (key, value) rows; key = column name (optionally plus group labels).
-    With ``carry``, also the column name as ``variable`` and the column named."""
-    structs = []
-    for c in columns:
-        k = F.lit(c) if key_exprs is None else F.concat_ws("\u0001", F.lit(c), *key_exprs)
-        structs.append(F.struct(k.alias(_KEY), F.col(c).cast("double").alias(_VAL), *([F.lit(c).alias("variable")] if carry else [])))
+def long_values(df: DataFrame, columns: Sequence[str], carry: str | None = None) -> DataFrame:
+    """Unpivot ``columns`` into (key, value) rows; key = column name. With ``carry``, also the column named."""
+    structs = [F.struct(F.lit(c).alias(_KEY), F.col(c).cast("double").alias(_VAL)) for c in columns]
     # NaN and infinite values have no place in a distribution and would stop the narrowing
     finite = F.col(_VAL).isNotNull() & ~F.isnan(_VAL) & (F.abs(_VAL) != float("inf"))
     return df.select(*([carry] if carry else []), F.inline(F.array(*structs))).filter(finite)
@@ -259,26 +255,38 @@ def group_quantiles(df: DataFrame, columns: Sequence[str], group_cols: Sequence[
     the order statistics next to each target rank. Ranks, counts and targets stay in DataFrames: nothing per group
     reaches the driver, and a hot group's values are spread over range partitions. NULL group values form a group; NULL and
     non-finite values are left out, and groups without values don't appear.
+
+    ``num_partitions`` is for values that hardly repeat within a group, as many as the rows of the lines: the values are
+    dealt over that many partitions before they are counted, by their source partition too, so that a frequent value is
+    counted in many tasks and merged from their counts. Without it they are counted where they are read, and the counts
+    go to ``spark.sql.shuffle.partitions``.
     """
     from .ordering import prefix_sums  # ordering needs the session helpers only
     groups = list(group_cols)
+    long = long_values(df.withColumn("__g", F.struct(*[F.col(g) for g in groups])), columns, carry="__g").withColumnRenamed(_KEY, "variable")
+    value = ["variable", "__g", _VAL]
+    if num_partitions:
+        long = long.withColumn("__s", F.spark_partition_id()).repartition(num_partitions, *value, "__s")
+        counts = (long.groupBy(*value, "__s").agg(F.count(F.lit(1)).alias("c")).repartition(num_partitions, *value)
+                  .groupBy(*value).agg(F.sum("c").alias("c")))
+    else:
+        counts = long.groupBy(*value).agg(F.count(F.lit(1)).alias("c"))
     # one text that tells NULL from every value, since joins don't match NULL keys
-    text = [F.coalesce(F.concat(F.length(F.col(g).cast("string")).cast("string"), F.lit(":"), F.col(g).cast("string")), F.lit("-")) for g in groups]
-    long = long_values(df.withColumn("__g", F.struct(*[F.col(g) for g in groups])), columns, text, carry="__g")
-    counts = long.groupBy(_KEY, _VAL).agg(F.count(F.lit(1)).alias("c"), F.first("variable").alias("variable"), F.first("__g").alias("__g"))
-    cum = prefix_sums(counts, [_KEY], [F.col(_VAL)], ["c"], num_partitions)
-    n = cum.groupBy(_KEY).agg(F.sum("c").alias("n"))
-    ranked = cum.join(n, _KEY)
+    text = [F.col(f"__g.{g}").cast("string") for g in groups]
+    text = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in text]
+    counts = counts.withColumn(_KEY, F.concat_ws("\u0001", "variable", *text))
+    cum = prefix_sums(counts, [_KEY], [F.col(_VAL)], ["c"], num_partitions, total_prefix="n_")
+    n = F.col("n_c")
     picks, parts = [], []
     for i, prob in enumerate(probs):
-        at = (F.col("n") - 1) * F.lit(float(prob))
+        at = (n - 1) * F.lit(float(prob))
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             picks.append(F.max(F.when((F.col("cum_c") - F.col("c") <= rank) & (rank < F.col("cum_c")), F.col(_VAL))).alias(f"{side}{i}"))
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
         # the weighted mean that ``_interp`` takes
         parts.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi))
-    out = ranked.groupBy(_KEY).agg(F.first("variable").alias("variable"), F.first("__g").alias("__g"), F.first("n").alias("n"), *picks)
-    return out.select("variable", *[F.col(f"__g.{g}").alias(g) for g in groups], F.col("n").cast("bigint").alias("n"), F.array(*parts).alias("q"))
+    out = cum.groupBy("variable", "__g").agg(F.max("n_c").alias("n_c"), *picks)
+    return out.select("variable", *[F.col(f"__g.{g}").alias(g) for g in groups], n.cast("bigint").alias("n"), F.array(*parts).alias("q"))
 
 
 def rank_values(long_df: DataFrame, ranks_for_n, **kw) -> dict:

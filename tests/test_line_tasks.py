@@ -4,9 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from basketlens.operators import quality
+from basketlens.operators import ordering, quality
 from basketlens.operators.features import customer_aggregates
+from basketlens.operators.quantiles import group_quantiles
 from basketlens.operators.typing import convert_data_types
+from basketlens.plans import catalog
 from basketlens.sources import fixtures as fx
 from basketlens.sources.schemas import LINES, LINES_RAW
 from conftest import SF_SMALL
@@ -59,3 +61,27 @@ def test_identifier_filters_stay_small(spark):
     assert filters and max(line.count("InvoiceNo") for line in filters) <= 8
     unchanged = quality.handle_missing_identifiers(typed.withColumn("n", F.lit(3)), "n")
     assert unchanged.count() == len(ids)
+
+
+def test_grouped_values_are_dealt_by_partitions(spark, monkeypatch):
+    cut, kept = ordering.cut_lineage, []
+    monkeypatch.setattr(ordering, "cut_lineage", lambda df: (kept.append(plan(df)), cut(df))[1])
+    rows = [("a", 1.0, i) for i in range(60)] + [("b", float(i % 7), None) for i in range(40)] + [(None, 2.0, 3), (None, None, 4), ("c", float("nan"), None)]
+    df = spark.createDataFrame(rows, "g string, x double, y long").repartition(5)
+    few = group_quantiles(df, ["x", "y"], ["g"], [0.25, 0.5, 1.0])
+    many = group_quantiles(df, ["x", "y"], ["g"], [0.25, 0.5, 1.0], 13)
+    # values are counted and summed over the partitions asked for; a frequent value is counted in many tasks
+    assert "RepartitionByExpression" not in kept[0].split("RepartitionByExpression", 2)[-1]
+    assert kept[1].count("RepartitionByExpression [variable") == 2 and "__s" in kept[1] and kept[1].count(", 13") == 3
+    assert "RepartitionByExpression [__pid" in plan(many) and ", 13" in plan(many)
+    got = {(r["variable"], r["g"]): (r["n"], r["q"]) for r in many.collect()}
+    assert got == {(r["variable"], r["g"]): (r["n"], r["q"]) for r in few.collect()}
+    assert got == {("x", "a"): (60, [1.0, 1.0, 1.0]), ("x", "b"): (40, [1.0, 3.0, 6.0]), ("x", None): (1, [2.0, 2.0, 2.0]),
+                   ("y", "a"): (60, [14.75, 29.5, 59.0]), ("y", None): (2, [3.25, 3.5, 4.0])}
+
+
+def test_product_quantiles_follow_the_lines(spark, monkeypatch):
+    monkeypatch.setattr(fx, "LINE_ROWS", 500)
+    n = 2 * fx.line_partitions(spark, SF_SMALL)
+    out = catalog.QUERIES["product_line_quantiles"](spark, SF_SMALL)
+    assert n > 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) and f", {n}" in plan(out)
