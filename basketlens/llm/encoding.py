@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import compress
 
 import numpy as np
 
@@ -49,90 +48,147 @@ TOUCHING_OR_SPACED = re.compile(f"[.,](?:(?={MARK})|(?<=[^{LETTERS}{NUMBERS}][.,
 JOINING = tuple(" " + space for space in " \t\n\v\f\r\x85\xa0")
 
 
+#: The characters that stand for bytes in a byte-level file, with a blank for the line end between runs.
+OWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+AS_BYTES = np.arange(256, dtype="<u2")
+AS_BYTES[sorted(set(range(256)) - OWN)] = 256 + np.arange(256 - len(OWN))
+APART = AS_BYTES.copy()
+APART[ord("\n")] = ord(" ")
+
+
+def _spell(text: str, table: np.ndarray) -> str:
+    return table[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-16-le")
+
+
+class Memo(dict):
+    """Ids of units and runs. What an older generation has moves up when looked up; for what
+    neither has, the look-up gives an empty array that ``Encoder`` fills later."""
+
+    def __init__(self, older: dict[str, bytes]):
+        super().__init__()
+        self.older = older
+        self.waiting: dict[str, bytearray] = {}
+
+    def __missing__(self, unit: str) -> bytes | bytearray:
+        ids = self.older.get(unit)
+        if ids is not None:
+            self[unit] = ids
+            return ids
+        ids = self.waiting.get(unit)
+        if ids is None:
+            ids = self.waiting[unit] = bytearray()
+        return ids
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Characters one of which is in any text with an added token.
+        self.signs = {form for content in self.added for form in (content[0], content[0].upper())}
         vocabulary = self.tokenizer.get_vocab()
         self.byte_level = not any(piece.endswith("</w>") for piece in vocabulary)
         #: Ids that begin with a space in a byte-level file, or end a run in the other kind.
         self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
         self.edge[[i for piece, i in vocabulary.items() if (piece.startswith("Ġ") if self.byte_level else piece.endswith("</w>"))]] = True
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: The model of a byte-level file, for runs that are cut and spelled as bytes already.
+        self.model = self.spelled = None
+        before = self.tokenizer.pre_tokenizer
+        if self.byte_level and isinstance(before, ByteLevel) and not before.add_prefix_space and self.tokenizer.normalizer is None:
+            self.model = self.tokenizer.model
+            self.spelled = Tokenizer(self.model)
+            self.spelled.pre_tokenizer = WhitespaceSplit()
+        self.memo = Memo({})
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, runs: list[str]) -> dict[str, bytes]:
-        """Ids of new runs. Those that begin with a space, or letters in a word-end
-        file, are encoded together: ids in ``edge`` show where one ends."""
-        out: dict[str, bytes] = {}
-        together = [r for r in runs if (r[0] == " " and r[1:].isalpha() if self.byte_level else r.isalpha())]
-        for at in range(0, len(together), JOINED):
-            some = together[at:at + JOINED]
-            joined = ("" if self.byte_level else " ").join(some)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+    @property
+    def older(self) -> dict[str, bytes]:
+        return self.memo.older
+
+    def _words(self, runs) -> list[str]:
+        """Those that are one run each, which ``edge`` tells from its neighbours."""
+        if self.byte_level:
+            return [r for r in runs if r[:1] == " " and r[1:].isalpha()]
+        return [r for r in runs if r.isalpha()]
+
+    def _learn(self, words: list[str], rest: list[str]) -> None:
+        """Put the ids of new runs into the memo. Words are encoded together: ids in ``edge`` show where one ends."""
+        for at in range(0, len(words), JOINED):
+            some = words[at:at + JOINED]
+            if self.spelled is not None:
+                encoded = self.spelled.encode_batch_fast([_spell("\n".join(some), APART)], add_special_tokens=False)
+            else:
+                encoded = self.tokenizer.encode_batch_fast([("" if self.byte_level else " ").join(some)], add_special_tokens=False)
+            ids = np.array(encoded[0].ids, "<u4")
             cut = np.flatnonzero(self.edge[ids])
             cut = [*(cut * 4).tolist(), len(ids) * 4] if self.byte_level else [0, *((cut + 1) * 4).tolist()]
             if len(cut) == len(some) + 1:
                 raw = ids.tobytes()
-                out.update(zip(some, [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)], strict=True))
-        rest = [r for r in runs if r not in out]
-        encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
-        out.update((r, np.array(e.ids, "<u4").tobytes()) for r, e in zip(rest, encoded, strict=True))
-        return out
+                self.memo.update(zip(some, [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)], strict=True))
+            else:
+                rest = rest + some
+        if self.model is not None:
+            self.memo.update([(r, np.array([t.id for t in self.model.tokenize(_spell(r, AS_BYTES))], "<u4").tobytes()) for r in rest])
+        else:
+            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+            self.memo.update([(r, np.array(e.ids, "<u4").tobytes()) for r, e in zip(rest, encoded, strict=True)])
 
     def _cut(self, text: str) -> list[str] | None:
         """Units of a text, each of whole runs; None where it must be encoded as one."""
-        lower = text.lower()
-        if OTHER.search(text) or any(content in lower for content in self.added):
+        if OTHER.search(text):
             return None
+        if any(sign in text for sign in self.signs):
+            lower = text.lower()
+            if any(content in lower for content in self.added):
+                return None
         if not self.byte_level:
+            lower = text.lower()
             return WORD_END.findall(lower) if TOUCHING.search(lower) else lower.replace(".", " . ").replace(",", " , ").split()
         if text.endswith(" ") or any(pair in text for pair in JOINING) or TOUCHING_OR_SPACED.search(text):
             return BYTE_LEVEL.findall(text)
         return text.replace(" ", "\x1f ").replace(".", "\x1f.\x1f").replace(",", "\x1f,\x1f").split("\x1f")
 
-    def _remember(self, units: set[str]) -> list[str]:
-        """Put the ids of all ``units`` into the memo; gives those to forget after the batch."""
-        memo, older, cut = self.memo, self.older, (BYTE_LEVEL if self.byte_level else WORD_END).findall
-        back = units.intersection(older)
-        memo.update((u, older[u]) for u in back)
-        rows = {u: cut(u) for u in units.difference(back)}
-        runs = set().union(*rows.values()).difference(memo)
-        back = runs.intersection(older)
-        memo.update((r, older[r]) for r in back)
-        runs -= back
-        memo.update(self._learn(list(runs)))
-        memo.update((u, b"".join([memo[r] for r in row])) for u, row in rows.items() if len(row) != 1)
-        return [u for u in runs.union(rows) if len(u) > MEMO_RUN_CHARS]
+    def _remember(self) -> list[str]:
+        """Put the ids of the units that wait into the memo; gives those to forget after the batch."""
+        memo, cut, waiting = self.memo, (BYTE_LEVEL if self.byte_level else WORD_END).findall, self.memo.waiting
+        words = self._words(waiting)
+        known, rest = set(words), []
+        rows = {unit: cut(unit) for unit in waiting if unit not in known}
+        for run in set().union(*rows.values()).difference(known):
+            if run in memo.older:
+                memo[run] = memo.older[run]
+            elif run not in memo:
+                rest.append(run)
+        more = self._words(rest)
+        words += more
+        more = set(more)
+        rest = [r for r in rest if r not in more]
+        self._learn(words, rest)
+        memo.update([(u, b"".join([memo[r] for r in row])) for u, row in rows.items() if len(row) != 1])
+        for unit, ids in waiting.items():
+            ids += memo[unit]
+        memo.waiting = {}
+        return [u for u in {*words, *rest, *rows} if len(u) > MEMO_RUN_CHARS]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_RUNS:
-            self.memo, self.older = {}, self.memo
-        cut = [self._cut(text) for text in texts]
-        # one look-up a unit: None marks what the memo lacks
-        known = [None if units is None else list(map(self.memo.get, units)) for units in cut]
-        new: set[str] = set()
-        for units, ids in zip(cut, known, strict=True):
-            if ids is not None and None in ids:
-                new.update(compress(units, [i is None for i in ids]))
-        forget, memo, out = self._remember(new), self.memo, []
-        for text, units, ids in zip(texts, cut, known, strict=True):
-            if ids is None:
-                out.append(self.whole(text))
-            elif None in ids:
-                out.append(b"".join([memo[u] if i is None else i for u, i in zip(units, ids, strict=True)]))
-            else:
-                out.append(b"".join(ids))
+            older = self.memo
+            older.older = {}
+            self.memo = Memo(older)
+        # one look-up a unit: those not met before share an array that is filled afterwards
+        known = [None if units is None else list(map(self.memo.__getitem__, units)) for units in map(self._cut, texts)]
+        forget = self._remember()
+        out = [self.whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, known, strict=True)]
         for unit in forget:
-            del memo[unit]
+            del self.memo[unit]
         return out
 
 
