@@ -62,7 +62,7 @@ def _spell(text: str, table: np.ndarray) -> str:
 
 class Memo(dict):
     """Ids of units and runs. What an older generation has moves up when looked up; for what
-    neither has, the look-up gives an empty array that ``Encoder`` fills later."""
+    neither has, it keeps an empty array that ``Encoder`` fills and replaces in the same batch."""
 
     def __init__(self, older: dict[str, bytes]):
         super().__init__()
@@ -74,9 +74,7 @@ class Memo(dict):
         if ids is not None:
             self[unit] = ids
             return ids
-        ids = self.waiting.get(unit)
-        if ids is None:
-            ids = self.waiting[unit] = bytearray()
+        ids = self[unit] = self.waiting[unit] = bytearray()
         return ids
 
 
@@ -165,7 +163,7 @@ class Encoder:
         for run in set().union(*rows.values()).difference(known):
             if run in memo.older:
                 memo[run] = memo.older[run]
-            elif run not in memo:
+            elif run in waiting or run not in memo:
                 rest.append(run)
         more = self._words(rest)
         words += more
@@ -176,7 +174,7 @@ class Encoder:
         for unit, ids in waiting.items():
             ids += memo[unit]
         memo.waiting = {}
-        return [u for u in {*words, *rest, *rows} if len(u) > MEMO_RUN_CHARS]
+        return [u for some in (words, rest, rows) for u in some if len(u) > MEMO_RUN_CHARS]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_RUNS:
@@ -184,11 +182,15 @@ class Encoder:
             older.older = {}
             self.memo = Memo(older)
         # one look-up a unit: those not met before share an array that is filled afterwards
-        known = [None if units is None else list(map(self.memo.__getitem__, units)) for units in map(self._cut, texts)]
-        forget = self._remember()
+        try:
+            known = [None if units is None else list(map(self.memo.__getitem__, units)) for units in map(self._cut, texts)]
+            forget = self._remember()
+        except BaseException:
+            self.memo = Memo({})  # never keep arrays that were not filled
+            raise
         out = [self.whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, known, strict=True)]
         for unit in forget:
-            del self.memo[unit]
+            self.memo.pop(unit, None)
         return out
 
 
