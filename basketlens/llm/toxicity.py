@@ -92,6 +92,18 @@ def features(texts: list[str], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return pairs >> FEATURE_BITS, pairs & ((1 << FEATURE_BITS) - 1)
 
 
+def _places(batches: Iterator[pa.RecordBatch], buckets: np.ndarray, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(places of a text's features in ``buckets``, label) for rows (text, label), a few texts at a time."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, TEXTS_AT_ONCE):
+            batch = whole.slice(start, TEXTS_AT_ONCE)
+            row, bucket = features(batch.column(0).to_pylist(), wanted)
+            edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
+            at = np.searchsorted(buckets, bucket)
+            lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(at, pa.int32()))
+            yield pa.RecordBatch.from_arrays([lists, batch.column(1)], names=["at", "label"])
+
+
 @dataclass
 class Model:
     """Log-odds: ``intercept`` plus the weight of each bucket present."""
@@ -167,12 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     wanted[buckets] = True
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, bucket = features(batch.column(0).to_pylist(), wanted)
-            edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            at = np.searchsorted(buckets, bucket)
-            lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(at, pa.int32()))
-            yield pa.RecordBatch.from_arrays([lists, batch.column(1)], names=["at", "label"])
+        return _places(batches, buckets, wanted)
 
     @F.udf(VectorUDT())
     def vector(at):

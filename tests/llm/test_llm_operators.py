@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -361,6 +362,19 @@ def test_packing_edges(spark, edge_docs):
         packing.plan_bins({10: 1}, packing.Capacity(10, 5, 99))
 
 
+def test_toxicity_takes_the_features_of_a_few_texts_at_a_time():
+    some = texts(8, 3 * toxicity.TEXTS_AT_ONCE + 5)
+    wanted = np.ones(1 << toxicity.FEATURE_BITS, bool)
+    wanted[::3] = False
+    row, bucket = toxicity.features(some, wanted)
+    buckets = np.flatnonzero(wanted)
+    whole = pa.RecordBatch.from_arrays([pa.array(some), pa.array([float(i % 2) for i in range(len(some))])], names=["text", "toxic"])
+    got = list(toxicity._places(iter([whole]), buckets, wanted))
+    assert max(b.num_rows for b in got) == toxicity.TEXTS_AT_ONCE
+    assert [x for b in got for x in b.column(0).to_pylist()] == [np.searchsorted(buckets, bucket[row == i]).tolist() for i in range(len(some))]
+    assert [x for b in got for x in b.column(1).to_pylist()] == [float(i % 2) for i in range(len(some))]
+
+
 def test_toxicity_held_out(spark, edge_docs):
     rng = random.Random(11)
     neutral, rude = [f"word{i}" for i in range(60)], ["foulish", "nastig", "vilemente"]
