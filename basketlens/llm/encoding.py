@@ -5,10 +5,11 @@ digits, marks or white space and encode each run by itself, so a worker can
 remember the ids of runs and of short rows of runs. Texts whose characters all
 lie below U+0180 are cut at spaces, stops and commas into units of whole runs;
 only units not met before are cut by the same pattern, spelled out for that range,
-and new runs are encoded together in long strings. A text where such a cut could
-fall within a run is cut by the pattern as a whole. Any other text is encoded as one
-string, and so is a text that holds an added token of the file (such as
-<|endoftext|>), which the tokenizer takes out before it cuts.
+and new runs are encoded together in long strings. For a byte-level file the units of
+many texts are cut and told apart in Arrow, and each is looked up once for all of
+them. A text where such a cut could fall within a run is cut by the pattern as a
+whole. Any other text is encoded as one string, and so is a text that holds an added
+token of the file (such as <|endoftext|>), which the tokenizer takes out before it cuts.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from basketlens.llm.common import worker_cache
 
@@ -27,6 +30,8 @@ MEMO_RUNS = 500_000
 MEMO_RUN_CHARS = 48
 #: Runs encoded in one call.
 JOINED = 256
+#: Characters of texts, about, whose units are told apart together.
+CHARS_AT_ONCE = 1 << 23
 
 # Letters, numbers and white space below U+0180, and the cutting
 # patterns of byte-level and of word-end files.
@@ -38,6 +43,8 @@ WORD_END = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTERS}]+|[{NUMBERS}]|[^{SPACES
 #: Beyond the range, a capital whose small form is two characters, or a separator
 #: that str.split() takes for white space and the patterns do not.
 OTHER = re.compile("[^\\x00-\\x1b\\x20-\\u012f\\u0131-\\u017f]")
+#: Those of ``OTHER`` that are ASCII.
+BETWEENS = "\x1c\x1d\x1e\x1f"
 
 
 #: A stop or comma beside another mark, with which it is one run, or in a byte-level
@@ -45,7 +52,9 @@ OTHER = re.compile("[^\\x00-\\x1b\\x20-\\u012f\\u0131-\\u017f]")
 MARK = f"[^{SPACES}{LETTERS}{NUMBERS}]"
 TOUCHING = re.compile(f"[.,](?:(?={MARK})|(?<={MARK}[.,]))")
 TOUCHING_OR_SPACED = re.compile(f"[.,](?:(?={MARK})|(?<=[^{LETTERS}{NUMBERS}][.,]))")
-JOINING = tuple(" " + space for space in " \t\n\v\f\r\x85\xa0")
+RARE_SPACES = "\t\v\f\r\x85\xa0"
+#: Stands between units; ``OTHER`` finds it in a text.
+BETWEEN = "\x1f"
 
 
 #: The characters that stand for bytes in a byte-level file, with a blank for the line end between runs.
@@ -78,6 +87,31 @@ class Memo(dict):
         return ids
 
 
+class Units:
+    """Plain texts cut before spaces, stops and commas, and the ids of each distinct unit."""
+
+    def __init__(self, texts: list[str], memo: Memo):
+        cut = pa.array(texts, pa.large_string())
+        for mark in " .,":
+            cut = pc.replace_substring(cut, mark, BETWEEN + mark)
+        rows = pc.split_pattern(cut, BETWEEN)
+        coded = rows.flatten().dictionary_encode()
+        self.edges, self.units = rows.offsets.to_numpy(), coded.indices.to_numpy()
+        self.ids = list(map(memo.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+
+    def joined(self) -> list[bytes]:
+        """The ids of each text."""
+        flat = np.frombuffer(b"".join(self.ids), "<u4")
+        sizes = np.fromiter(map(len, self.ids), np.int64, len(self.ids)) // 4
+        size = sizes[self.units]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        places = np.repeat((np.cumsum(sizes) - sizes)[self.units] - ends[:-1], size)
+        places += np.arange(ends[-1])
+        raw = flat[places].tobytes()
+        edges = (4 * ends[self.edges]).tolist()
+        return [raw[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
@@ -139,20 +173,25 @@ class Encoder:
             encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
             self.memo.update([(r, np.array(e.ids, "<u4").tobytes()) for r, e in zip(rest, encoded, strict=True)])
 
-    def _cut(self, text: str) -> list[str] | None:
-        """Units of a text, each of whole runs; None where it must be encoded as one."""
-        if OTHER.search(text):
-            return None
+    def _together(self, text: str) -> bool:
+        """Whether a text must be encoded as one."""
+        if any(sign in text for sign in BETWEENS) if text.isascii() else OTHER.search(text):
+            return True
         if any(sign in text for sign in self.signs):
             lower = text.lower()
-            if any(content in lower for content in self.added):
-                return None
-        if not self.byte_level:
-            lower = text.lower()
-            return WORD_END.findall(lower) if TOUCHING.search(lower) else lower.replace(".", " . ").replace(",", " , ").split()
-        if text.endswith(" ") or any(pair in text for pair in JOINING) or TOUCHING_OR_SPACED.search(text):
+            return any(content in lower for content in self.added)
+        return False
+
+    def _plain(self, text: str) -> bool:
+        """Whether in a byte-level file no cut before a space, stop or comma falls within a run."""
+        return not (text.endswith(" ") or "  " in text or " \n" in text or any(space in text and " " + space in text for space in RARE_SPACES) or TOUCHING_OR_SPACED.search(text))
+
+    def _cut(self, text: str) -> list[str]:
+        """Units of a text, each of whole runs."""
+        if self.byte_level:
             return BYTE_LEVEL.findall(text)
-        return text.replace(" ", "\x1f ").replace(".", "\x1f.\x1f").replace(",", "\x1f,\x1f").split("\x1f")
+        lower = text.lower()
+        return WORD_END.findall(lower) if TOUCHING.search(lower) else lower.replace(".", " . ").replace(",", " , ").split()
 
     def _remember(self) -> list[str]:
         """Put the ids of the units that wait into the memo; gives those to forget after the batch."""
@@ -181,14 +220,32 @@ class Encoder:
             older = self.memo
             older.older = {}
             self.memo = Memo(older)
+        out: list[bytes] = [b""] * len(texts)
+        plain: list[list[int]] = []
+        single, size = {}, CHARS_AT_ONCE
         # one look-up a unit: those not met before share an array that is filled afterwards
         try:
-            known = [None if units is None else list(map(self.memo.__getitem__, units)) for units in map(self._cut, texts)]
+            for i, text in enumerate(texts):
+                if self._together(text):
+                    out[i] = self.whole(text)
+                elif self.byte_level and self._plain(text):
+                    if size >= CHARS_AT_ONCE:
+                        plain.append([])
+                        size = 0
+                    plain[-1].append(i)
+                    size += len(text)
+                else:
+                    single[i] = list(map(self.memo.__getitem__, self._cut(text)))
+            groups = [(group, Units([texts[i] for i in group], self.memo)) for group in plain]
             forget = self._remember()
         except BaseException:
             self.memo = Memo({})  # never keep arrays that were not filled
             raise
-        out = [self.whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, known, strict=True)]
+        for i, ids in single.items():
+            out[i] = b"".join(ids)
+        for group, units in groups:
+            for i, ids in zip(group, units.joined(), strict=True):
+                out[i] = ids
         for unit in forget:
             self.memo.pop(unit, None)
         return out

@@ -35,7 +35,7 @@ BLOCK_IDS = 65_536
 CHECKPOINT = 256
 LONGEST_CODE = 18
 #: Texts encoded at a time within a task; blocks decoded at a time.
-TEXTS_AT_ONCE = 512
+TEXTS_AT_ONCE = 1024
 BLOCKS_AT_ONCE = 16
 
 

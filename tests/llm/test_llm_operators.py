@@ -124,6 +124,23 @@ def test_new_words_are_encoded_without_a_second_cut():
     assert not enc.memo.waiting and enc.encode(some[::-1]) == expected[::-1]
 
 
+def test_a_unit_is_looked_up_once_for_many_texts():
+    """Texts that repeat their words cost a look-up for each distinct unit of a group, not for each word."""
+    class Counted(encoding.Memo):
+        looked = 0
+
+        def __getitem__(self, unit):
+            Counted.looked += 1
+            return super().__getitem__(unit)
+
+    fresh, enc = Tokenizer.from_file(queries.BYTE_BPE), encoding.Encoder(queries.BYTE_BPE)
+    some = ["one, two. three\nfour é 3.14 a.b,c x's"] * 300 + ["", "one two"]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in fresh.encode_batch(some, add_special_tokens=False)]
+    enc.memo = Counted({})
+    assert enc.encode(some) == expected and Counted.looked < len(some)
+    assert all(type(ids) is bytes for ids in enc.memo.values())
+
+
 ADDED = ["x <|endoftext|> hi", "<|endoftext|>", "a<|startoftext|>b  c<|endoftext|><|endoftext|>", "x <|ENDOFTEXT|> hi", "<|endoftext|", "é <|endoftext|>\n日本語", "plain words"]
 
 
