@@ -103,7 +103,7 @@ class Decoder:
     def __init__(self, lengths: np.ndarray):
         self.width = max(1, int(lengths.max(initial=0)))
         self.ids = np.zeros(1 << self.width, np.uint32)
-        self.bits = np.ones(1 << self.width, np.int64)
+        self.bits = np.ones(1 << self.width, np.uint8)  # small tables stay in the CPU's cache
         codes = canonical_codes(lengths)
         present = np.flatnonzero(lengths)
         present = present[np.argsort(lengths[present], kind="stable")]
@@ -112,7 +112,7 @@ class Decoder:
             first = codes[present].astype(np.int64) << (self.width - lengths[present].astype(np.int64))
             covered = int(first[-1] + spans[-1])
             self.ids[:covered] = np.repeat(present, spans)
-            self.bits[:covered] = np.repeat(lengths[present].astype(np.int64), spans)
+            self.bits[:covered] = np.repeat(lengths[present], spans)
 
     def decode(self, payloads: list[bytes], offsets: list[np.ndarray], counts: list[int]) -> list[np.ndarray]:
         """The ids of each block; every checkpoint is a lane, all lanes step together."""
@@ -123,17 +123,17 @@ class Decoder:
         size = np.concatenate([np.minimum(CHECKPOINT, n - CHECKPOINT * np.arange(len(o))) for o, n in zip(offsets, counts, strict=True)]) if payloads else np.zeros(0, np.int64)
         order = np.argsort(-size, kind="stable")
         pos, lanes = pos[order], len(order)
-        out = np.zeros((len(order), CHECKPOINT), np.uint32)
+        out = np.zeros((CHECKPOINT, len(order)), np.uint32)  # a step writes one row
         sizes = size[order]
         for step in range(int(sizes[0]) if lanes else 0):
             while sizes[lanes - 1] <= step:
                 lanes -= 1
             now = pos[:lanes]
             look = ((window[now >> 3] << (now & 7).astype(np.uint32)) >> np.uint32(32 - self.width))
-            out[:lanes, step] = self.ids[look]
+            out[step, :lanes] = self.ids[look]
             pos[:lanes] += self.bits[look]
-        placed = np.empty_like(out)
-        placed[order] = out
+        placed = np.empty((len(order), CHECKPOINT), np.uint32)
+        placed[order] = out.T
         flat, result, at = placed, [], 0
         for o, n in zip(offsets, counts, strict=True):
             result.append(flat[at:at + len(o)].reshape(-1)[:n])
