@@ -263,9 +263,11 @@ def make_estimator(model_type: str, n_train: int, features_col: str = "features"
         return LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=1000, tol=1e-4,
                                   regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False)
     if model_type == "random_forest":
+        # a row's node in each tree is kept between levels instead of being found from the root again; the
+        # chain of levels is short enough to go without checkpoints
         return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=100, seed=42,
                                       featureSubsetStrategy="sqrt", maxDepth=TREE_MAX_DEPTH, maxBins=64,
-                                      minInstancesPerNode=min_rows)
+                                      minInstancesPerNode=min_rows, cacheNodeIds=True, checkpointInterval=-1)
     if model_type == "naive_bayes":
         return _NaiveBayes(features, label_col)
     if model_type in ("decision_tree", "decision_tree_binned", "decision_tree_binned_after"):

@@ -62,3 +62,12 @@ def test_sweep_prepares_the_tree_binned_after_once(spark, monkeypatch):
     alone = presets.run_configuration(data, "baseline", "decision_tree_binned_after")[0].first()
     both = next(r for r in runs if r["model_type"] == "decision_tree_binned_after")
     assert (both["variables_used"], both["n_train"], both["test_accuracy"]) == (alone["variables_used"], alone["n_train"], alone["test_accuracy"])
+
+
+def test_forest_keeps_the_node_of_each_row_and_the_same_trees(spark):
+    from pyspark.ml.feature import VectorAssembler
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(customers(spark, partitions=3).withColumn("label", F.col("response").cast("double"))).cache()
+    forest = modeling.make_estimator("random_forest", 400).setNumTrees(4)
+    assert forest.getCacheNodeIds()
+    kept, plain = forest.fit(df), forest.copy({forest.cacheNodeIds: False}).fit(df)
+    assert kept.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] and kept.totalNumNodes > 4
