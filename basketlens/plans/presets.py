@@ -23,9 +23,11 @@ from ..operators.modeling import (MODEL_TYPES, add_ratios, fit_and_score, numeri
                                   run_model, run_table)
 from ..operators.stats import dependent_columns, gram, logit_significance, vif_elimination
 from ..operators.typing import convert_campaign_data_types, convert_data_types
-from ..session import shared_folder
+from ..session import cut_lineage, shared_folder
 
 CONFIGS = ("baseline", "recoded", "outlier_removed", "outlier_recoded_scaled")
+# Model types whose runs are the longest chains of jobs.
+LONGEST = ("svm", "svm_linear", "random_forest")
 
 
 @dataclass
@@ -50,6 +52,13 @@ class Prepared:
         return self.data.select(*self.variables, response)
 
 
+@dataclass(frozen=True)
+class ModelReady:
+    """A joined customer table after ``preprocess_for_model``, which many preparations start from."""
+
+    data: DataFrame
+
+
 def _select_variables(df: DataFrame, response: str, vif_threshold: float = 5.0):
     cands = numeric_model_columns(df, response, wide_only=False)
     g = gram(df, cands, constant=True)  # one pass serves VIF and the dependence check
@@ -60,12 +69,12 @@ def _select_variables(df: DataFrame, response: str, vif_threshold: float = 5.0):
     return kept, significant, vif_df, vif_log, table, dropped
 
 
-def prepare(joined: DataFrame, config: str = "baseline", response: str = "response",
+def prepare(joined: DataFrame | ModelReady, config: str = "baseline", response: str = "response",
             model_type: str | None = None) -> Prepared:
     """Configuration preset (J9-J12, J18) on the joined customer table."""
     if config not in CONFIGS:
         raise ValueError(f"unknown configuration {config!r}")
-    df = preprocess_for_model(joined, response)
+    df = joined.data if isinstance(joined, ModelReady) else preprocess_for_model(joined, response)
     if model_type == "decision_tree_binned":
         df = bin_numerical_variables(df, response)
     if config in ("recoded", "outlier_recoded_scaled"):
@@ -103,13 +112,16 @@ def sweep(joined: DataFrame, models: Sequence[str] = MODEL_TYPES, configs: Seque
 
     Each run only fits and writes its scores (configuration, model_type, split, label, prediction, score)
     to the shared folder; ONE keyed evaluation over that table then gives all metrics. Runs are chains of
-    small jobs, so configurations run concurrently, and so do the model types within one. The prepared frame is
+    small jobs, so configurations run concurrently, and so do the model types within one, the longest first.
+    The model-ready table that all start from is made once and its plan cut off, since every job and its
+    plan would carry that of the lines. The prepared frame is
     shared by all model types except the tree that is binned first, which needs its own; the one binned
     after bins the shared frame. Frames are released at the end.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     folder = shared_folder(joined.sparkSession, "scores")
+    ready = ModelReady(cut_lineage(preprocess_for_model(joined, response)).persist(StorageLevel.MEMORY_AND_DISK))
 
     def run_config(c):
         binned_first = "decision_tree_binned"
@@ -127,15 +139,18 @@ def sweep(joined: DataFrame, models: Sequence[str] = MODEL_TYPES, configs: Seque
 
         try:
             with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(models)))) as each:
-                for key, p in zip(keys, each.map(lambda k: prepare(joined, c, response, k), keys)):
+                for key, p in zip(keys, each.map(lambda k: prepare(ready, c, response, k), keys)):
                     shared[key] = p
-                return [r for r in each.map(run, models) if r]
+                return [r for r in each.map(run, sorted(models, key=lambda m: m not in LONGEST)) if r]
         finally:
             for p in shared.values():
                 p.release()
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        runs = [r for done in pool.map(run_config, list(configs)) for r in done]
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            runs = [r for done in pool.map(run_config, list(configs)) for r in done]
+    finally:
+        ready.data.unpersist()
     if not runs:
         raise ValueError("no configuration has significant variables")
     schema = "split string, label double, prediction double, score double, configuration string, model_type string"

@@ -71,3 +71,14 @@ def test_forest_keeps_the_node_of_each_row_and_the_same_trees(spark):
     assert forest.getCacheNodeIds()
     kept, plain = forest.fit(df), forest.copy({forest.cacheNodeIds: False}).fit(df)
     assert kept.toDebugString.split("\n")[1:] == plain.toDebugString.split("\n")[1:] and kept.totalNumNodes > 4
+
+
+def test_sweep_cuts_the_plan_that_all_preparations_start_from(spark, monkeypatch):
+    seen = []
+    real = presets.prepare
+    monkeypatch.setattr(presets, "prepare", lambda j, *a: seen.append(j) or real(j, *a))
+    data = customers(spark).select("CustomerID", "a", "b", F.col("response").cast("boolean").alias("response"))
+    runs = presets.sweep(data, ["naive_bayes"], ["baseline", "recoded"]).collect()
+    assert {r["configuration"] for r in runs} == {"baseline", "recoded"}
+    assert len(seen) == 2 and seen[0] is seen[1]
+    assert seen[0].data.select("a")._jdf.queryExecution().analyzed().toString().count("\n") <= 3  # not that of the customers
